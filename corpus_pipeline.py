@@ -12,7 +12,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts through their ids and back; adds token_ids and n_tokens."""
     from evigraph.llm.bpe_codec import round_tripped
 
-    return round_tripped(docs, queries._vocabulary("byte_bpe_multi_50k.tiktoken"))
+    return round_tripped(docs, queries.vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
 STAGES = [("BPE encoding and decoding", token_stage)]

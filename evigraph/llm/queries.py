@@ -3,29 +3,143 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import bpe_codec, decontaminate, html_extract, language_id, quality_rules, token_counts, token_output, toxicity
 
-def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file."""
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, repetition and symbols of each document, the base rules and the verdict with its host's."""
+    found = quality_rules.judged(documents(spark, sf_dir), ["doc_id"], host="source", max_host_rate=0.5)
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+OP1_SQL = r"""
+WITH w AS (
+  SELECT doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+         row_number() OVER () AS rid
+  FROM documents
+), g AS (
+  SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS gram
+  FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) > 2)
+), r AS (
+  SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM g) WHERE n > 1
+), c AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM r, (SELECT unnest([0, 1, 2]) AS k) GROUP BY rid
+), m AS (
+  SELECT doc_id, source, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM w LEFT JOIN c USING (rid)
+), b AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m
+), h AS (
+  SELECT source, count(*) AS n, count(*) FILTER (WHERE base_failed) AS k FROM b WHERE source IS NOT NULL GROUP BY source
+), p AS (
+  SELECT coalesce(sum(k) / sum(n), 0.0) AS mean, coalesce(var_samp(k / n), 0.0) AS v FROM h
+), q AS (
+  SELECT mean, CASE WHEN v > 0 THEN least(1e6, greatest(1.0, mean * (1 - mean) / v - 1)) ELSE 1e6 END AS weight FROM p
+), s AS (
+  SELECT source, (k + mean * weight) / (n + weight) > 0.5 AS host_failed FROM h, q
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(host_failed, false) AS kept
+FROM b LEFT JOIN s USING (source)
+"""
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document; documents that are held out are never learnt from."""
+    docs = documents(spark, sf_dir)
+    found = language_id.with_language(docs, docs, keep=["doc_id"])
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_pretokens and n_tokens under the public piece vocabulary."""
+    return token_counts.with_token_counts(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"), keep=["doc_id"])
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, severity (expected grade), grade and toxic.
+
+    Grades of labelled documents: 0 not toxic, 1 toxic, 2 toxic and of low quality.
+    """
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter("toxic is not null")
+    grade = F.when(F.col("toxic") == 0, 0).otherwise(1 + F.coalesce((F.col("quality") == 0).cast("int"), F.lit(0)))
+    model = toxicity.fitted(labels.select("doc_id", grade.alias("grade")), docs)
+    return toxicity.with_severity(docs, model, keep=["doc_id"])
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .token_output import token_ids
+    """Write the ids of all documents as Simple-8b blocks, read them back, and describe each document's ids."""
+    return token_output.token_ids(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), end_id=2)
 
-    return token_ids(_documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"), end_id=2)
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, words hit by benchmark windows and the items that hit, for each document."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.with_contamination(documents(spark, sf_dir), benchmark, window=13, keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
-def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .bpe_codec import encoded_digests
 
-    return encoded_digests(_documents(spark, sf_dir), _vocabulary("byte_bpe_multi_50k.tiktoken"))
+OP9_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item, k, array_to_string(ws[i : i + k - 1], ' ') AS gram
+  FROM (SELECT item, ws, least(13, len(ws)) AS k, unnest(range(1, len(ws) - least(13, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)
+), dw AS (
+  SELECT rid, i, k, array_to_string(ws[i : i + k - 1], ' ') AS gram
+  FROM (SELECT rid, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(ws) >= k)
+), h AS (
+  SELECT DISTINCT rid, i, k, item FROM dw JOIN bw USING (k, gram)
+), c AS (
+  SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM h) GROUP BY rid
+), o AS (
+  SELECT rid, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT rid, item FROM h WHERE item IS NOT NULL) GROUP BY rid
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(o.n, 0) AS BIGINT) AS n_items, sha256(coalesce(o.s, '')) AS items_sha256,
+       coalesce(c.n, 0) > 0 AND 20 * coalesce(c.n, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN c USING (rid) LEFT JOIN o USING (rid)
+"""
+
+
+def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by the rank file, and the bytes decoded from them, as digests."""
+    return bpe_codec.encoded_digests(documents(spark, sf_dir), vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
-QUERIES = {f.__name__: f for f in (op8_token_output, op10_bpe_codec)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_quality_rules, op4_language_id, op5_token_counts, op6_toxicity, op7_html_extraction, op8_token_output, op9_decontamination, op10_bpe_codec)
+}
+ORACLES = {"op1_quality_rules": OP1_SQL, "op9_decontamination": OP9_SQL}
