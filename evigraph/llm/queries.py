@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontaminate, html_extract, language_id, quality_rules, token_counts, token_output, toxicity
+from . import bpe_codec, decontaminate, html_extract, jaccard_join, language_id, quality_rules, token_counts, token_output, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,34 @@ FROM b LEFT JOIN s USING (source)
 """
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shingle count and the component of each document."""
+    return jaccard_join.linked(documents(spark, sf_dir))
+
+
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), l AS (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2
+  ) JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)
+), r AS (
+  SELECT doc_id, doc_id AS other FROM n
+  UNION
+  SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.other
+)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(min(r.other), w.doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY w.doc_id, n.n
+"""
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of each document; documents that are held out are never learnt from."""
     docs = documents(spark, sf_dir)
@@ -140,6 +168,6 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op4_language_id, op5_token_counts, op6_toxicity, op7_html_extraction, op8_token_output, op9_decontamination, op10_bpe_codec)
+    for f in (op1_quality_rules, op2_jaccard_join, op4_language_id, op5_token_counts, op6_toxicity, op7_html_extraction, op8_token_output, op9_decontamination, op10_bpe_codec)
 }
-ORACLES = {"op1_quality_rules": OP1_SQL, "op9_decontamination": OP9_SQL}
+ORACLES = {"op1_quality_rules": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op9_decontamination": OP9_SQL}
