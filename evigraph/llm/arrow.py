@@ -10,16 +10,16 @@ from pyspark.sql.types import StructField, StructType
 from .storage import slices
 
 
-def with_computed(docs: DataFrame, fields: list[StructField], make: Callable[[], Callable], keep: list[str] | None = None, text: str = "text") -> DataFrame:
+def with_computed(docs: DataFrame, fields: list[StructField], make: Callable[[], Callable], keep: list[str] | None = None, text: str = "text", read: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with more columns; a column of ``docs`` named like one of them goes.
 
-    ``make()`` runs once in each task and gives a function from a record batch to the Arrow arrays of
+    Batches have the columns that are kept, ``text`` and ``read``. ``make()`` runs once in each task and gives a function from a record batch to the Arrow arrays of
     ``fields``. Batches hold about 1 MB of ``text``, or one row.
     """
     new = {field.name for field in fields}
     names = [name for name in (docs.columns if keep is None else keep) if name not in new]
-    source = docs.select(*(f"`{name}`" for name in dict.fromkeys([*names, text])))
-    schema = StructType([*(field for field in source.schema.fields if field.name in names), *fields])
+    source = docs.select(*(f"`{name}`" for name in dict.fromkeys([*names, text, *(read or [])])))
+    schema = StructType([*(source.schema[name] for name in names), *fields])
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -134,7 +134,7 @@ def with_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
             return compute
 
         columns = [c for c in wanted if c not in {f.name for f in VERDICT}] if last else [*docs.columns]
-        found = with_computed(found, FOUND + VERDICT * last, make, keep=columns)
+        found = with_computed(found, FOUND + VERDICT * last, make, keep=columns, read=[] if first else [f.name for f in FOUND])
     return found
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontaminate, html_extract, jaccard_join, language_id, quality_rules, token_counts, token_output, toxicity
+from . import bpe_codec, decontaminate, html_extract, jaccard_join, language_id, quality_rules, suffix_dedup, token_counts, token_output, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +91,11 @@ FROM w LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY w.doc_id,
 """
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document, those that lie in repeated strings, and what remains."""
+    return suffix_dedup.removal_digests(documents(spark, sf_dir))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of each document; documents that are held out are never learnt from."""
     docs = documents(spark, sf_dir)
@@ -168,6 +173,6 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_jaccard_join, op4_language_id, op5_token_counts, op6_toxicity, op7_html_extraction, op8_token_output, op9_decontamination, op10_bpe_codec)
+    for f in (op1_quality_rules, op2_jaccard_join, op3_suffix_dedup, op4_language_id, op5_token_counts, op6_toxicity, op7_html_extraction, op8_token_output, op9_decontamination, op10_bpe_codec)
 }
 ORACLES = {"op1_quality_rules": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op9_decontamination": OP9_SQL}
