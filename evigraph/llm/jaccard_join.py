@@ -278,6 +278,23 @@ def linked(docs: DataFrame, region_rows: int = REGION) -> DataFrame:
     return joined.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the document with the smallest doc_id.
+
+    Rows without doc_id stay; of rows that share a doc_id the one with the first text stays.
+    """
+    found = linked(docs.select("doc_id", "text")).filter("component_id = doc_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
+    found = written(found, "representatives")
+    rest = docs.filter("doc_id is null")
+    kept = docs.join(_sized(found.select("doc_id")), "doc_id", "left_semi")
+    again = found.filter("rows > 1")
+    if not again.isEmpty():
+        order = Window.partitionBy("doc_id").orderBy("text", *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")))
+        twice = kept.join(again, "doc_id", "left_semi").withColumn("own_place", F.row_number().over(order)).filter("own_place = 1")
+        kept = kept.join(again, "doc_id", "left_anti").unionByName(twice.select(*docs.columns))
+    return kept.select(*docs.columns).unionByName(rest)
+
+
 def _possible(pairs: DataFrame, infos: DataFrame) -> DataFrame:
     """Pairs that sizes and histograms don't rule out."""
     a = infos.select(F.col("node").alias("a"), F.col("size").alias("n"), F.col("bins").alias("x"))

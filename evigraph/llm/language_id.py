@@ -185,3 +185,11 @@ def with_language(docs: DataFrame, labelled: DataFrame, keep: list[str] | None =
         return compute
 
     return with_computed(docs, FIELDS, make, keep)
+
+
+def identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text has a language, learnt from their own labels; ``und`` rows go."""
+    names = docs.columns
+    own = docs.select(*(F.col(f"`{c}`").alias(c if c == "text" else f"own_{c}") for c in names))
+    found = with_language(own, docs).filter(F.col("lang_pred") != "und")
+    return found.select(*(F.col(c if c == "text" else f"`own_{c}`").alias(c) for c in names))
