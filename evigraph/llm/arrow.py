@@ -10,15 +10,29 @@ from pyspark.sql.types import StructField, StructType
 from .storage import slices
 
 
+#: Rows of an Arrow batch, so that few texts are on their way to and from Python at a time.
+BATCH_ROWS = 1_000
+#: Bytes of text computed on at a time.
+SLICE = 1 << 19
+
+
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, after its session's Arrow batches were limited to BATCH_ROWS rows."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def with_computed(docs: DataFrame, fields: list[StructField], make: Callable[[], Callable], keep: list[str] | None = None, text: str = "text", read: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with more columns; a column of ``docs`` named like one of them goes.
 
     Batches have the columns that are kept, ``text`` and ``read``. ``make()`` runs once in each task and gives a function from a record batch to the Arrow arrays of
-    ``fields``. Batches hold about 1 MB of ``text``, or one row.
+    ``fields``. Batches hold about half a MB of ``text``, or one row.
     """
     new = {field.name for field in fields}
     names = [name for name in (docs.columns if keep is None else keep) if name not in new]
-    source = docs.select(*(f"`{name}`" for name in dict.fromkeys([*names, text, *(read or [])])))
+    source = bounded_batches(docs).select(*(f"`{name}`" for name in dict.fromkeys([*names, text, *(read or [])])))
     schema = StructType([*(source.schema[name] for name in names), *fields])
 
     def run(batches: Iterator) -> Iterator:
@@ -26,9 +40,10 @@ def with_computed(docs: DataFrame, fields: list[StructField], make: Callable[[],
 
         compute = make()
         for whole in batches:
-            for batch in slices(whole, text, 1 << 20):
+            for batch in slices(whole, text, SLICE):
                 kept = [batch.column(batch.schema.get_field_index(name)) for name in names]
                 yield pa.RecordBatch.from_arrays([*kept, *compute(batch)], names=[*names, *(field.name for field in fields)])
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return source.mapInArrow(run, schema)
 

@@ -27,24 +27,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
-from .arrow import column, with_computed
+from .arrow import SLICE, bounded_batches, column, with_computed
 from .storage import slices, written
 from .wordhash import MIX, mixed, prefix_sums, span_hashes, text_bytes
 
 LENGTH, GRAM = 200, 50
 HOT = 50_000
-#: Numbers that may be broadcast to the tasks that read texts; more are joined by a shuffle.
-BROADCAST_NUMBERS = 3_000_000
-
 _WINDOW = LENGTH - GRAM + 1
 
 
-def sized(df: DataFrame, numbers: Column) -> DataFrame:
-    """``df`` with a broadcast hint if all its rows together hold few ``numbers``."""
-    total = df.agg(F.sum(numbers)).first()[0] or 0
-    return F.broadcast(df) if total <= BROADCAST_NUMBERS else df
-
-
 def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of all texts: positions of representing q-grams, first and last start of the strings that each stands for,
     and the q-gram's bucket."""
@@ -92,20 +83,20 @@ def _digest() -> Column:
 
 
 def _anchors(texts: DataFrame) -> DataFrame:
-    """bucket, key, and the place of each representing q-gram: position and run in one number."""
+    """bucket, digest, and the place of each representing q-gram: position and run in one number."""
 
     def find(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 20):
+            for batch in slices(whole, "text", SLICE):
                 data, offsets = text_bytes(column(batch, "text"))
                 place, low, high, bucket = runs(data, offsets)
                 row = np.searchsorted(offsets, place, side="right") - 1
                 packed = (place - offsets[row]) << 16 | (place - low) << 8 | (place - high)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), column(batch, "key").take(pa.array(row)), pa.array(packed)], names=["bucket", "key", "place"])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket), column(batch, "digest").take(pa.array(row)), pa.array(packed)], names=["bucket", "digest", "place"])
 
-    return texts.select("key", "text").mapInArrow(find, "bucket long, key long, place long")
+    return bounded_batches(texts).select("digest", "text").mapInArrow(find, "bucket long, digest binary, place long")
 
 
 def _spans_of(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,13 +106,13 @@ def _spans_of(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _around(texts: DataFrame) -> DataFrame:
-    """bucket, key, place and the bytes of its strings, for the places of ``texts(key, text, buckets, places)``."""
+    """bucket, digest, place and the bytes of its strings, for ``texts(digest, text, buckets, places)``."""
 
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 20):
+            for batch in slices(whole, "text", SLICE):
                 data, offsets = text_bytes(column(batch, "text"))
                 lists = column(batch, "places")
                 size = lists.value_lengths().to_numpy(zero_copy_only=False)
@@ -131,9 +122,9 @@ def _around(texts: DataFrame) -> DataFrame:
                 low, high = low + offsets[row], high + offsets[row] + LENGTH
                 whole_bytes = data.tobytes()
                 around = [whole_bytes[a:b] for a, b in zip(low.tolist(), high.tolist())]
-                yield pa.RecordBatch.from_arrays([column(batch, "buckets").flatten(), column(batch, "key").take(pa.array(row)), pa.array(places), pa.array(around, pa.binary())], names=["bucket", "key", "place", "bytes"])
+                yield pa.RecordBatch.from_arrays([column(batch, "buckets").flatten(), column(batch, "digest").take(pa.array(row)), pa.array(places), pa.array(around, pa.binary())], names=["bucket", "digest", "place", "bytes"])
 
-    return texts.select("key", "text", "buckets", "places").mapInArrow(cut, "bucket long, key long, place long, bytes binary")
+    return texts.select("digest", "text", "buckets", "places").mapInArrow(cut, "bucket long, digest binary, place long, bytes binary")
 
 
 def _strings(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -147,14 +138,15 @@ def _strings(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _repeated_in_task(around: DataFrame) -> DataFrame:
-    """key, low, high: the covered bytes of each run, by sorting the strings of whole buckets in a task."""
+    """digest, low, high: the covered bytes of each run, by sorting the strings of whole buckets in a task."""
 
     def sort(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         def refine(held: list):
             table = pa.Table.from_batches(held).combine_chunks()
-            key = table.column("key").to_numpy()
+            digests = table.column("digest").combine_chunks()
+            key = np.unique(np.array(digests.to_pylist(), "S16"), return_inverse=True)[1]
             parts, done = [], 0
             for batch in table.to_batches(max_chunksize=4_000):  # bounds the bytes hashed at a time
                 row, start, identifier = _strings(batch)
@@ -176,7 +168,7 @@ def _repeated_in_task(around: DataFrame) -> DataFrame:
             np.minimum.at(low, row[hit], start[hit])
             np.maximum.at(high, row[hit], start[hit] + LENGTH)
             found = np.flatnonzero(high >= 0)
-            return pa.RecordBatch.from_arrays([pa.array(key[found]), pa.array(low[found]), pa.array(high[found])], names=["key", "low", "high"])
+            return pa.RecordBatch.from_arrays([digests.take(pa.array(found)), pa.array(low[found]), pa.array(high[found])], names=["digest", "low", "high"])
 
         held, rows = [], 0
         for batch in batches:
@@ -194,7 +186,7 @@ def _repeated_in_task(around: DataFrame) -> DataFrame:
             yield refine(held)
 
     ordered = around.repartition("bucket").sortWithinPartitions("bucket")
-    return ordered.mapInArrow(sort, "key long, low long, high long")
+    return ordered.mapInArrow(sort, "digest binary, low long, high long")
 
 
 def _repeated_by_identifier(around: DataFrame) -> DataFrame:
@@ -204,48 +196,45 @@ def _repeated_by_identifier(around: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         for whole in batches:
-            for batch in slices(whole, "bytes", 1 << 19):
+            for batch in slices(whole, "bytes", SLICE):
                 row, start, identifier = _strings(batch)
                 rows = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(identifier.view(np.int64)), column(batch, "key").take(rows), column(batch, "place").take(rows), pa.array(start)], names=["identifier", "key", "place", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(identifier.view(np.int64)), column(batch, "digest").take(rows), column(batch, "place").take(rows), pa.array(start)], names=["identifier", "digest", "place", "start"])
 
-    every = written(around.mapInArrow(spread, "identifier long, key long, place long, start long"), "strings")
-    bounds = every.groupBy("identifier").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("key", "start")))
-    twice = bounds.filter("min_key != max_key or min_start != max_start").select("identifier")
-    hit = every.join(twice, "identifier", "left_semi").groupBy("key", "place").agg(F.min("start").alias("low"), (F.max("start") + LENGTH).alias("high"))
-    return hit.select("key", "low", "high")
+    every = written(around.mapInArrow(spread, "identifier long, digest binary, place long, start long"), "strings")
+    bounds = every.groupBy("identifier").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("digest", "start")))
+    twice = bounds.filter("min_digest != max_digest or min_start != max_start").select("identifier")
+    hit = every.join(twice, "identifier", "left_semi").groupBy("digest", "place").agg(F.min("start").alias("low"), (F.max("start") + LENGTH).alias("high"))
+    return hit.select("digest", "low", "high")
 
 
 def with_repeats(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT) -> DataFrame:
     """``docs`` (or its columns ``keep``) with ``repeat_spans``: from, to, from, to ... of the maximal repeated runs of
     bytes. Column names starting with ``own_`` are used on the way."""
     names = docs.columns if keep is None else keep
-    texts = written(docs.select(_digest().alias("digest"), F.octet_length(F.coalesce("text", F.lit(""))).alias("size"), "doc_id").groupBy("digest").agg(F.first("size").alias("size"), F.count("*").alias("copies"), F.min(F.coalesce("doc_id", F.lit(-1 << 62))).alias("first_id")), "texts")
-    keyed = written(texts.withColumn("key", F.monotonically_increasing_id()), "keyed-texts")
-    long_texts = keyed.filter(F.col("size") >= LENGTH)
-
-    own = docs.select("doc_id", "text").filter(F.octet_length("text") >= LENGTH).withColumn("digest", _digest()).withColumn("first_id", F.coalesce("doc_id", F.lit(-1 << 62)))
-    one = own.join(sized(long_texts.select("digest", "first_id", "key"), F.lit(4)), ["digest", "first_id"]).select("key", "text")
+    known = docs.select(_digest().alias("digest"), F.octet_length(F.coalesce("text", F.lit(""))).alias("size"), F.coalesce("doc_id", F.lit(-1 << 62)).alias("first_id"))
+    texts = written(known.groupBy("digest").agg(F.first("size").alias("size"), F.count("*").alias("copies"), F.min("first_id").alias("first_id")), "texts")
 
-    anchors = written(_anchors(one), "anchors")
+    own = docs.select("doc_id", "text").filter(F.octet_length("text") >= LENGTH).select("text", _digest().alias("digest"), F.coalesce("doc_id", F.lit(-1 << 62)).alias("first_id"))
+    anchors = written(_anchors(own).dropDuplicates(), "anchors")
     buckets = anchors.groupBy("bucket").agg(F.count("*").alias("count")).filter("count > 1")
     shared = written(anchors.join(buckets, "bucket"), "shared-anchors")
 
     def around(rows: DataFrame) -> DataFrame:
-        pairs = rows.groupBy("key").agg(F.collect_list(F.struct("bucket", "place")).alias("own"))
-        lists = written(pairs.select("key", F.col("own.bucket").alias("buckets"), F.col("own.place").alias("places")), "places")
-        with_lists = long_texts.select("digest", "first_id", "key").join(lists, "key")
-        return _around(own.join(sized(written(with_lists, "places"), 2 * F.size("places") + 4), ["digest", "first_id"]))
+        # A text's places, to be cut out of the one row of it that has the first id.
+        lists = rows.groupBy("digest").agg(F.collect_list(F.struct("bucket", "place")).alias("own"))
+        places = lists.join(texts.select("digest", "first_id"), "digest").select("digest", "first_id", F.col("own.bucket").alias("buckets"), F.col("own.place").alias("places"))
+        return _around(own.join(places, ["digest", "first_id"]))
 
     found = _repeated_in_task(around(shared.filter(F.col("count") <= hot)))
     large = shared.filter(F.col("count") > hot)
     if not large.isEmpty():
         found = found.unionByName(_repeated_by_identifier(around(large)))
-    spans = written(found, "spans").groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("own"))
-    covered = keyed.join(spans, "key", "left").select("digest", "size", "copies", F.col("own.low").alias("own_low"), F.col("own.high").alias("own_high"))
-    some = written(covered.filter("own_low is not null or copies > 1 and size >= 200"), "covered")
+    spans = written(found, "spans").groupBy("digest").agg(F.collect_list(F.struct("low", "high")).alias("own"))
+    covered = texts.join(spans, "digest", "left").select(F.col("digest").alias("own_digest"), F.col("size").alias("own_size"), F.col("copies").alias("own_copies"), F.col("own.low").alias("own_low"), F.col("own.high").alias("own_high"))
+    some = written(covered.filter(f"own_low is not null or own_copies > 1 and own_size >= {LENGTH}"), "covered")
     read = [F.col(f"`{name}`") for name in dict.fromkeys([*names, "text"])]
-    joined = docs.select(*read, _digest().alias("own_digest")).join(sized(some.withColumnRenamed("digest", "own_digest").withColumnRenamed("size", "own_size").withColumnRenamed("copies", "own_copies"), 4 + 2 * F.coalesce(F.size("own_low"), F.lit(0))), "own_digest", "left")
+    joined = docs.select(*read, _digest().alias("own_digest")).join(some, "own_digest", "left")
 
     def make():
         import pyarrow as pa
