@@ -21,7 +21,7 @@ from .wordhash import prefix_sums, span_hashes, text_bytes
 
 SAMPLE = 10_000
 BUCKETS = 1 << 20
-MIN_DOCUMENTS = 3
+MIN_DOCUMENTS = 2
 PREFIX = 5
 
 _LETTER = np.zeros(256, bool)
@@ -66,7 +66,7 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(self.thresholds - score[:, None], -60, 60)))
 
 
-def fit(row: np.ndarray, bucket: np.ndarray, grade: np.ndarray, penalty: float = 1.5, rounds: int = 150) -> OrdinalModel:
+def fit(row: np.ndarray, bucket: np.ndarray, grade: np.ndarray, penalty: float = 0.5, rounds: int = 150) -> OrdinalModel:
     """Fit on sparse rows. ``penalty`` is the L1 weight in log-likelihood of one row."""
     grades = np.unique(grade)
     n, levels = len(grade), len(grades) - 1
