@@ -120,8 +120,8 @@ def with_normalized_endpoint(df: DataFrame) -> DataFrame:
     """
     there = set(df.columns)
     get = lambda name: F.col(name) if name in there else F.lit(None).cast("string")
-    df = df.withColumn("_given_type", get("endpoint_type")).withColumn("_given_molar", get("value_molar").cast("double"))
-    value, unit, outcome = get("value"), cleaned(get("unit")), cleaned(get("outcome"))
+    df = df.withColumns({"_given_type": cleaned(get("endpoint_type")), "_given_molar": get("value_molar").cast("double"), "_value": get("value").cast("string"), "_unit": cleaned(get("unit")), "_outcome": cleaned(get("outcome"))})
+    value, unit, outcome = F.col("_value"), F.col("_unit"), F.col("_outcome")
     df = df.withColumns(
         {
             "endpoint_type_raw": first_text("_given_type", outcome),
@@ -196,22 +196,41 @@ def with_normalized_endpoint(df: DataFrame) -> DataFrame:
             "potency_value": F.when(F.col("potency_scale_name").isNotNull(), F.col("negative_log10_molar")),
             "threshold_label_eligible": F.col("threshold_label_exclusion_reason") == "",
         }
-    ).drop("_given_type", "_given_molar", "_status", "_molar", "_wide", "value_range")
+    ).drop("_given_type", "_given_molar", "_status", "_molar", "_wide", "_value", "_unit", "_outcome", "value_range")
 
 
-def label_decision(threshold_um: float | None, weak_is_negative: bool, stored: Column | None = None) -> Column:
-    """The label of a normalised measurement as a struct of label, reason, basis and reliability.
+def _with_facts(df: DataFrame, threshold_um: float | None) -> DataFrame:
+    """What the label rules ask of a measurement, as columns, so that each is computed once."""
+    declared = F.col("_declared")
+    low, high = F.col("value_lower_molar"), F.col("value_upper_molar")
+    tau = (threshold_um or 0.0) * 1e-6
+    no = lambda c: F.coalesce(c, F.lit(False))
+    df = df.withColumn("_declared", label_token("outcome_label_normalized"))
+    df = df.withColumns(
+        {
+            "_active": declared.isin("active", "hit", "positive"),
+            "_inactive": declared.isin("inactive", "negative", "no_activity", "not_active"),
+            "_unclear": declared.isin("inconclusive", "indeterminate", "ambiguous", "unspecified", "unknown"),
+            "_numeric": no(F.col("has_numeric_value")),
+            "_use": no(F.col("has_numeric_value") & F.col("endpoint_type").isin(*LABELLED_TYPES)),
+        }
+    )
+    return df.withColumns(
+        {
+            "_under": F.col("_use") & no(high <= tau),
+            "_above": F.col("_use") & no((low > tau) | (low == tau) & ~F.col("value_lower_inclusive")),
+        }
+    )
+
+
+def _label_decision(threshold_um: float | None, weak_is_negative: bool, stored: Column | None = None) -> Column:
+    """The label of a measurement with its facts, as a struct of label, reason, basis and reliability.
 
     A measurement is positive only if its whole interval is at or below the threshold, negative only if it is all
     above and weak activity counts as negative. Declared outcomes that contradict abstain; so do numbers without a
     threshold. A ``stored`` label is used again only without a threshold.
     """
-    declared = label_token("outcome_label_normalized")
-    active = declared.isin("active", "hit", "positive")
-    inactive = declared.isin("inactive", "negative", "no_activity", "not_active")
-    unclear = declared.isin("inconclusive", "indeterminate", "ambiguous", "unspecified", "unknown")
-    numeric = F.coalesce(F.col("has_numeric_value"), F.lit(False))
-    comparable = F.coalesce(F.col("endpoint_type").isin(*LABELLED_TYPES), F.lit(False))
+    active, inactive, unclear, numeric = (F.col(c) for c in ("_active", "_inactive", "_unclear", "_numeric"))
     low, high, q = F.col("value_lower_molar"), F.col("value_upper_molar"), F.col("qualifier_normalized")
 
     rules: list[tuple[Column, int | None, str, str, str]] = []
@@ -229,11 +248,8 @@ def label_decision(threshold_um: float | None, weak_is_negative: bool, stored: C
     elif not 0 < threshold_um < float("inf"):
         add(F.lit(True), None, "invalid_nonpositive_activity_threshold", "configuration", "invalid_policy")
     else:
-        tau = threshold_um * 1e-6
-        use = numeric & comparable
+        use, under, above = F.col("_use"), F.col("_under"), F.col("_above")
         finite = lambda x: F.coalesce((x > 0) & (x < float("inf")), F.lit(True))
-        under = use & F.coalesce(high <= tau, F.lit(False))
-        above = use & F.coalesce((low > tau) | (low == tau) & ~F.col("value_lower_inclusive"), F.lit(False))
         add(use & ~(finite(low) & finite(high)), None, "invalid_nonpositive_or_nonfinite_interval", "numeric_endpoint", "invalid_measurement")
         add(use & q.isin("approx", "unknown"), None, "approximate_or_unknown_qualifier_has_no_defensible_interval", "numeric_endpoint", "insufficient")
         add(use & low.isNull() & high.isNull(), None, "numeric_endpoint_has_no_convertible_molar_interval", "numeric_endpoint", "insufficient")
@@ -265,8 +281,9 @@ def label_decision(threshold_um: float | None, weak_is_negative: bool, stored: C
 
 def with_label(df: DataFrame, threshold_um: float | None = 10.0, weak_is_negative: bool = True, stored: str | None = None) -> DataFrame:
     """Add label (1, 0, null), label_reason, label_basis and label_reliability to normalised measurements."""
-    decided = df.withColumn("_decision", label_decision(threshold_um, weak_is_negative, F.col(stored) if stored else None))
-    return decided.withColumns({"label": F.col("_decision.label"), "label_reason": F.col("_decision.reason"), "label_basis": F.col("_decision.basis"), "label_reliability": F.col("_decision.reliability")}).drop("_decision")
+    facts = _with_facts(df, threshold_um)
+    decided = facts.withColumn("_decision", _label_decision(threshold_um, weak_is_negative, F.col(stored) if stored else None))
+    return decided.withColumns({"label": F.col("_decision.label"), "label_reason": F.col("_decision.reason"), "label_basis": F.col("_decision.basis"), "label_reliability": F.col("_decision.reliability")}).drop("_decision", *(c for c in facts.columns if c not in df.columns))
 
 
 def assertion(positive: Column, negative: Column, unclear: Column) -> Column:

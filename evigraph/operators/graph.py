@@ -23,7 +23,7 @@ def merged(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
             every = F.flatten(F.array_sort(F.collect_list(F.when(F.size(c) > 0, entries))))
             last = F.transform(
                 F.array_distinct(F.transform(every, lambda e: e["k"])),
-                lambda k: F.struct(k, F.element_at(F.filter(every, lambda e: (e["k"] == k) & e["v"].isNotNull()), -1)["v"]),
+                lambda k: F.struct(k, F.try_element_at(F.filter(every, lambda e: (e["k"] == k) & e["v"].isNotNull()), F.lit(-1))["v"]),
             )
             out.append(F.map_from_entries(last).alias(field.name))
         else:
