@@ -17,7 +17,7 @@ from .functions import descriptors as D
 from .functions import endpoint as E
 from .functions import targets as T
 from .functions import text as X
-from .operators import components, evidence, extract, features, graph, quality, similarity
+from .operators import components, evidence, extract, features, graph, mapping, quality, similarity
 from .plans.domain import Tables, over_views
 from .sources import readers, writers
 from .streaming import jobs
@@ -335,6 +335,41 @@ def u1_layers(t):
     return graph.layered(("core", t.part.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"))), ("text", t.supplier.select(F.col("s_suppkey").alias("k"), F.col("s_acctbal").alias("score"))))
 
 
+def extracted_rows(t: Tables) -> DataFrame:
+    """Rows of several kinds as an extractor would append them."""
+    text = lambda c: F.col(c).cast("string")
+    row = lambda df, kind, seq, **data: df.select(F.lit(kind).alias("kind"), F.create_map(*(x for k, v in data.items() for x in (F.lit(k), v))).alias("data"), F.col(seq).cast("long").alias("seq"))
+    similar = F.concat(text("p_partkey"), F.lit(" | "), (F.col("p_partkey") + 1).cast("string"))
+    smiles = F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit("C"), text("p_size"))).otherwise(" ")
+    parts = [
+        row(t.part, "compound", "p_partkey", cid=text("p_partkey"), title=text("p_name"), smiles=smiles, similar_compounds=similar),
+        row(t.supplier, "protein", "s_suppkey", protein_id=text("s_suppkey"), label=text("s_name"), taxid=text("s_nationkey")),
+        row(t.orders, "measuregroup", "o_orderkey", mg_id=text("o_orderkey"), aid=text("o_custkey")),
+        row(t.tested_on, "mg_protein", "mg_id", mg_id=text("mg_id"), protein_id=text("protein_id")),
+        row(t.endpoint, "endpoint", "mg_id", endpoint_id=text("endpoint_id"), type=text("endpoint_type"), sid=text("sid"), mg_id=text("mg_id")),
+    ]
+    return graph.layered(*((str(i), p) for i, p in enumerate(parts))).drop("layer")
+
+
+@query("""SELECT label, node_ref, n_props FROM (
+  SELECT 'Compound' AS label, 'Compound|cid=' || p_partkey AS node_ref, 1 AS n_props FROM part UNION ALL SELECT 'Structure', 'Structure|cid=' || p_partkey, 2 FROM part WHERE p_partkey % 2 = 0
+  UNION ALL SELECT 'Protein', 'Protein|protein_id=' || s_suppkey, 2 FROM supplier UNION ALL SELECT 'MeasureGrp', 'MeasureGrp|mg_id=' || o_orderkey, 0 FROM orders
+  UNION ALL SELECT 'Endpoint', 'Endpoint|endpoint_id=' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey), CASE WHEN l_linenumber % 7 = 6 THEN 0 ELSE 1 END FROM lineitem)""")
+def m1_nodes_of_rows(t):
+    return mapping.nodes_of(extracted_rows(t)).select("label", "node_ref", F.size("props").alias("n_props"))
+
+
+@query("""SELECT type, start_ref, end_ref FROM (
+  SELECT 'SIMILAR_TO' AS type, 'Compound|cid=' || p_partkey AS start_ref, 'Compound|cid=' || (p_partkey + 1) AS end_ref FROM part
+  UNION ALL SELECT 'HAS_STRUCTURE', 'Compound|cid=' || p_partkey, 'Structure|cid=' || p_partkey FROM part WHERE p_partkey % 2 = 0
+  UNION ALL SELECT 'HAS_MEASURE_GROUP', 'BioAssay|aid=' || o_custkey, 'MeasureGrp|mg_id=' || o_orderkey FROM orders
+  UNION ALL SELECT DISTINCT 'TESTED_ON', 'MeasureGrp|mg_id=' || l_orderkey, 'Protein|protein_id=' || l_suppkey FROM lineitem
+  UNION ALL SELECT 'ABOUT_SUBSTANCE', 'Endpoint|endpoint_id=' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey), 'Substance|sid=' || (l_partkey * 10 + l_linenumber) FROM lineitem
+  UNION ALL SELECT 'HAS_ENDPOINT', 'MeasureGrp|mg_id=' || l_orderkey, 'Endpoint|endpoint_id=' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) FROM lineitem)""")
+def m9_edges_of_rows(t):
+    return mapping.edges_of(extracted_rows(t)).drop("seq")
+
+
 # Components and splits ----------------------------------------------------------------------------------------
 
 COMPONENTS_SQL = """, links AS (SELECT a, b FROM similar_to UNION ALL SELECT b, a FROM similar_to),
