@@ -139,3 +139,49 @@ def table_hash(df: DataFrame, order: list[str]) -> DataFrame:
     rows = df.select(F.sha2(F.to_json(F.struct(*sorted(df.columns))), 256).alias("h"), F.struct(*order).alias("o"))
     blocks = rows.withColumn("b", F.substring("h", 1, 3)).groupBy("b").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("h"), F.count("*").alias("n"))
     return blocks.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "h"))), lambda x: x["h"]), ""), 256).alias("content_sha256"), F.sum("n").alias("n_rows"))
+
+
+def missing_fractions(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Share of missing or blank values of each column, most first."""
+    blank = lambda c: (F.col(f"`{c}`").isNull() | (F.trim(F.col(f"`{c}`").cast("string")) == "")).cast("double")
+    wide = df.agg(*(F.avg(blank(c)).alias(f"m_{i}") for i, c in enumerate(columns)))
+    rows = F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"m_{i}").alias("missing_fraction")) for i, c in enumerate(columns)))
+    return wide.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def similarity_quality(edges: DataFrame, nodes: DataFrame, asserted: DataFrame) -> DataFrame:
+    """Similarity edges in all, with both ends known, dangling; distinct missing ends; nodes that only similarity names.
+
+    ``edges(a, b)``, ``nodes(id)``, ``asserted(id)``."""
+    known = nodes.select("id").distinct()
+    ends = edges.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    missing = ends.join(known, "id", "left_anti")
+    only = ends.join(known, "id", "left_semi").join(asserted.select("id").distinct(), "id", "left_anti")
+    flagged = edges.join(known.select(F.col("id").alias("a"), F.lit(1).alias("_a")), "a", "left").join(known.select(F.col("id").alias("b"), F.lit(1).alias("_b")), "b", "left")
+    counts = flagged.agg(F.count("*").alias("n_edges"), F.count_if(F.col("_a").isNotNull() & F.col("_b").isNotNull()).alias("n_valid"))
+    # One row each.
+    one = counts.join(F.broadcast(missing.agg(F.count("*").alias("n_missing_ids")))).join(F.broadcast(only.agg(F.count("*").alias("n_similarity_only"))))
+    return one.withColumn("n_dangling", F.col("n_edges") - F.col("n_valid"))
+
+
+def layer_status(layers: dict[str, DataFrame], requested: list[str]) -> DataFrame:
+    """Rows of each optional layer and what that says of it; one count a layer."""
+    out = None
+    for name, rows in layers.items():
+        one = rows.agg(F.count("*").alias("n_rows")).withColumn("layer", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    asked = F.col("layer").isin(*requested) if requested else F.lit(False)
+    status = F.when(F.col("n_rows") > 0, "materialized").when(asked, "requested_but_empty").otherwise("not_requested")
+    return out.withColumn("status", status)
+
+
+def annotation_sets(edges: DataFrame, key: str, relation: str, ref: str, relations: list[str], cap: int = 100) -> DataFrame:
+    """Distinct annotations of each key by relation, and the first ``cap`` of them in order; rows are made distinct and
+    cut before lists are gathered."""
+    from .graph import capped
+
+    once = edges.select(key, relation, ref).distinct()
+    counts = once.groupBy(key).agg(*(F.count_if(F.col(relation) == r).alias(f"n_{r}") for r in relations))
+    first = capped(once, [key, relation], [F.col(ref)], cap)
+    lists = first.groupBy(key).agg(*(F.array_sort(F.collect_list(F.when(F.col(relation) == r, F.col(ref)))).alias(f"refs_{r}") for r in relations))
+    return counts.join(lists, key)

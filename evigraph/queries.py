@@ -797,3 +797,82 @@ def v3_keyed_upsert_stream(t):
     started.awaitTermination()
     last = started.lastProgress["batchId"] if started.lastProgress else 0
     return t.spark.read.parquet(f"{path}/table/version={last}").select("user_id", "event_type", "event_id")
+
+
+# More profiles -----------------------------------------------------------------------------------------------
+
+
+@query("SELECT l_suppkey AS k, count(DISTINCT l_partkey) FILTER (WHERE l_returnflag = 'A') AS \"n_A\", count(DISTINCT l_partkey) FILTER (WHERE l_returnflag = 'N') AS \"n_N\" FROM lineitem GROUP BY 1")
+def a10_annotation_sets(t):
+    found = quality.annotation_sets(t.lineitem.withColumn("k", F.col("l_suppkey")), "k", "l_returnflag", "l_partkey", ["A", "N"])
+    return found.select("k", "n_A", "n_N")
+
+
+@query("SELECT c_mktsegment AS kind, count(*) AS n, avg(d) AS mean, median(d) AS median, max(d) AS max FROM (SELECT o_custkey, count(*) AS d FROM orders GROUP BY 1) JOIN customer ON c_custkey = o_custkey GROUP BY 1")
+def a16_degree_by_type(t):
+    degree = t.orders.groupBy("o_custkey").agg(F.count("*").alias("d")).join(t.customer, F.col("c_custkey") == F.col("o_custkey"))
+    return degree.groupBy(F.col("c_mktsegment").alias("kind")).agg(F.count("*").alias("n"), F.avg("d").alias("mean"), F.median("d").alias("median"), F.max("d").alias("max"))
+
+
+@query(over_views(PAIR_SQL + "SELECT label, round(avg(n_ic50), 6) AS mean_ic50, round(avg(coalesce(min_value_um, 0)), 3) AS mean_um FROM featured GROUP BY 1"))
+def a18_mean_by_label(t):
+    found = evidence.endpoint_features(paths(t))
+    return found.groupBy("label").agg(F.round(F.avg("n_ic50"), 6).alias("mean_ic50"), F.round(F.avg(F.coalesce("min_value_um", F.lit(0.0))), 3).alias("mean_um"))
+
+
+@query("SELECT 'o_orderpriority' AS \"column\", avg(CAST(o_orderkey % 9 = 0 AS INTEGER)) AS missing_fraction FROM orders UNION ALL SELECT 'o_custkey', avg(CAST(o_orderkey % 5 = 0 AS INTEGER)) FROM orders")
+def a19_missing_fractions(t):
+    rows = t.orders.select(F.when(F.col("o_orderkey") % 9 == 0, " ").otherwise(F.col("o_orderpriority")).alias("o_orderpriority"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey")).alias("o_custkey"))
+    return quality.missing_fractions(rows, ["o_orderpriority", "o_custkey"])
+
+
+@query("SELECT avg(CAST(o_orderkey % 9 <> 0 OR o_orderkey % 5 <> 0 AS INTEGER)) AS covered FROM orders")
+def a24_alias_coverage(t):
+    rows = t.orders.select(F.when(F.col("o_orderkey") % 9 == 0, " ").otherwise("x").alias("a"), F.when(F.col("o_orderkey") % 5 != 0, F.lit(1)).alias("b"))
+    return rows.agg(F.avg(features.any_present("a", "b").cast("int")).alias("covered"))
+
+
+@query(over_views("""SELECT count(*) AS n_edges, count(*) FILTER (WHERE a % 20 <> 0 AND b % 20 <> 0) AS n_valid, count(*) FILTER (WHERE a % 20 = 0 OR b % 20 = 0) AS n_dangling,
+  (SELECT count(DISTINCT x) FROM (SELECT a AS x FROM similar_to UNION SELECT b FROM similar_to) WHERE x % 20 = 0) AS n_missing_ids,
+  (SELECT count(DISTINCT x) FROM (SELECT a AS x FROM similar_to UNION SELECT b FROM similar_to) WHERE x % 20 <> 0 AND x % 3 <> 0) AS n_similarity_only FROM similar_to"""))
+def a26_similarity_quality(t):
+    nodes = t.compound.select(F.col("cid").alias("id")).filter("id % 20 != 0")
+    return quality.similarity_quality(t.similar_to, nodes, nodes.filter("id % 3 = 0"))
+
+
+@query("SELECT 'suppliers' AS layer, count(*) AS n_rows, 'materialized' AS status FROM supplier UNION ALL SELECT 'none', 0, 'requested_but_empty' UNION ALL SELECT 'left', 0, 'not_requested'")
+def a28_layer_status(t):
+    return quality.layer_status({"suppliers": t.supplier, "none": t.supplier.filter("s_suppkey < 0"), "left": t.part.filter("p_partkey < 0")}, ["suppliers", "none"])
+
+
+@query("SELECT lang, length(text) AS n_chars, count(*) AS n FROM documents GROUP BY 1, 2")
+def a31_text_lengths(t):
+    return t.documents.groupBy("lang", F.length("text").cast("long").alias("n_chars")).agg(F.count("*").alias("n"))
+
+
+@query(over_views("SELECT DISTINCT x.cid, x.protein_id FROM evidence x JOIN (SELECT l_partkey AS cid, l_suppkey AS protein_id FROM lineitem WHERE l_discount > 0.08) v USING (cid, protein_id)"))
+def j24_validated_pairs(t):
+    records = t.lineitem.filter("l_discount > 0.08").select(F.col("l_partkey").alias("cid"), F.col("l_suppkey").alias("protein_id"))
+    return paths(t).select("cid", "protein_id").distinct().join(records.distinct(), ["cid", "protein_id"], "left_semi")
+
+
+@query(over_views("SELECT DISTINCT b AS cid FROM similar_to WHERE b % 4 = 0"))
+def j33_missing_neighbours(t):
+    known = t.compound.filter("cid % 4 != 0")
+    return t.similar_to.select(F.col("b").alias("cid")).distinct().join(known, "cid", "left_anti")
+
+
+@query("SELECT p_brand AS relation, dense_rank() OVER (ORDER BY p_brand) - 1 AS relation_id FROM (SELECT DISTINCT p_brand FROM part)")
+def ow8_relation_ids(t):
+    return graph.dense_ids(t.part.select(F.col("p_brand").alias("relation")).distinct(), ["relation"], "relation_id")
+
+
+@query(over_views(PAIR_SQL + "SELECT cid, protein_id, label, CASE WHEN label = 0 THEN 'weak_or_declared_inactive_measurement' END AS negative_source FROM featured WHERE label IS NOT NULL"))
+def u3_training_pairs(t):
+    return evidence.training_pairs(evidence.endpoint_features(paths(t))).select("cid", "protein_id", "label", "negative_source")
+
+
+@query("SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' WHEN 2 THEN 'unknown' WHEN 3 THEN 'other' ELSE 'positive' END AS name FROM orders")
+def l5_label_names(t):
+    form = F.get(F.array(F.lit("1"), F.lit(" Inactive"), F.lit(None), F.lit("x"), F.lit("True")), F.col("o_orderkey") % 5)
+    return t.orders.select("o_orderkey", quality.label_name(form).alias("name"))
