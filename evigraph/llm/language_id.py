@@ -15,8 +15,6 @@ or has no letter is ``und`` with score 0. Ties go to the language first in order
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,13 +79,15 @@ class Automaton:
                         state = link[state]
                     link[target] = link[new] = copy
             last = new
-        # A symbol without an edge ends the phrase and starts the next one from the root.
-        start = np.array([edges[0].get(c, 0) * alphabet for c in range(alphabet)], np.uint32)
-        table = np.tile(start | np.uint32(self.END), (len(edges), 1))
+        # A symbol without an edge ends the phrase and starts the next one from the root; one that the text
+        # lacks is a phrase by itself, after which the extra last state ends it.
+        start = np.array([edges[0].get(c, len(edges)) * alphabet for c in range(alphabet)], np.uint32)
+        table = np.tile(start | np.uint32(self.END), (len(edges) + 1, 1))
         for state, row in enumerate(edges):
             for c, target in row.items():
                 table[state, c] = target * alphabet
         self.table = table.reshape(-1)
+        self.start = len(edges) * alphabet
         self.bits = float(np.log2(max(2, len(symbols))))
 
 
@@ -133,8 +133,9 @@ class Parser:
         padded = np.concatenate([symbols, np.zeros(PIECE, np.uint8)]).astype(np.uint32)
         for k, automaton in enumerate(self.automata):
             table, mask, top = automaton.table, np.uint32(Automaton.END - 1), np.uint32(31)
-            state = np.zeros(len(start), np.uint32)
-            ends = np.ones(len(start), np.uint32)
+            # From the last state, every first symbol begins a phrase.
+            state = np.full(len(start), automaton.start, np.uint32)
+            ends = np.zeros(len(start), np.uint32)
             for t, n in enumerate(live.tolist()):
                 step = table[state[:n] + padded[start[:n] + t]]
                 ends[:n] += step >> top
@@ -143,11 +144,6 @@ class Parser:
         return out
 
 
-@functools.lru_cache(1)
-def _parser(sample: tuple[tuple[str, bytes], ...]) -> Parser:
-    return Parser(sample)
-
-
 FIELDS = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
 
 
@@ -166,7 +162,7 @@ def with_language(docs: DataFrame, labelled: DataFrame, keep: list[str] | None =
 
         if not shared.value:
             return lambda batch: [pa.array(["und"] * len(batch)), pa.array(np.zeros(len(batch)))]
-        parser = _parser(shared.value)
+        parser = Parser(shared.value)  # for each task, so that workers don't keep it
         names = np.array(parser.langs, object)
         bits = np.array([a.bits for a in parser.automata])
 
