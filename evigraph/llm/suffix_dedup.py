@@ -208,9 +208,10 @@ def _repeated_by_identifier(around: DataFrame) -> DataFrame:
     return hit.select("digest", "low", "high")
 
 
-def with_repeats(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT) -> DataFrame:
+def with_repeats(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT, fields: list[StructField] | None = None, derive=None) -> DataFrame:
     """``docs`` (or its columns ``keep``) with ``repeat_spans``: from, to, from, to ... of the maximal repeated runs of
-    bytes. Column names starting with ``own_`` are used on the way."""
+    bytes; or with ``fields``, which ``derive`` makes of a batch and the spans of its rows, in the same pass over the
+    texts. Column names starting with ``own_`` are used on the way."""
     names = docs.columns if keep is None else keep
     known = docs.select(_digest().alias("digest"), F.octet_length(F.coalesce("text", F.lit(""))).alias("size"), F.coalesce("doc_id", F.lit(-1 << 62)).alias("first_id"))
     texts = written(known.groupBy("digest").agg(F.first("size").alias("size"), F.count("*").alias("copies"), F.min("first_id").alias("first_id")), "texts")
@@ -253,13 +254,13 @@ def with_repeats(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT)
                         else:
                             merged += [a, b]
                 out.append(merged)
-            return [pa.array(out, pa.list_(pa.int64()))]
+            return derive(pa, batch, out) if derive else [pa.array(out, pa.list_(pa.int64()))]
 
         return compute
 
     working = ["own_low", "own_high", "own_size", "own_copies"]
-    fields = [StructField("repeat_spans", ArrayType(LongType()))]
-    return with_computed(joined.drop("own_digest"), fields, make, keep=[*names, *working]).drop(*working)
+    made = fields if derive else [StructField("repeat_spans", ArrayType(LongType()))]
+    return with_computed(joined.drop("own_digest"), made, make, keep=names, read=working)
 
 
 def _kept(data: np.ndarray, spans: list[int]) -> bytes:
@@ -272,20 +273,14 @@ def _kept(data: np.ndarray, spans: list[int]) -> bytes:
 def removal_digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 (of the bytes that remain) of every row of ``docs``."""
 
-    def make():
-        import pyarrow as pa
-
-        def compute(batch):
-            data, offsets = text_bytes(column(batch, "text"))
-            spans = column(batch, "repeat_spans").to_pylist()
-            digests = [hashlib.sha256(_kept(data[a:b], s)).hexdigest() for a, b, s in zip(offsets.tolist(), offsets[1:].tolist(), spans)]
-            removed = [sum(s[1::2]) - sum(s[::2]) for s in spans]
-            return [pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array([len(s) // 2 for s in spans], pa.int64()), pa.array(digests)]
-
-        return compute
+    def derive(pa, batch, spans):
+        data, offsets = text_bytes(column(batch, "text"))
+        digests = [hashlib.sha256(_kept(data[a:b], s)).hexdigest() for a, b, s in zip(offsets.tolist(), offsets[1:].tolist(), spans)]
+        removed = [sum(s[1::2]) - sum(s[::2]) for s in spans]
+        return [pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array([len(s) // 2 for s in spans], pa.int64()), pa.array(digests)]
 
     fields = [StructField("n_bytes", LongType()), StructField("n_removed", LongType()), StructField("n_spans", LongType()), StructField("kept_sha256", StringType())]
-    return with_computed(with_repeats(docs.select("doc_id", "text"), keep=["doc_id", "text"]), fields, make, keep=["doc_id"], read=["repeat_spans"])
+    return with_repeats(docs.select("doc_id", "text"), keep=["doc_id"], fields=fields, derive=derive)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
@@ -294,22 +289,16 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Bytes of a character that was cut apart go too, as they are no text. A null text stays null.
     """
 
-    def make():
-        import pyarrow as pa
-
-        def compute(batch):
-            text = column(batch, "text")
-            data, offsets = text_bytes(text)
-            spans = column(batch, "repeat_spans").to_pylist()
-            there = text.is_valid().to_pylist()
-            rest = [_kept(data[a:b], s).decode("utf-8", "ignore") if ok else None for a, b, s, ok in zip(offsets.tolist(), offsets[1:].tolist(), spans, there)]
-            return [pa.array(rest, pa.string())]
-
-        return compute
+    def derive(pa, batch, spans):
+        text = column(batch, "text")
+        data, offsets = text_bytes(text)
+        there = text.is_valid().to_pylist()
+        rest = [_kept(data[a:b], s).decode("utf-8", "ignore") if ok else None for a, b, s, ok in zip(offsets.tolist(), offsets[1:].tolist(), spans, there)]
+        return [pa.array(rest, pa.string())]
 
     names = docs.columns
     prefixed = docs.select(*(F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"in_{c}") for c in names))
-    found = with_computed(with_repeats(prefixed), [StructField("kept_text", StringType())], make)
+    found = with_repeats(prefixed, keep=[c for c in prefixed.columns if c != "text"], fields=[StructField("kept_text", StringType())], derive=derive)
     columns = {c: F.col(f"`in_{c}`") for c in names} | {"doc_id": F.col("doc_id"), "text": F.col("kept_text")}
     if "n_chars" in columns:
         columns["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
