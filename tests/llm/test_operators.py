@@ -80,7 +80,7 @@ def components_by_force(texts):
     return sets, label
 
 
-@pytest.mark.parametrize("region_rows", [4000, 1])
+@pytest.mark.parametrize("region_rows", [30_000, 1])
 def test_jaccard_join(spark, region_rows):
     texts = awkward()
     for k in range(25):  # a family whose members are linked in part
@@ -118,7 +118,7 @@ def test_representatives(spark):
 @pytest.mark.parametrize("hot", [50_000, 1])
 def test_suffix_dedup(spark, monkeypatch, hot):
     texts = awkward() + ["pre " + " ".join(BASE[100:150]) + " post" * 30]
-    monkeypatch.setattr(suffix_dedup.with_repeats, "__defaults__", (None, hot))
+    monkeypatch.setattr(suffix_dedup.with_repeats, "__defaults__", (None, hot, None, None))
     data = [(t or "").encode() for t in texts]
     counts = collections.Counter(d[k : k + 200] for d in data for k in range(len(d) - 199))
     found = {r.doc_id: r for r in suffix_dedup.removal_digests(table(spark, texts)).collect()}
