@@ -15,6 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from .arrow import SLICE, bounded_batches
 from .pretokens import CachedEncoder
 from .storage import slices
 
@@ -115,14 +116,14 @@ def _coded(docs: DataFrame, ranks: str, schema: str, row) -> DataFrame:
         codec = ByteBPE(ranks)
         at = names.index("text")
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 20):
+            for batch in slices(whole, "text", SLICE):
                 ids, n = codec.encode(batch.column(at))
                 ends = np.concatenate([[0], np.cumsum(n)])
                 edges = np.concatenate([[0], np.cumsum(codec.sizes(ids))])[ends].tolist()
                 plain = codec.decode(ids).tobytes()
                 yield row(pa, batch, ids, ends, [plain[a:b] for a, b in zip(edges, edges[1:])])
 
-    return docs.mapInArrow(run, schema)
+    return bounded_batches(docs).mapInArrow(run, schema)
 
 
 def encoded_digests(docs: DataFrame, ranks: str) -> DataFrame:

@@ -38,7 +38,9 @@ from .token_counts import word_spans
 from .wordhash import MIX, mixed, prefix_sums, span_hashes, text_bytes
 
 WORDS = 5
-REGION = 4_000
+#: Documents of a region that one task joins; bounds its work to a product of sorted windows.
+REGION = 30_000
+#: Histograms are folded to so many bins for the distances to pivots.
 BINS = 64
 #: Rows of ids that may be broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
@@ -78,8 +80,8 @@ def window_size(n: int) -> int:
 
 
 def histogram(shingles: np.ndarray) -> bytes:
-    """Counts of shingles by the high bits of their hash, at most 255, in BINS * 2**k bins for about 12 each."""
-    bits = max(BINS.bit_length() - 1, (len(shingles) // 12).bit_length())
+    """Counts of shingles by the high bits of their hash, at most 255, in BINS * 2**k bins for one or two each."""
+    bits = max(BINS.bit_length() - 1, (len(shingles) // 2).bit_length())
     return np.minimum(np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
 
 
@@ -135,16 +137,32 @@ def exact_links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
-def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.abs(a.astype(np.int32) - b.astype(np.int32)).sum(axis=-1)
+def _folded(bins: np.ndarray, to: int) -> np.ndarray:
+    """Rows of counts summed up to fewer bins."""
+    return bins.reshape(len(bins), to, -1).sum(axis=2, dtype=np.int16)
+
+
+def _distance(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
+    return np.abs(rows - one).sum(axis=1, dtype=np.int64)
 
 
 class Region:
-    """Members of one region: node, size, component and histograms folded to BINS bins and whole."""
+    """Members of one region: node, size, component and histograms, whole and folded."""
 
     def __init__(self, node, size, component, bins: list[bytes]):
-        self.node, self.size, self.component, self.bins = node, size, component, bins
-        self.folded = np.stack([np.frombuffer(b, np.uint8).reshape(BINS, -1).sum(axis=1) for b in bins]).astype(np.int32)
+        self.node, self.size, self.component = node, size, component
+        self.bins = np.array([len(b) for b in bins])
+        self.place = np.zeros(len(bins), np.int64)
+        self.folded = np.zeros((len(bins), BINS), np.int16)
+        # Members of one number of bins as a matrix, also with half as many for those that are smaller.
+        self.whole, self.half = {}, {}
+        for n in np.unique(self.bins).tolist():
+            which = np.flatnonzero(self.bins == n)
+            rows = np.frombuffer(b"".join(bins[i] for i in which), np.uint8).reshape(len(which), n)
+            self.place[which] = np.arange(len(which))
+            self.whole[n] = rows.astype(np.int16)
+            self.half[n] = _folded(rows, max(n // 2, 1))
+            self.folded[which] = _folded(rows, BINS)
         self.found: set[tuple[int, int]] = set()
 
     def join(self) -> set[tuple[int, int]]:
@@ -155,8 +173,7 @@ class Region:
     def _join(self, who: np.ndarray) -> None:
         if len(who) > 256:
             reach = 2 * int(self.size[who].max()) // 9  # no linked pair differs by more
-            first = who[0]
-            far = _distance(self.folded[who], self.folded[first])
+            far = _distance(self.folded[who], self.folded[who[0]])
             other = who[int(far.argmax())]
             gap = _distance(self.folded[who], self.folded[other]) - far
             near, beyond = who[gap >= -2 * reach], who[gap <= 2 * reach]
@@ -168,24 +185,19 @@ class Region:
 
     def _compare(self, who: np.ndarray) -> None:
         """Members in order of size: each with those up to a quarter larger."""
-        size = self.size[who]
-        stop = np.searchsorted(size, size * 5 // 4, side="right")
+        stop = np.searchsorted(self.size[who], self.size[who] * 5 // 4, side="right")
         for i in range(len(who) - 1):
-            others = who[i + 1 : stop[i]]
-            others = others[self.component[others] != self.component[who[i]]]
-            if not len(others):
-                continue
-            close = 9 * _distance(self.folded[others], self.folded[who[i]]) <= self.size[others] + self.size[who[i]]
-            for j in others[close].tolist():
-                if self._fine(who[i], j):
-                    a, b = int(self.node[who[i]]), int(self.node[j])
-                    self.found.add((min(a, b), max(a, b)))
-
-    def _fine(self, i: int, j: int) -> bool:
-        x, y = np.frombuffer(self.bins[i], np.uint8), np.frombuffer(self.bins[j], np.uint8)
-        bins = min(len(x), len(y))
-        x, y = x.reshape(bins, -1).sum(axis=1, dtype=np.int64), y.reshape(bins, -1).sum(axis=1, dtype=np.int64)
-        return bool(9 * np.abs(x - y).sum() <= self.size[i] + self.size[j])
+            one, others = who[i], who[i + 1 : stop[i]]
+            others = others[self.component[others] != self.component[one]]
+            if len(others) > 8:  # coarse bins first
+                others = others[9 * _distance(self.folded[others], self.folded[one]) <= self.size[others] + self.size[one]]
+            n = int(self.bins[one])
+            for rows, bins in ((self.whole, n), (self.half, 2 * n)):
+                same = others[self.bins[others] == bins]
+                if len(same):
+                    close = 9 * _distance(rows[bins][self.place[same]], self.whole[n][self.place[one]]) <= self.size[same] + self.size[one]
+                    a = int(self.node[one])
+                    self.found.update((min(a, b), max(a, b)) for b in self.node[same[close]].tolist())
 
 
 def region_pairs(members: DataFrame) -> DataFrame:
@@ -270,7 +282,10 @@ def linked(docs: DataFrame, region_rows: int = REGION) -> DataFrame:
     preliminary = components(links)
 
     placed = rows.join(preliminary, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed_regions = placed.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("region")
+    # Of regions with the same documents, which are many, one is joined.
+    members_hash = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in (1, 2)]
+    mixed_regions = placed.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("count"), *members_hash).filter("low != high")
+    mixed_regions = mixed_regions.groupBy("low", "high", "count", "h1", "h2").agg(F.min("region").alias("region")).select("region")
     members = placed.join(mixed_regions, "region", "left_semi").select("region", "node", "component").join(infos, "node")
     more = written(exact_links(written(region_pairs(members), "pairs"), docs), "links")
     final = components(links.unionByName(more).unionByName(member.select(F.col("node").alias("a"), F.col("doc_id").alias("b"))))
@@ -297,9 +312,10 @@ def representatives(docs: DataFrame) -> DataFrame:
 
 def _possible(pairs: DataFrame, infos: DataFrame) -> DataFrame:
     """Pairs that sizes and histograms don't rule out."""
-    a = infos.select(F.col("node").alias("a"), F.col("size").alias("n"), F.col("bins").alias("x"))
-    b = infos.select(F.col("node").alias("b"), F.col("size").alias("m"), F.col("bins").alias("y"))
-    sized = pairs.join(a, "a").join(b, "b").filter("5 * least(n, m) >= 4 * greatest(n, m)")
+    side = lambda name, size: infos.select(F.col("node").alias(name), F.col("size").alias(size))
+    sized = pairs.join(side("a", "n"), "a").join(side("b", "m"), "b").filter("5 * least(n, m) >= 4 * greatest(n, m)")
+    sized = sized.join(infos.select(F.col("node").alias("a"), F.col("size").alias("n"), F.col("bins").alias("x")), ["a", "n"])
+    sized = sized.join(infos.select(F.col("node").alias("b"), F.col("size").alias("m"), F.col("bins").alias("y")), ["b", "m"])
 
     def check(batches: Iterator) -> Iterator:
         for batch in batches:

@@ -27,7 +27,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash factor and of its inverse modulo 2**64."""
     if len(_powers[0]) < n:
         for k, factor in enumerate((_FACTOR, _INVERSE)):
-            row = np.full(max(n, 1 << 20), factor)
+            row = np.full(max(n, 1 << 19), factor)
             row[0] = 1
             _powers[k] = np.multiply.accumulate(row)
     return _powers[0][:n], _powers[1][:n]
