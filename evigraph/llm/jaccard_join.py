@@ -6,8 +6,8 @@ linked. The join goes from coarse to fine pivots:
 1. Pivots are single shingles. A document that holds a shingle is nearer to it (1 - 1/n) than one that doesn't (1),
    so a shingle's Voronoi region is its holders. Linked sets of n shingles at most differ so little that they share
    one of the n - ceil(0.8 n) + 1 shingles that come first by hash: into those regions a document is replicated.
-2. In a region every document is first compared with the smallest one, its pivot; the exact links found make up
-   preliminary components, and only pairs across these are still of interest.
+2. In a region every document is first compared with two pivots, the smallest and the largest; the exact links
+   found make up preliminary components, and only pairs across these are still of interest.
 3. Regions with more than one component are joined recursively: two members become pivots, the others go to the
    nearer one and, within the window that the triangle inequality sets, to both. The distance there is the L1 distance
    of histograms of shingle hashes, which is a metric that never exceeds the size of the symmetric difference.
@@ -80,9 +80,16 @@ def window_size(n: int) -> int:
 
 
 def histogram(shingles: np.ndarray) -> bytes:
-    """Counts of shingles by the high bits of their hash, at most 255, in BINS * 2**k bins for one or two each."""
-    bits = max(BINS.bit_length() - 1, (len(shingles) // 2).bit_length())
-    return np.minimum(np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 255).astype(np.uint8).tobytes()
+    """Counts of shingles by the high bits of their hash in BINS * 2**k bins, two to four for each; a count is at most
+    3 and takes two bits."""
+    bits = max(BINS.bit_length() + 1, (2 * len(shingles)).bit_length())
+    counts = np.minimum(np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 3).astype(np.uint8).reshape(-1, 4)
+    return (counts[:, 0] | counts[:, 1] << 2 | counts[:, 2] << 4 | counts[:, 3] << 6).tobytes()
+
+
+def counts_of(packed: np.ndarray) -> np.ndarray:
+    """The counts of rows of packed histograms."""
+    return np.stack([packed >> k & 3 for k in (0, 2, 4, 6)], axis=-1).reshape(*packed.shape[:-1], -1)
 
 
 def sets_table(docs: DataFrame) -> DataFrame:
@@ -160,8 +167,9 @@ class Region:
             which = np.flatnonzero(self.bins == n)
             rows = np.frombuffer(b"".join(bins[i] for i in which), np.uint8).reshape(len(which), n)
             self.place[which] = np.arange(len(which))
+            rows = counts_of(rows)
             self.whole[n] = rows.astype(np.int16)
-            self.half[n] = _folded(rows, max(n // 2, 1))
+            self.half[n] = _folded(rows, rows.shape[1] // 2)
             self.folded[which] = _folded(rows, BINS)
         self.found: set[tuple[int, int]] = set()
 
@@ -276,8 +284,10 @@ def linked(docs: DataFrame, region_rows: int = REGION) -> DataFrame:
         rows = written(rows.filter(F.col("count") <= region_rows).unionByName(_rejoined(large, docs)), "regions")
     infos = full.join(_sized(copies), F.col("doc_id") == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "bins").dropDuplicates(["node", "size", "bins"])
 
-    # Each region's pivot with the others.
-    stars = rows.filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+    # Each region's two pivots, its smallest and largest document, with the others.
+    last = rows.join(rows.groupBy("region").agg(F.max("node").alias("last")), "region").filter("node != last and pivot != last")
+    stars = rows.filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
+    stars = stars.unionByName(last.select(F.col("node").alias("a"), F.col("last").alias("b"))).distinct()
     links = written(exact_links(_possible(stars, infos), docs), "links")
     preliminary = components(links)
 
@@ -322,7 +332,7 @@ def _possible(pairs: DataFrame, infos: DataFrame) -> DataFrame:
             n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             keep = []
             for k, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+                x, y = counts_of(np.frombuffer(x.as_buffer(), np.uint8)), counts_of(np.frombuffer(y.as_buffer(), np.uint8))
                 bins = min(len(x), len(y))
                 x, y = x.reshape(bins, -1).sum(axis=1, dtype=np.int64), y.reshape(bins, -1).sum(axis=1, dtype=np.int64)
                 keep.append(9 * np.abs(x - y).sum() <= n[k] + m[k])
