@@ -10,7 +10,9 @@ linked. The join goes from coarse to fine pivots:
    found make up preliminary components, and only pairs across these are still of interest.
 3. Regions with more than one component are joined recursively: two members become pivots, the others go to the
    nearer one and, within the window that the triangle inequality sets, to both. The distance there is the L1 distance
-   of histograms of shingle hashes, which is a metric that never exceeds the size of the symmetric difference.
+   of histograms of shingle hashes over the same bins, which is a metric that never exceeds the size of the symmetric
+   difference. Counts that are clipped are clipped again when bins are summed: min(min(a, 3) + min(b, 3), 3) is
+   min(a + b, 3), so sets of different sizes are compared at one level.
 4. Pairs that remain are compared exactly.
 
 A region of more than REGION documents is joined again on all shingles of its documents, the rarest first, which
@@ -80,15 +82,18 @@ def window_size(n: int) -> int:
 
 
 def histogram(shingles: np.ndarray) -> bytes:
-    """Counts of shingles by the high bits of their hash in BINS * 2**k bins, two to four for each; a count is at most
-    3 and takes two bits."""
+    """Counts of shingles by the high bits of their hash: in BINS bins, a byte each (at most 255), then in BINS * 2**k
+    bins, two to four for each shingle, two bits each (at most 3)."""
     bits = max(BINS.bit_length() + 1, (2 * len(shingles)).bit_length())
-    counts = np.minimum(np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits), 3).astype(np.uint8).reshape(-1, 4)
-    return (counts[:, 0] | counts[:, 1] << 2 | counts[:, 2] << 4 | counts[:, 3] << 6).tobytes()
+    whole = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    coarse = np.minimum(whole.reshape(BINS, -1).sum(axis=1), 255).astype(np.uint8)
+    counts = np.minimum(whole, 3).astype(np.uint8).reshape(-1, 4)
+    return coarse.tobytes() + (counts[:, 0] | counts[:, 1] << 2 | counts[:, 2] << 4 | counts[:, 3] << 6).tobytes()
 
 
 def counts_of(packed: np.ndarray) -> np.ndarray:
-    """The counts of rows of packed histograms."""
+    """The fine counts of rows of packed histograms."""
+    packed = packed[..., BINS:]
     return np.stack([packed >> k & 3 for k in (0, 2, 4, 6)], axis=-1).reshape(*packed.shape[:-1], -1)
 
 
@@ -145,8 +150,8 @@ def exact_links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def _folded(bins: np.ndarray, to: int) -> np.ndarray:
-    """Rows of counts summed up to fewer bins."""
-    return bins.reshape(len(bins), to, -1).sum(axis=2, dtype=np.int16)
+    """Rows of fine counts summed up to fewer bins, and clipped as if they had been counted there."""
+    return np.minimum(bins.reshape(len(bins), to, -1).sum(axis=2, dtype=np.int16), 3)
 
 
 def _distance(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
@@ -154,23 +159,23 @@ def _distance(rows: np.ndarray, one: np.ndarray) -> np.ndarray:
 
 
 class Region:
-    """Members of one region: node, size, component and histograms, whole and folded."""
+    """Members of one region: node, size, component and histograms, fine and coarse."""
 
     def __init__(self, node, size, component, bins: list[bytes]):
         self.node, self.size, self.component = node, size, component
-        self.bins = np.array([len(b) for b in bins])
+        self.bins = np.array([len(b) - BINS for b in bins])
         self.place = np.zeros(len(bins), np.int64)
         self.folded = np.zeros((len(bins), BINS), np.int16)
         # Members of one number of bins as a matrix, also with half as many for those that are smaller.
         self.whole, self.half = {}, {}
         for n in np.unique(self.bins).tolist():
             which = np.flatnonzero(self.bins == n)
-            rows = np.frombuffer(b"".join(bins[i] for i in which), np.uint8).reshape(len(which), n)
+            rows = np.frombuffer(b"".join(bins[i] for i in which), np.uint8).reshape(len(which), BINS + n)
             self.place[which] = np.arange(len(which))
+            self.folded[which] = rows[:, :BINS]
             rows = counts_of(rows)
             self.whole[n] = rows.astype(np.int16)
             self.half[n] = _folded(rows, rows.shape[1] // 2)
-            self.folded[which] = _folded(rows, BINS)
         self.found: set[tuple[int, int]] = set()
 
     def join(self) -> set[tuple[int, int]]:
@@ -332,10 +337,13 @@ def _possible(pairs: DataFrame, infos: DataFrame) -> DataFrame:
             n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
             keep = []
             for k, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
-                x, y = counts_of(np.frombuffer(x.as_buffer(), np.uint8)), counts_of(np.frombuffer(y.as_buffer(), np.uint8))
-                bins = min(len(x), len(y))
-                x, y = x.reshape(bins, -1).sum(axis=1, dtype=np.int64), y.reshape(bins, -1).sum(axis=1, dtype=np.int64)
-                keep.append(9 * np.abs(x - y).sum() <= n[k] + m[k])
+                x, y = (np.frombuffer(v.as_buffer(), np.uint8)[None] for v in (x, y))
+                apart = _distance(x[:, :BINS].astype(np.int16), y[:, :BINS].astype(np.int16))[0]
+                if 9 * apart <= n[k] + m[k]:
+                    x, y = counts_of(x), counts_of(y)
+                    bins = min(x.shape[1], y.shape[1])
+                    apart = _distance(_folded(x, bins), _folded(y, bins))[0]
+                keep.append(9 * apart <= n[k] + m[k])
             yield batch.select([0, 1]).take(np.flatnonzero(keep))
 
     found = sized.select("a", "b", "n", "m", "x", "y").mapInArrow(check, "a long, b long")

@@ -108,6 +108,25 @@ def test_jaccard_regions_are_exact():
                 assert (i, j) in found
 
 
+def test_jaccard_bounds_hold_across_sizes(spark):
+    # Borderline pairs whose histograms have different numbers of bins: the smaller set is part of the larger one.
+    rng = np.random.default_rng(11)
+    sizes = [(112, 140), (224, 280), (448, 560)] * 20
+    sets = []
+    for small, large in sizes:
+        sets.append(np.unique(rng.integers(0, 1 << 63, large + 9, dtype=np.int64).view(np.uint64) * np.uint64(2))[:large])
+        sets.append(np.sort(rng.permutation(sets[-1])[:small]))
+    size = np.array([len(s) for s in sets])
+    found = jaccard_join.Region(np.arange(len(sets)), size, np.arange(len(sets)), [jaccard_join.histogram(s) for s in sets]).join()
+    assert {(k, k + 1) for k in range(0, len(sets), 2)} <= found
+    texts = []
+    for k, (small, large) in enumerate(sizes[:9]):
+        words = [f"p{k}q{i}" for i in range(large + 4)]
+        texts += [" ".join(words), " ".join(words[: small + 4])]
+    found = {r.doc_id: r.component_id for r in jaccard_join.linked(table(spark, texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == [i - i % 2 for i in range(len(texts))]
+
+
 def test_representatives(spark):
     docs = table(spark, ["same text of six words here", "same text of six words here", "b", None, "b", "c"], [3, 1, 5, None, 5, 8])
     found = jaccard_join.representatives(docs)
