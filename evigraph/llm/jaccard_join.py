@@ -82,13 +82,13 @@ def window_size(n: int) -> int:
 
 
 def histogram(shingles: np.ndarray) -> bytes:
-    """Counts of shingles by the high bits of their hash: in BINS bins, a byte each (at most 255), then in BINS * 2**k
-    bins, two to four for each shingle, two bits each (at most 3)."""
+    """Counts of shingles by the high bits of their hash in BINS * 2**k bins, two to four for each shingle, two bits each
+    (at most 3); before them, for each of BINS bins, a byte of what these leave out (mostly 0, at most 255)."""
     bits = max(BINS.bit_length() + 1, (2 * len(shingles)).bit_length())
     whole = np.bincount((shingles >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
-    coarse = np.minimum(whole.reshape(BINS, -1).sum(axis=1), 255).astype(np.uint8)
+    excess = np.minimum((whole - np.minimum(whole, 3)).reshape(BINS, -1).sum(axis=1), 255).astype(np.uint8)
     counts = np.minimum(whole, 3).astype(np.uint8).reshape(-1, 4)
-    return coarse.tobytes() + (counts[:, 0] | counts[:, 1] << 2 | counts[:, 2] << 4 | counts[:, 3] << 6).tobytes()
+    return excess.tobytes() + (counts[:, 0] | counts[:, 1] << 2 | counts[:, 2] << 4 | counts[:, 3] << 6).tobytes()
 
 
 def counts_of(packed: np.ndarray) -> np.ndarray:
@@ -97,6 +97,13 @@ def counts_of(packed: np.ndarray) -> np.ndarray:
     return np.stack([packed >> k & 3 for k in (0, 2, 4, 6)], axis=-1).reshape(*packed.shape[:-1], -1)
 
 
+def coarse_of(packed: np.ndarray) -> np.ndarray:
+    """The counts of rows of packed histograms in BINS bins, at most 255."""
+    counts = counts_of(packed)
+    fine = counts.reshape(len(counts), BINS, -1).sum(axis=2, dtype=np.int64)
+    return np.minimum(fine + packed[:, :BINS], 255).astype(np.int16)
+
+
 def sets_table(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, digest of the set, first shingles and histogram, for each row."""
 
@@ -172,7 +179,7 @@ class Region:
             which = np.flatnonzero(self.bins == n)
             rows = np.frombuffer(b"".join(bins[i] for i in which), np.uint8).reshape(len(which), BINS + n)
             self.place[which] = np.arange(len(which))
-            self.folded[which] = rows[:, :BINS]
+            self.folded[which] = coarse_of(rows)
             rows = counts_of(rows)
             self.whole[n] = rows.astype(np.int16)
             self.half[n] = _folded(rows, rows.shape[1] // 2)
@@ -338,7 +345,7 @@ def _possible(pairs: DataFrame, infos: DataFrame) -> DataFrame:
             keep = []
             for k, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint8)[None] for v in (x, y))
-                apart = _distance(x[:, :BINS].astype(np.int16), y[:, :BINS].astype(np.int16))[0]
+                apart = _distance(coarse_of(x), coarse_of(y))[0]
                 if 9 * apart <= n[k] + m[k]:
                     x, y = counts_of(x), counts_of(y)
                     bins = min(x.shape[1], y.shape[1])
