@@ -141,6 +141,15 @@ def candidate_pairs(compounds: DataFrame, proteins: DataFrame, observed: DataFra
     return out.join(observed.select(*PAIR).distinct(), PAIR, "left_anti")
 
 
+def candidate_counts(compounds: DataFrame, proteins: DataFrame, observed: DataFrame) -> DataFrame:
+    """How many pairs of ``candidate_pairs`` each protein has, without the product: all compounds less its observed ones."""
+    ids = compounds.filter("cid is not null").select("cid").distinct()
+    seen = observed.select(*PAIR).distinct().join(ids, "cid", "left_semi").groupBy("protein_id").agg(F.count("*").alias("n_seen"))
+    left = F.col("n_compounds") - F.coalesce("n_seen", F.lit(0))
+    counts = proteins.filter("protein_id is not null").select("protein_id").distinct().join(seen, "protein_id", "left").crossJoin(F.broadcast(ids.agg(F.count("*").alias("n_compounds"))))
+    return counts.select("protein_id", left.alias("n_candidates")).filter("n_candidates > 0")
+
+
 def sampled(df: DataFrame, keys: list[str], n: int, seed: int = 13) -> DataFrame:
     """The first ``n`` rows in the order of a seeded hash of the keys."""
     order = F.sha1(F.concat_ws("|", F.lit(str(seed)), *keys).cast("binary"))

@@ -118,9 +118,10 @@ def recommendation(missing: Column, zero: Column, unique: Column, identifier: Co
 
 
 def candidate_space(pairs: DataFrame, candidates: DataFrame, target: str) -> DataFrame:
-    """Known positives and candidates of each target, and how many candidates there are for each positive."""
+    """Known positives and candidates of each target, and how many candidates there are for each positive; ``candidates``
+    are pairs, or counts of them by target (n_candidates)."""
     known = pairs.groupBy(target).agg(F.count_if(F.col("label") == 1).alias("n_positive"))
-    space = candidates.groupBy(target).agg(F.count("*").alias("n_candidates"))
+    space = candidates if "n_candidates" in candidates.columns else candidates.groupBy(target).agg(F.count("*").alias("n_candidates"))
     both = known.join(space, target, "full").na.fill(0, ["n_positive", "n_candidates"])
     per = F.col("n_candidates") / F.nullif(F.col("n_positive"), F.lit(0))
     return both.withColumn("candidates_per_positive", per).withColumn("status", F.when(F.col("n_positive") == 0, "no_positive").when(per > 1000, "very_sparse").otherwise("rankable"))

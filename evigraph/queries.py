@@ -717,6 +717,16 @@ def q24_candidate_space(t):
     return quality.candidate_space(evidence.endpoint_features(found), candidates, "protein_id")
 
 
+@query(over_views(PAIR_SQL + """, cand AS (SELECT s_suppkey AS protein_id, (SELECT count(*) FROM part) - coalesce(n, 0) AS n_candidates FROM supplier LEFT JOIN (SELECT protein_id, count(DISTINCT cid) AS n FROM evidence WHERE cid IN (SELECT p_partkey FROM part) GROUP BY 1) ON protein_id = s_suppkey),
+k AS (SELECT protein_id, count(*) FILTER (WHERE label = 1) AS n_positive FROM featured GROUP BY 1)
+SELECT protein_id, coalesce(n_positive, 0) AS n_positive, coalesce(n_candidates, 0) AS n_candidates, coalesce(n_candidates, 0) / nullif(coalesce(n_positive, 0), 0) AS candidates_per_positive,
+  CASE WHEN coalesce(n_positive, 0) = 0 THEN 'no_positive' WHEN coalesce(n_candidates, 0) / n_positive > 1000 THEN 'very_sparse' ELSE 'rankable' END AS status FROM k FULL JOIN cand USING (protein_id)"""))
+def q24_candidate_space_of_all_compounds(t):
+    found = paths(t)
+    candidates = evidence.candidate_counts(t.compound, t.protein, found)
+    return quality.candidate_space(evidence.endpoint_features(found), candidates, "protein_id")
+
+
 @query()
 def x13_table_hash(t):
     return quality.table_hash(t.part, ["p_partkey"])

@@ -117,3 +117,14 @@ def test_matrix_has_no_identifiers_or_nan(spark):
     found = features.model_matrix(rows, ["node"])
     assert set(found.columns) == {"node", "x_x", "missing_x", "x_y", "missing_y"}
     assert all(not math.isnan(v) for r in found.collect() for v in r[1:])
+
+
+def test_candidate_counts_are_those_of_the_product(spark):
+    from evigraph.operators import evidence
+
+    compounds = spark.createDataFrame([(k,) for k in [*range(1, 45), 7]], "cid long")
+    proteins = spark.createDataFrame([(k,) for k in (1, 2, 3, 3)], "protein_id long")
+    seen = spark.createDataFrame([(1, 1), (1, 1), (20, 1), (99, 2), *((k, 3) for k in range(1, 45))], "cid long, protein_id long")
+    pairs = evidence.candidate_pairs(compounds, proteins, seen).groupBy("protein_id").count().collect()
+    found = {r.protein_id: r.n_candidates for r in evidence.candidate_counts(compounds, proteins, seen).collect()}
+    assert found == {r["protein_id"]: r["count"] for r in pairs} == {1: 42, 2: 44}
