@@ -270,15 +270,21 @@ def _rejoined(large: DataFrame, docs: DataFrame) -> DataFrame:
     def make():
         import pyarrow as pa
 
-        return lambda batch: [pa.array([s.view(np.int64) for s in shingle_sets(column(batch, "text"))], pa.list_(pa.int64()))]
+        def compute(batch):
+            sets = shingle_sets(column(batch, "text"))
+            return [pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())]
+
+        return compute
 
-    sets = with_computed(texts, [StructField("shingles", ArrayType(LongType()))], make, keep=["doc_id"])
-    every = written(sets.select(F.col("doc_id").alias("node"), F.size("shingles").alias("size"), F.explode("shingles").alias("region")), "all-shingles")
+    # A node may have several rows, and texts that differ: each of its sets is ranked by itself.
+    fields = [StructField("shingles", ArrayType(LongType())), StructField("digest", BinaryType())]
+    sets = with_computed(texts, fields, make, keep=["doc_id"]).dropDuplicates(["doc_id", "digest"])
+    every = written(sets.select(F.col("doc_id").alias("node"), "digest", F.size("shingles").alias("size"), F.explode("shingles").alias("region")), "all-shingles")
     counts = every.groupBy("region").agg(F.count("*").alias("count"))
-    order = Window.partitionBy("node").orderBy("count", "region")
+    order = Window.partitionBy("node", "digest").orderBy("count", "region")
     ranked = every.join(counts, "region").withColumn("k", F.row_number().over(order))
     window = F.col("size") - F.ceil(4 * F.col("size") / 5) + 1
-    return _shared(ranked.filter(F.col("k") <= window).select("region", "node"))
+    return _shared(ranked.filter(F.col("k") <= window).select("region", "node").distinct())
 
 
 def linked(docs: DataFrame, region_rows: int = REGION) -> DataFrame:
@@ -289,7 +295,10 @@ def linked(docs: DataFrame, region_rows: int = REGION) -> DataFrame:
     member = written(full.select("doc_id", "digest").join(classes, "digest").select("doc_id", "node"), "members")
     copies = member.filter("doc_id = node").select(F.col("doc_id").alias("node")).distinct()
 
-    rows = _shared(full.select(F.explode("first").alias("region"), F.col("doc_id").alias("node")))
+    first = full.select(F.explode("first").alias("region"), F.col("doc_id").alias("node"))
+    if not full.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        first = first.distinct()  # a region's documents count once, also if their rows are repeated
+    rows = _shared(first)
     rows = written(rows.join(_sized(copies), "node", "left_semi"), "regions")
     large = rows.filter(F.col("count") > region_rows)
     if not large.isEmpty():

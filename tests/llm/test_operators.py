@@ -127,6 +127,22 @@ def test_jaccard_bounds_hold_across_sizes(spark):
     assert [found[i] for i in range(len(texts))] == [i - i % 2 for i in range(len(texts))]
 
 
+def test_jaccard_join_of_repeated_rows_in_large_regions(spark):
+    # Linked pairs that share their later shingles only, each row twice; document 0 has two texts.
+    rng = np.random.default_rng(3)
+    texts, ids = [], []
+    for k in range(12):
+        words = [f"r{k}s{i}" for i in range(104)]
+        near = words.copy()
+        for at in rng.choice(100, 2, replace=False):
+            near[at] = "other"
+        texts += [" ".join(words), " ".join(near)]
+        ids += [2 * k, 2 * k + 1]
+    texts, ids = texts * 2 + [texts[5] + " more"], ids * 2 + [0]
+    found = {r.doc_id: r.component_id for r in jaccard_join.linked(table(spark, texts, ids), 1).collect()}
+    assert found == {i: 0 if i in (4, 5) else i - i % 2 for i in set(ids)}
+
+
 def test_representatives(spark):
     docs = table(spark, ["same text of six words here", "same text of six words here", "b", None, "b", "c"], [3, 1, 5, None, 5, 8])
     found = jaccard_join.representatives(docs)
