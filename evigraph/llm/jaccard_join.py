@@ -16,7 +16,9 @@ linked. The join goes from coarse to fine pivots:
 4. Pairs that remain are compared exactly.
 
 A region of more than REGION documents is joined again on all shingles of its documents, the rarest first, which
-leaves out what made it large. Shingles are 64-bit hashes of their words. Equal sets are one node.
+leaves out what made it large. Regions that are large once more are split by pivots as in step 3, in rounds of Spark,
+until they have at most REGION members; what pivots don't split is cut into blocks by size, and each two blocks whose
+sizes allow links are a region. So no task holds more than about REGION members of a region. Shingles are 64-bit hashes of their words. Equal sets are one node.
 
 Words are lower-cased (A-Z) stretches between ASCII white space. A document with one to four words is one
 shingle; without words (or null) it has none and is linked with nothing. Rows that repeat a doc_id belong
@@ -287,6 +289,77 @@ def _rejoined(large: DataFrame, docs: DataFrame) -> DataFrame:
     return _shared(ranked.filter(F.col("k") <= window).select("region", "node").distinct())
 
 
+def _with_distance(rows: DataFrame, pivot: str, name: str) -> DataFrame:
+    """``rows`` without the column ``pivot``, and with the coarse distance of ``bins`` to it."""
+
+    def measure(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            far = []
+            for x, y in zip(batch.column("bins"), batch.column(pivot)):
+                x, y = (coarse_of(np.frombuffer(v.as_buffer(), np.uint8)[None]) for v in (x, y))
+                far.append(int(_distance(x, y)[0]))
+            rest = [k for k, c in enumerate(batch.schema.names) if c != pivot]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in rest), pa.array(far, pa.int64())], names=[*(batch.schema.names[k] for k in rest), name])
+
+    return rows.mapInArrow(measure, rows.drop(pivot).schema.add(name, "long"))
+
+
+def _blocks(large: DataFrame, region_rows: int) -> DataFrame:
+    """Regions of two blocks each, in place of regions that pivots don't split. Blocks follow the order of sizes."""
+    half = max(1, region_rows // 2)
+    order = Window.partitionBy("region").orderBy("size")
+    sizes = large.groupBy("region", "size").agg(F.count("*").alias("c")).withColumn("before", F.sum("c").over(order) - F.col("c"))
+    # Members of one size are dealt by a hash over the ranks that they take together.
+    rank = F.col("before") + F.pmod(F.xxhash64("node", "bins"), F.col("c"))
+    placed = written(large.join(_sized(sizes), ["region", "size"]).withColumn("block", F.floor(rank / half)).drop("c", "before"), "blocks")
+    blocks = written(placed.groupBy("region", "block").agg(F.min("size").alias("low"), F.max("size").alias("high")), "block-sizes")
+    other = blocks.select("region", F.col("block").alias("other"), F.col("low").alias("other_low"))
+    cells = blocks.join(other, "region").filter("block <= other and 4 * other_low <= 5 * high")
+    cells = cells.select("region", F.xxhash64("region", "block", "other").alias("cell"), F.explode(F.array_distinct(F.array("block", "other"))).alias("block"))
+    return placed.join(_sized(cells), ["region", "block"]).select(F.col("cell").alias("region"), "node", "size", "component", "bins")
+
+
+def _mixed(rows: DataFrame) -> DataFrame:
+    """Regions of ``rows`` with more than one component, and their count of rows."""
+    found = rows.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("count"))
+    return found.filter("low != high").select("region", "count")
+
+
+def bounded(large: DataFrame, region_rows: int) -> DataFrame:
+    """Regions of at most about ``region_rows`` members that together hold each linked pair across components of
+    ``large(region, node, size, component, bins)``."""
+    columns = ["region", "node", "size", "component", "bins"]
+    parts, turn = [], 0
+    large = written(large.select(*columns), "large")
+    while not large.isEmpty():
+        first = large.groupBy("region").agg(F.min_by("bins", F.struct("size", "node")).alias("first"), F.max("size").alias("top"), F.count("*").alias("n"))
+        rows = written(_with_distance(large.join(_sized(first), "region"), "first", "far"), "far")
+        other = rows.groupBy("region").agg(F.max_by("bins", F.struct("far", "node")).alias("other"))
+        rows = _with_distance(rows.join(_sized(other), "region"), "other", "gap").withColumn("gap", F.col("gap") - F.col("far"))
+        reach = 2 * F.floor(2 * F.col("top") / 9)  # as in Region
+        rows = written(rows.withColumn("near", F.col("gap") >= -reach).withColumn("beyond", F.col("gap") <= reach), "gaps")
+        count = rows.groupBy("region").agg(F.count_if("near").alias("a"), F.count_if("beyond").alias("b"), F.count("*").alias("n"))
+        # Sides that hold nearly everything, or overlap much, would only multiply the rows.
+        split = written(count.select("region", F.expr("greatest(a, b) < 0.9 * n and a + b <= 1.25 * n").alias("split")), "splits")
+        rows = rows.join(_sized(split), "region")
+        stuck = written(rows.filter("not split").select(*columns), "stuck")
+        if not stuck.isEmpty():
+            parts.append(written(_blocks(stuck, region_rows), "cells"))
+        sides = F.explode(F.array_compact(F.array(F.when(F.col("near"), 0), F.when(F.col("beyond"), 1))))
+        halves = rows.filter("split").withColumn("side", sides).withColumn("region", F.xxhash64("region", "side", F.lit(turn)))
+        halves = written(halves.select(*columns), "halves")
+        halves = written(halves.join(_sized(_mixed(halves)), "region"), "halves")
+        parts.append(halves.filter(F.col("count") <= region_rows).select(*columns))
+        large = halves.filter(F.col("count") > region_rows).select(*columns)
+        turn += 1
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def linked(docs: DataFrame, region_rows: int = REGION) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row of ``docs``."""
     sets = written(sets_table(docs), "shingle-sets")
@@ -316,8 +389,15 @@ def linked(docs: DataFrame, region_rows: int = REGION) -> DataFrame:
     # Of regions with the same documents, which are many, one is joined.
     members_hash = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in (1, 2)]
     mixed_regions = placed.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("count"), *members_hash).filter("low != high")
-    mixed_regions = mixed_regions.groupBy("low", "high", "count", "h1", "h2").agg(F.min("region").alias("region")).select("region")
-    members = placed.join(mixed_regions, "region", "left_semi").select("region", "node", "component").join(infos, "node")
+    mixed_regions = mixed_regions.groupBy("low", "high", "count", "h1", "h2").agg(F.min("region").alias("region"))
+    mixed_regions = written(mixed_regions.select("region", "count"), "mixed-regions")
+
+    def members_of(regions):
+        return placed.join(regions, "region", "left_semi").select("region", "node", "component").join(infos, "node")
+
+    members, too_large = members_of(mixed_regions.filter(F.col("count") <= region_rows)), mixed_regions.filter(F.col("count") > region_rows)
+    if not too_large.isEmpty():
+        members = members.unionByName(bounded(members_of(too_large), region_rows).select(*members.columns))
     more = written(exact_links(written(region_pairs(members), "pairs"), docs), "links")
     final = components(links.unionByName(more).unionByName(member.select(F.col("node").alias("a"), F.col("doc_id").alias("b"))))
     joined = sets.select("doc_id", "n_shingles").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")

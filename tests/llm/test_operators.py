@@ -143,6 +143,26 @@ def test_jaccard_join_of_repeated_rows_in_large_regions(spark):
     assert found == {i: 0 if i in (4, 5) else i - i % 2 for i in set(ids)}
 
 
+def test_jaccard_regions_are_bounded(spark):
+    # Two groups apart, which pivots split, and copies of one core that differ too little to be split.
+    rng = np.random.default_rng(9)
+    new = lambda n: rng.integers(0, 1 << 63, n, dtype=np.int64).view(np.uint64) * np.uint64(2)
+    cores = [new(60), new(60), new(60)]
+    sets = [np.unique(np.concatenate([cores[k % 2], new(8)])) for k in range(60)]
+    sets += [np.unique(np.concatenate([cores[2][rng.permutation(60)[:50]], new(4 + k % 20)])) for k in range(60)]
+    size = [len(s) for s in sets]
+    rows = [(k // 60, k, size[k], k, bytearray(jaccard_join.histogram(s))) for k, s in enumerate(sets)]
+    large = spark.createDataFrame(rows, "region long, node long, size long, component long, bins binary")
+    members = jaccard_join.bounded(large, 16).localCheckpoint()
+    assert members.groupBy("region").count().agg(F.max("count")).first()[0] <= 24
+    found = {(r.a, r.b) for r in jaccard_join.region_pairs(members).collect()}
+    for i in range(len(sets)):
+        for j in range(i + 1, len(sets)):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if i // 60 == j // 60 and 100 * both >= 80 * (size[i] + size[j] - both):
+                assert (i, j) in found
+
+
 def test_representatives(spark):
     docs = table(spark, ["same text of six words here", "same text of six words here", "b", None, "b", "c"], [3, 1, 5, None, 5, 8])
     found = jaccard_join.representatives(docs)
