@@ -638,6 +638,24 @@ def j13_evidence_star(t):
     return extract.evidence_rows(every, allowed, compounds)
 
 
+@query(over_views("SELECT 'mg:' || mg_id AS s, 'protein:' || protein_id AS o FROM (SELECT mg_id, protein_id, row_number() OVER (PARTITION BY mg_id ORDER BY 'protein:' || protein_id) AS k FROM tested_on) WHERE k <= 2"))
+def j1_forward_hop_of_all_groups(t):
+    seeds = t.measuregroup.select(F.concat(F.lit("mg:"), F.col("mg_id").cast("string")).alias("s"))
+    return extract.objects_of(seeds, triples(t), "participant", 2)
+
+
+@query(over_views("SELECT 'mg:' || mg_id AS s, 'protein:' || protein_id AS o FROM tested_on"))
+def j2_inverse_hop_of_all_proteins(t):
+    seeds = t.protein.select(F.concat(F.lit("protein:"), F.col("protein_id").cast("string")).alias("o"))
+    return extract.subjects_of(seeds, triples(t), "participant")
+
+
+@query(over_views("""SELECT DISTINCT 'mg:' || e.mg_id AS mg, 'endpoint:' || e.endpoint_id AS endpoint, 'sid:' || e.sid AS substance, 'cid:' || s.cid AS compound, 'protein:' || t.protein_id AS target, 'aid:' || m.aid AS assay
+FROM endpoint e JOIN substance s USING (sid) JOIN tested_on t ON t.mg_id = e.mg_id LEFT JOIN measuregroup m ON m.mg_id = e.mg_id"""))
+def j13_evidence_star_of_all_keys(t):
+    return extract.evidence_rows(triples(t))
+
+
 @query(over_views("SELECT * FROM tested_on WHERE mg_id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 AND o_custkey % 4 <> 0)"))
 def j8_taxonomy_filter(t):
     organisms = t.orders.filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("mg_id"), (F.col("o_custkey") % 4).alias("taxid"))
