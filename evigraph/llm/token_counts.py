@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField
 
 from .arrow import column, with_computed
-from .wordhash import SpanTable, prefix_sums, span_hashes, text_bytes
+from .wordhash import SpanTable, text_bytes
 
 MARK = "▁"
 UNKNOWN = -30.0
@@ -101,16 +101,15 @@ def with_token_counts(docs: DataFrame, model: str, keep: list[str] | None = None
 
         trie = Trie(piece_scores(model))
 
-        def count(spans: list[bytes]) -> list[np.ndarray]:
-            return list(np.array([[trie.tokens(MARK + span.decode())] for span in spans], np.int32))
+        def count(spans: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            return np.array([trie.tokens(MARK + span.decode()) for span in spans], np.int32), np.ones(len(spans), np.int64)
 
         table = SpanTable(count, np.int32)
 
         def compute(batch):
             data, offsets = text_bytes(column(batch, "text"))
             starts, ends = word_spans(data, offsets)
-            sums = prefix_sums(data)
-            at, _ = table.look_up(data, starts, ends, span_hashes(sums, starts, ends))
+            at, _ = table.look_up(data, starts, ends)
             total = np.concatenate([[0], np.cumsum(table.store[at], dtype=np.int64)])
             first = np.searchsorted(starts, offsets)
             return [pa.array(np.diff(first)), pa.array(np.diff(total[first]))]

@@ -116,17 +116,20 @@ def unpack(words: np.ndarray, lane_words: np.ndarray, n: int) -> np.ndarray:
 
 
 def library_encoder(path: str) -> CachedEncoder:
-    """Ids by the tokenizers library: its BPE model on each pre-token; special tokens in a text are ordinary text."""
+    """Ids by the tokenizers library: its BPE model on each pre-token; the file's added tokens are found in the texts as
+    the library finds them when no special tokens are added."""
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    tokenize = Tokenizer.from_file(path).model.tokenize
+    library = Tokenizer.from_file(path)
+    tokenize = library.model.tokenize
+    added = {token.content.encode(): number for number, token in library.get_added_tokens_decoder().items()}
     mapped = str.maketrans({chr(b): c for b, c in enumerate(byte_characters())})
 
     def encode(pieces: list[str]) -> list[list[int]]:
         return [[token.id for token in tokenize(piece.encode().decode("latin-1").translate(mapped))] for piece in pieces]
 
-    return CachedEncoder(public_tokenizers.PATTERN, encode)
+    return CachedEncoder(public_tokenizers.PATTERN, encode, added=added)
 
 
 BLOCKS = "part int, block int, ids_before long, doc_ids array<long>, n_tokens array<int>, lane_words binary, words binary"
