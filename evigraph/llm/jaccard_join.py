@@ -39,7 +39,7 @@ from .arrow import column, with_computed
 from .components import components
 from .storage import written
 from .token_counts import word_spans
-from .wordhash import MIX, mixed, prefix_sums, span_hashes, text_bytes
+from .wordhash import MIX, mixed, text_bytes, word_hashes
 
 WORDS = 5
 #: Documents of a region that one task joins; bounds its work to a product of sorted windows.
@@ -58,7 +58,7 @@ def shingle_sets(text) -> list[np.ndarray]:
     data, offsets = text_bytes(text)
     data = _LOWER[data]
     start, end = word_spans(data, offsets)
-    word = span_hashes(prefix_sums(data), start, end)
+    word = word_hashes(data, start, end)
     first = np.searchsorted(start, offsets).tolist()
     rolled = np.zeros(max(0, len(word) - WORDS + 1), np.uint64)
     for k in range(WORDS):
