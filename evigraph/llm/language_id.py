@@ -2,28 +2,30 @@
 
 A suffix automaton for each language holds labelled text. A text is parsed against it into phrases, each the
 longest match that starts where the last one ended; ``phrases * log2(length of the labelled text)`` estimates
-the bits that the language needs, and the language that needs fewest wins. Texts are parsed in pieces of
-PIECE symbols, so that all pieces of a batch advance together, one table look-up a symbol.
+the bits that the language needs, and the language that needs fewest wins. A text is parsed as one: all pieces of
+PIECE symbols of a batch advance together, one table look-up a symbol, and a piece whose guessed first state turns out
+wrong is parsed again from the state in which the one before it ended, until it meets the states it had.
 
 Symbols are bytes of the lower-cased text: letters a-z and bytes above 127 that the labelled text has; other
 such bytes are one more symbol, and a run of anything else is a space.
 
-The labelled text of a language is a bounded sample: TRAIN_SYMBOLS symbols from the first TRAIN_PIECE bytes of
-about TRAIN_DOCUMENTS documents chosen by a hash of their id. Predictions read whole texts. A text that is null
-or has no letter is ``und`` with score 0. Ties go to the language first in order.
+The labelled text of a language is a bounded sample of its rows: the whole texts of TRAIN_DOCUMENTS documents of at most
+TRAIN_CHARS characters, chosen by a hash of their id (longer ones, the shortest first, only where a language has too few
+of these). More than LANGUAGES labels are an error. Predictions read whole texts. A text that is null or has no letter
+is ``und`` with score 0. Ties go to the language first in order.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
 from .arrow import column, with_computed
 from .wordhash import text_bytes
 
-TRAIN_DOCUMENTS, TRAIN_PIECE, TRAIN_SYMBOLS = 400, 2_000, 24_000
+TRAIN_DOCUMENTS, TRAIN_CHARS, LANGUAGES = 32, 1_500, 200
 PIECE = 512
 
 
@@ -32,17 +34,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, documents: int = TRAIN_DOCUMENTS) -> dict[str, bytes]:
-    """About ``documents`` labelled texts of each language, joined; the share to take comes from one count."""
-    known = docs.select("doc_id", "text", "lang").filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), F.lit(1 << 30))
-    keep = F.lit(False)
-    for lang, n in counts.items():
-        keep = keep | ((F.col("lang") == lang) & (draw < int(min(1.0, documents / n) * (1 << 30))))
-    rows = known.filter(keep).select("lang", F.substring("text", 1, TRAIN_PIECE).alias("text"), draw.alias("draw")).collect()
+def labelled_sample(docs: DataFrame, documents: int = TRAIN_DOCUMENTS, chars: int = TRAIN_CHARS) -> dict[str, bytes]:
+    """The texts of ``documents`` labelled rows of each language, joined. Only these come to the driver."""
+    known = docs.select("lang", "doc_id", "text").filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    size = F.length("text")
+    draw = F.xxhash64(F.col("doc_id").cast("string"), F.lit(7))
+    # Short texts before long ones; of a language Spark keeps no more than ``documents`` ids in a task before the exchange.
+    order = Window.partitionBy("lang").orderBy("size", "draw", "doc_id")
+    ids = known.filter("doc_id is not null").select("lang", "doc_id", F.when(size > chars, size).otherwise(0).alias("size"), draw.alias("draw"))
+    chosen = ids.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= documents).select("lang", "doc_id").distinct().limit(documents * LANGUAGES + 1).collect()
+    if len(chosen) > documents * LANGUAGES or len({r.lang for r in chosen}) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages are labelled")
+    wanted = F.broadcast(docs.sparkSession.createDataFrame(chosen, known.select("lang", "doc_id").schema))
+    rows = known.join(wanted, ["lang", "doc_id"], "left_semi").distinct().collect() if chosen else []
     texts: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r.lang, r.draw, r.text)):
+    for r in sorted(rows):
         texts.setdefault(r.lang, []).append(r.text)
     return {lang: "\n".join(parts).lower().encode() for lang, parts in texts.items()}
 
@@ -106,7 +112,7 @@ class Parser:
         for _, text in sample:
             data = np.frombuffer(text, np.uint8)
             symbols, _ = self.symbols(data, np.array([0, len(data)]))
-            self.automata.append(Automaton(symbols[:TRAIN_SYMBOLS], self.alphabet))
+            self.automata.append(Automaton(symbols, self.alphabet))
 
     def symbols(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of all texts, runs of spaces as one, and the texts' offsets in them."""
@@ -117,32 +123,73 @@ class Parser:
         return symbols[keep], kept[offsets]
 
     def phrases(self, symbols: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Phrases of each text in each language; a piece's last phrase counts."""
+        """Phrases of each text in each language; a text's last phrase counts."""
         size = np.diff(offsets)
         pieces = -(-size // PIECE)
         owner = np.repeat(np.arange(len(size)), pieces)
         within = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         start = offsets[:-1][owner] + within * PIECE
         length = np.minimum(PIECE, offsets[1:][owner] - start)
-        order = np.argsort(-length, kind="stable")
-        start, length, owner = start[order], length[order], owner[order]
         out = np.zeros((len(size), len(self.automata)))
         if not len(owner):
             return out
-        live = np.searchsorted(-length, -np.arange(int(length[0])), side="left")  # pieces longer than t
+        order = np.argsort(-length, kind="stable")
+        start, length = start[order], length[order]
+        # Where each piece's text goes on, by place in the order; -1 at its end.
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        after = np.full(len(order), -1)
+        going_on = np.flatnonzero(within[1:] > 0)
+        after[place[going_on]] = place[going_on + 1]
         padded = np.concatenate([symbols, np.zeros(PIECE, np.uint8)]).astype(np.uint32)
         for k, automaton in enumerate(self.automata):
-            table, mask, top = automaton.table, np.uint32(Automaton.END - 1), np.uint32(31)
-            # From the last state, every first symbol begins a phrase.
-            state = np.full(len(start), automaton.start, np.uint32)
-            ends = np.zeros(len(start), np.uint32)
-            for t, n in enumerate(live.tolist()):
-                step = table[state[:n] + padded[start[:n] + t]]
-                ends[:n] += step >> top
-                state[:n] = step & mask
-            out[:, k] = np.bincount(owner, weights=ends, minlength=len(size))
+            ends = self._piece_ends(automaton, padded, start, length, after)
+            out[:, k] = np.bincount(owner[order], weights=ends, minlength=len(size))
         return out
 
+    @staticmethod
+    def _piece_ends(automaton: Automaton, padded: np.ndarray, start: np.ndarray, length: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Phrases that begin in each piece, pieces longest first; the text of one goes on in piece ``after``."""
+        table, mask, top = automaton.table, np.uint32(Automaton.END - 1), np.uint32(31)
+        live = np.searchsorted(-length, -np.arange(int(length[0])), side="left")  # pieces longer than t
+        # From the last state, every first symbol begins a phrase.
+        entry = np.full(len(start), automaton.start, np.uint32)
+        state, ends = entry.copy(), np.zeros(len(start), np.uint16)
+        states, counts = np.zeros((len(live), len(start)), np.uint32), np.zeros((len(live), len(start)), np.uint16)
+        for t, n in enumerate(live.tolist()):
+            step = table[state[:n] + padded[start[:n] + t]]
+            ends[:n] += (step >> top).astype(np.uint16)
+            state[:n] = step & mask
+            states[t, :n], counts[t, :n] = state[:n], ends[:n]
+        before = np.flatnonzero(after >= 0)
+        while True:
+            wrong = before[state[before] != entry[after[before]]]
+            if not len(wrong):
+                return ends
+            again = after[wrong]
+            entry[again] = state[wrong]
+            now, found = entry[again].copy(), np.zeros(len(again), np.uint16)
+            t = 0
+            while len(again):
+                step = table[now + padded[start[again] + t]]
+                found += (step >> top).astype(np.uint16)
+                now = step & mask
+                met = now == states[t, again]
+                states[t, again] = now
+                old = counts[t, again]
+                counts[t, again] = found
+                over = length[again] == t + 1
+                # From where the states meet the rest of the piece has the same phrases as before.
+                done = again[met & ~over]
+                shift = (found - old)[met & ~over]
+                ends[done] += shift
+                for piece, by in zip(done[shift != 0].tolist(), shift[shift != 0].tolist()):
+                    counts[t + 1 : length[piece], piece] += np.uint16(by)
+                ends[again[over]], state[again[over]] = found[over], now[over]
+                go = ~(met | over)
+                again, now, found = again[go], now[go], found[go]
+                t += 1
+
 
 FIELDS = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
 
@@ -154,7 +201,7 @@ def with_language(docs: DataFrame, labelled: DataFrame, keep: list[str] | None =
     labelled text every prediction is ``und``.
     """
     sample = tuple(sorted(labelled_sample(labelled).items()))
-    shared = docs.sparkSession.sparkContext.broadcast(sample)  # at most TRAIN_DOCUMENTS * TRAIN_PIECE a language
+    shared = docs.sparkSession.sparkContext.broadcast(sample)  # at most TRAIN_DOCUMENTS texts a language, LANGUAGES languages
 
     def make():
         import pyarrow as pa
@@ -184,8 +231,12 @@ def with_language(docs: DataFrame, labelled: DataFrame, keep: list[str] | None =
 
 
 def identified(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, learnt from their own labels; ``und`` rows go."""
+    """The rows of ``docs`` whose text has a language, with ``lang`` filled in where it was null. Languages are learnt from
+    the labels of ``docs``. Rows whose text is null or has no letter go. Without any label no language is known: rows
+    with letters stay as they are."""
     names = docs.columns
     own = docs.select(*(F.col(f"`{c}`").alias(c if c == "text" else f"own_{c}") for c in names))
-    found = with_language(own, docs).filter(F.col("lang_pred") != "und")
-    return found.select(*(F.col(c if c == "text" else f"`own_{c}`").alias(c) for c in names))
+    found = with_language(own, docs).filter(F.col("text").rlike(r"\p{L}"))
+    columns = {c: F.col(c if c == "text" else f"`own_{c}`") for c in names}
+    columns["lang"] = F.coalesce(columns["lang"], F.nullif("lang_pred", F.lit("und")))
+    return found.select(*(columns[c].alias(c) for c in names))
