@@ -43,10 +43,20 @@ def with_computed(docs: DataFrame, fields: list[StructField], make: Callable[[],
             for batch in slices(whole, text, SLICE):
                 kept = [batch.column(batch.schema.get_field_index(name)) for name in names]
                 yield pa.RecordBatch.from_arrays([*kept, *compute(batch)], names=[*names, *(field.name for field in fields)])
-        pa.default_memory_pool().release_unused()  # the worker lives on
+        released(pa)
 
     return source.mapInArrow(run, schema)
 
 
+def released(pa) -> None:
+    """Give freed memory back at the end of a task, as the Python worker lives on."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def column(batch, name: str):
     return batch.column(batch.schema.get_field_index(name))

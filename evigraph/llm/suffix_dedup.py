@@ -1,20 +1,23 @@
 """Suffix-array deduplication by bucket-pointer refinement (operator 3).
 
 Bytes covered by a LENGTH-byte string that also starts elsewhere are removed. Suffixes are sorted only as far as
-that needs: to depth LENGTH, into buckets. A bucket's identifier is a 64-bit hash of its common prefix, so that it
-is the same in every task and a split bucket needs no renumbering.
-
-1. Initial buckets: the q-grams (GRAM bytes) of suffixes. Each string of LENGTH bytes is represented by its q-gram of
-   least hash, the leftmost of equals: equal strings have it at the same place, so only these suffixes, about one
-   in 75, are exchanged, each with the range of strings that it stands for (its run).
-2. Buckets with one suffix are done. The others get their texts' bytes around the q-gram.
-3. Refinement: the bucket of 2k bytes at a position follows from the buckets of k bytes there and k further on; the
-   identifiers just found are used again for the next doubling, up to LENGTH. Sorting the suffixes of a run's strings
-   on them gives the strings that occur twice.
-
-Buckets of more than HOT suffixes are not gathered in a task: their strings' identifiers are aggregated instead.
+that needs: to depth LENGTH.
+
+1. Buckets across texts: each string of LENGTH bytes is represented by its q-gram (GRAM bytes) of least hash, the
+   leftmost of equals: equal strings have it at the same place, so only these suffixes, about one in 85, are
+   exchanged, each with the range of strings that it stands for (its run) and a digest of the run's bytes. Runs with
+   the same bytes are copies: all their strings are repeated, and one of them stands for the others. Copies within a
+   slice of texts are put together before the exchange, so a passage that is everywhere sends a row for each slice.
+2. Buckets whose runs all have the same bytes are done. Of the others one run of each kind gets its bytes.
+3. Refinement: every suffix of these bytes starts in the bucket of its first GRAM0 bytes. Suffixes of a bucket that
+   holds several are sorted on the pointers to the buckets of the suffixes GRAM0, later 2, 4, 8 ... times as far on,
+   which tells bucket from bucket at twice the depth, and the new pointers serve the next round; a suffix alone in
+   its bucket keeps it. At depth LENGTH buckets with several suffixes hold the strings that are repeated. Pointers
+   are numbers of sorted buckets, so nothing is taken as equal that isn't.
+
+Buckets with over HOT kinds of runs are not gathered in a task: digests of their strings are aggregated instead.
 Equal texts are one text whose bytes, from LENGTH on, are all repeated. A null text is empty. Rows with the same
-doc_id, or without one, are separate documents.
+doc_id, or without one, are separate documents. Texts and runs are told apart by cryptographic digests.
 """
 
 from __future__ import annotations
@@ -23,16 +26,17 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
-from .arrow import SLICE, bounded_batches, column, with_computed
+from .arrow import SLICE, bounded_batches, column, released, with_computed
 from .storage import slices, written
 from .wordhash import MIX, mixed, prefix_sums, span_hashes, text_bytes
 
-LENGTH, GRAM = 200, 50
-HOT = 50_000
+LENGTH, GRAM, GRAM0 = 200, 32, 8
+#: Kinds of runs of a bucket, about 280 bytes each, that one task sorts.
+HOT = 4_000
 _WINDOW = LENGTH - GRAM + 1
 
 
@@ -68,45 +72,109 @@ def runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return place[edge], start[edge], start[last], gram[place[edge]].view(np.int64)
 
 
-def identifiers(data: np.ndarray) -> np.ndarray:
-    """Bucket identifiers of depth LENGTH of every position that has as many bytes after it, by doubling."""
-    at = np.arange(len(data) - GRAM + 1)
-    bucket, depth = span_hashes(prefix_sums(data), at, at + GRAM), GRAM
+def pointers(data: np.ndarray) -> np.ndarray:
+    """Numbers of the buckets, to depth LENGTH, of all positions that have as many bytes after them."""
+    first = np.ndarray(len(data) - GRAM0 + 1, "<u8", buffer=np.ascontiguousarray(data), strides=(1,))
+    at, depth = np.unique(first, return_inverse=True)[1], GRAM0
+    top = int(at.max()) + 1
     while depth < LENGTH:
-        bucket = mixed(bucket[: len(bucket) - depth] * MIX + bucket[depth:])
-        depth *= 2
-    return bucket
+        step = min(depth, LENGTH - depth)
+        here, there = at[: len(at) - step], at[step:]
+        several = np.flatnonzero(np.bincount(here, minlength=top)[here] > 1)
+        new = here.copy()
+        if len(several):
+            # Sorted on (own bucket, later offset's bucket); new buckets are numbered after the old ones.
+            new[several] = top + np.unique(here[several] * top + there[several], return_inverse=True)[1]
+            top = int(new.max()) + 1
+        at, depth = new, depth + step
+    return at
 
 
 def _digest() -> Column:
     return F.substring(F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)), 1, 16)
 
 
+def _members(data: np.ndarray, offsets: np.ndarray):
+    """Of distinct texts: bucket, digest of the bytes (kind), row, position, distances to the first and last start,
+    and whether another run of these texts has the same bytes; of such runs one is given, and the bytes covered by
+    all of them as row, from, to."""
+    place, low, high, bucket = runs(data, offsets)
+    whole = data.tobytes()
+    digests = b"".join(hashlib.blake2b(whole[a:b], digest_size=8).digest() for a, b in zip(low.tolist(), (high + LENGTH).tolist()))
+    left, right = place - low, place - high
+    kind = mixed(np.frombuffer(digests, np.uint64) + (left << 8 | right).astype(np.uint64) * MIX).view(np.int64)
+    row = np.searchsorted(offsets, place, side="right") - 1
+    order = np.lexsort((kind, bucket))
+    b, k = bucket[order], kind[order]
+    head = np.ones(len(order), bool)
+    head[1:] = (b[1:] != b[:-1]) | (k[1:] != k[:-1])
+    starts = np.flatnonzero(head)
+    times = np.diff(np.append(starts, len(order)))
+    one = order[starts]
+    copied = np.zeros(len(order), bool)
+    copied[order] = np.repeat(times > 1, times)
+    # Runs follow each other in their text; covered bytes that meet are one stretch.
+    which = np.flatnonzero(copied)
+    owner, a, z = row[which], low[which], high[which] + LENGTH
+    begin = np.ones(len(which), bool)
+    begin[1:] = (owner[1:] != owner[:-1]) | (a[1:] > z[:-1])
+    edge = np.flatnonzero(begin)
+    last = np.append(edge[1:], len(which))[: len(edge)] - 1
+    base = offsets[owner[edge]]
+    return (bucket[one], kind[one], row[one], (place - offsets[row])[one], left[one], right[one], times > 1), (owner[edge], a[edge] - base, z[last] - base)
+
+
+#: Rows of members: a run alone in its slice, one that stands for several, or covered bytes (from, length).
+ALONE, SEVERAL, COVERED = 0, 1, 2
+
+
 def _anchors(texts: DataFrame) -> DataFrame:
-    """bucket, digest, and the place of each representing q-gram: position and run in one number."""
+    """bucket, kind, digest, at, extent and state of the runs of each slice of texts; covered bytes are rows of their own."""
 
     def find(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for whole in batches:
-            for batch in slices(whole, "text", SLICE):
+            for batch in slices(whole, "text", 4 * SLICE):
+                known: dict[bytes, int] = {}
+                for i, digest in enumerate(column(batch, "digest").to_pylist()):
+                    known.setdefault(digest, i)
+                if len(known) < len(batch):
+                    batch = batch.take(pa.array(list(known.values())))
                 data, offsets = text_bytes(column(batch, "text"))
-                place, low, high, bucket = runs(data, offsets)
-                row = np.searchsorted(offsets, place, side="right") - 1
-                packed = (place - offsets[row]) << 16 | (place - low) << 8 | (place - high)
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), column(batch, "digest").take(pa.array(row)), pa.array(packed)], names=["bucket", "digest", "place"])
-
-    return bounded_batches(texts).select("digest", "text").mapInArrow(find, "bucket long, digest binary, place long")
-
-
-def _spans_of(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """First and last start of the strings of packed places."""
-    at = places >> 16
-    return at - (places >> 8 & 255), at - (places & 255)
+                (bucket, kind, row, at, left, right, several), (owner, low, high) = _members(data, offsets)
+                apart = mixed((owner.astype(np.uint64) + bucket.sum().astype(np.uint64)) * MIX).view(np.int64)
+                rows = np.concatenate([row, owner])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([bucket, apart])),
+                        pa.array(np.concatenate([kind, mixed(apart.view(np.uint64)).view(np.int64)])),
+                        column(batch, "digest").take(pa.array(rows)),
+                        pa.array(np.concatenate([at, low])),
+                        pa.array(np.concatenate([left << 8 | right, high - low])),
+                        pa.array(np.concatenate([several.astype(np.int32), np.full(len(owner), COVERED, np.int32)])),
+                    ],
+                    names=["bucket", "kind", "digest", "at", "extent", "state"],
+                )
+        released(pa)
+
+    return bounded_batches(texts).select("digest", "text").mapInArrow(find, "bucket long, kind long, digest binary, at long, extent long, state int")
+
+
+def _judged(members: DataFrame) -> DataFrame:
+    """digest, at, extent, state and bucket of members whose strings are all repeated (``copied``), or that stand for
+    their kind in a bucket of ``kinds`` kinds, more than one. Other members go. One exchange, one sort."""
+    by_bucket, by_kind = Window.partitionBy("bucket"), Window.partitionBy("bucket", "kind")
+    differ = lambda c: F.min(c).over(by_kind) != F.max(c).over(by_kind)
+    placed = members.repartition("bucket").withColumn("first", F.row_number().over(by_kind.orderBy("digest", "at")) == 1)
+    placed = placed.withColumn("copied", (F.max("state").over(by_kind) > ALONE) | differ("digest") | differ("at"))
+    placed = placed.withColumn("kinds", F.sum(F.when(F.col("first") & (F.col("state") != COVERED), 1).otherwise(0)).over(by_bucket))
+    placed = placed.withColumn("first", F.col("first") & (F.col("state") != COVERED) & (F.col("kinds") > 1))
+    return placed.filter("copied or first").drop("kind")
 
 
 def _around(texts: DataFrame) -> DataFrame:
-    """bucket, digest, place and the bytes of its strings, for ``texts(digest, text, buckets, places)``."""
+    """bucket, digest, low (first start) and the bytes of its strings, for ``texts(digest, text, buckets, lows, highs)``."""
 
     def cut(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -114,27 +182,25 @@ def _around(texts: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text", SLICE):
                 data, offsets = text_bytes(column(batch, "text"))
-                lists = column(batch, "places")
-                size = lists.value_lengths().to_numpy(zero_copy_only=False)
-                row = np.repeat(np.arange(len(batch)), size)
-                places = lists.flatten().to_numpy()
-                low, high = _spans_of(places)
-                low, high = low + offsets[row], high + offsets[row] + LENGTH
+                lists = column(batch, "lows")
+                row = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy(zero_copy_only=False))
+                low, high = lists.flatten().to_numpy(), column(batch, "highs").flatten().to_numpy()
                 whole_bytes = data.tobytes()
-                around = [whole_bytes[a:b] for a, b in zip(low.tolist(), high.tolist())]
-                yield pa.RecordBatch.from_arrays([column(batch, "buckets").flatten(), column(batch, "digest").take(pa.array(row)), pa.array(places), pa.array(around, pa.binary())], names=["bucket", "digest", "place", "bytes"])
+                around = [whole_bytes[a:b] for a, b in zip((low + offsets[row]).tolist(), (high + offsets[row]).tolist())]
+                yield pa.RecordBatch.from_arrays([column(batch, "buckets").flatten(), column(batch, "digest").take(pa.array(row)), pa.array(low), pa.array(around, pa.binary())], names=["bucket", "digest", "low", "bytes"])
+        released(pa)
 
-    return texts.select("digest", "text", "buckets", "places").mapInArrow(cut, "bucket long, digest binary, place long, bytes binary")
+    return texts.select("digest", "text", "buckets", "lows", "highs").mapInArrow(cut, "bucket long, digest binary, low long, bytes binary")
 
 
-def _strings(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of Arrow rows (place, bytes): row, start and identifier of every string of their runs."""
-    data, offsets = text_bytes(rows.column(rows.schema.get_field_index("bytes")))
-    low, _ = _spans_of(rows.column(rows.schema.get_field_index("place")).to_numpy())
+def _strings(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of Arrow rows (low, bytes): their bytes, and row, place in the bytes and start of every string of their runs."""
+    data, offsets = text_bytes(column(rows, "bytes"))
+    low = column(rows, "low").to_numpy()
     count = np.diff(offsets) - LENGTH + 1
     row = np.repeat(np.arange(len(low)), count)
     within = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-    return row, low[row] + within, identifiers(data)[offsets[:-1][row] + within]
+    return data, row, offsets[:-1][row] + within, low[row] + within
 
 
 def _repeated_in_task(around: DataFrame) -> DataFrame:
@@ -144,20 +210,16 @@ def _repeated_in_task(around: DataFrame) -> DataFrame:
         import pyarrow as pa
 
         def refine(held: list):
-            table = pa.Table.from_batches(held).combine_chunks()
-            digests = table.column("digest").combine_chunks()
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            digests = column(rows, "digest")
             key = np.unique(np.array(digests.to_pylist(), "S16"), return_inverse=True)[1]
-            parts, done = [], 0
-            for batch in table.to_batches(max_chunksize=4_000):  # bounds the bytes hashed at a time
-                row, start, identifier = _strings(batch)
-                parts.append((row + done, start, identifier))
-                done += len(batch)
-            row, start, identifier = (np.concatenate(x) for x in zip(*parts))
+            data, row, place, start = _strings(rows)
+            identifier = pointers(data)[place]
             order = np.argsort(identifier, kind="stable")
             sorted_ids = identifier[order]
             # A row given twice (the same document twice) repeats nothing: members of a bucket must differ.
             text, begin = key[row][order], start[order]
-            head = np.flatnonzero(np.diff(sorted_ids, prepend=~sorted_ids[:1]))
+            head = np.flatnonzero(np.diff(sorted_ids, prepend=-1))
             group = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(order))))
             other = (text != text[head][group]) | (begin != begin[head][group])
             twice = np.zeros(len(head), bool)
@@ -177,13 +239,14 @@ def _repeated_in_task(around: DataFrame) -> DataFrame:
             change = np.flatnonzero(bucket != bucket[-1])
             cut = int(change[-1]) + 1 if len(change) else 0
             goes_on = bool(held) and not cut and held[-1].column(0)[-1].as_py() == bucket[0]
-            if rows + cut >= 8_000 and not goes_on:
+            if rows + cut >= HOT and not goes_on:
                 yield refine([*held, batch.slice(0, cut)])
                 held, rows, batch = [], 0, batch.slice(cut)
             held.append(batch)
             rows += len(batch)
         if rows:
             yield refine(held)
+        released(pa)
 
     ordered = around.repartition("bucket").sortWithinPartitions("bucket")
     return ordered.mapInArrow(sort, "digest binary, low long, high long")
@@ -197,14 +260,16 @@ def _repeated_by_identifier(around: DataFrame) -> DataFrame:
 
         for whole in batches:
             for batch in slices(whole, "bytes", SLICE):
-                row, start, identifier = _strings(batch)
-                rows = pa.array(row)
-                yield pa.RecordBatch.from_arrays([pa.array(identifier.view(np.int64)), column(batch, "digest").take(rows), column(batch, "place").take(rows), pa.array(start)], names=["identifier", "digest", "place", "start"])
+                data, row, place, start = _strings(batch)
+                rows, content = pa.array(row), data.tobytes()
+                identifier = [hashlib.blake2b(content[a : a + LENGTH], digest_size=16).digest() for a in place.tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array(identifier, pa.binary()), column(batch, "digest").take(rows), column(batch, "low").take(rows), pa.array(start)], names=["identifier", "digest", "run", "start"])
+        released(pa)
 
-    every = written(around.mapInArrow(spread, "identifier long, digest binary, place long, start long"), "strings")
+    every = written(around.mapInArrow(spread, "identifier binary, digest binary, run long, start long"), "strings")
     bounds = every.groupBy("identifier").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("digest", "start")))
     twice = bounds.filter("min_digest != max_digest or min_start != max_start").select("identifier")
-    hit = every.join(twice, "identifier", "left_semi").groupBy("digest", "place").agg(F.min("start").alias("low"), (F.max("start") + LENGTH).alias("high"))
+    hit = every.join(twice, "identifier", "left_semi").groupBy("digest", "run").agg(F.min("start").alias("low"), (F.max("start") + LENGTH).alias("high"))
     return hit.select("digest", "low", "high")
 
 
@@ -217,25 +282,28 @@ def with_repeats(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT,
     texts = written(known.groupBy("digest").agg(F.first("size").alias("size"), F.count("*").alias("copies"), F.min("first_id").alias("first_id")), "texts")
 
     own = docs.select("doc_id", "text").filter(F.octet_length("text") >= LENGTH).select("text", _digest().alias("digest"), F.coalesce("doc_id", F.lit(-1 << 62)).alias("first_id"))
-    anchors = written(_anchors(own).dropDuplicates(), "anchors")
-    buckets = anchors.groupBy("bucket").agg(F.count("*").alias("count")).filter("count > 1")
-    shared = written(anchors.join(buckets, "bucket"), "shared-anchors")
+    members = written(_judged(_anchors(own)), "members")
+    low = F.when(F.col("state") == COVERED, F.col("at")).otherwise(F.col("at") - F.shiftright("extent", 8))
+    high = F.when(F.col("state") == COVERED, F.col("at") + F.col("extent")).otherwise(F.col("at") - F.col("extent").bitwiseAND(255) + LENGTH)
+    members = members.withColumns({"low": low, "high": high})
 
     def around(rows: DataFrame) -> DataFrame:
-        # A text's places, to be cut out of the one row of it that has the first id.
-        lists = rows.groupBy("digest").agg(F.collect_list(F.struct("bucket", "place")).alias("own"))
-        places = lists.join(texts.select("digest", "first_id"), "digest").select("digest", "first_id", F.col("own.bucket").alias("buckets"), F.col("own.place").alias("places"))
-        return _around(own.join(places, ["digest", "first_id"]))
-
-    found = _repeated_in_task(around(shared.filter(F.col("count") <= hot)))
-    large = shared.filter(F.col("count") > hot)
+        # A text's runs, to be cut out of the one row of it that has the first id.
+        lists = rows.groupBy("digest").agg(F.collect_list(F.struct("bucket", "low", "high")).alias("own"))
+        places = lists.join(texts.select("digest", "first_id"), "digest").select("digest", "first_id", *(F.col(f"own.{c}").alias(f"{c}s") for c in ("bucket", "low", "high")))
+        return _around(own.join(places.hint("merge"), ["digest", "first_id"]))
+
+    open_ones = members.filter("first")
+    found = _repeated_in_task(around(open_ones.filter(F.col("kinds") <= hot)))
+    large = open_ones.filter(F.col("kinds") > hot)
     if not large.isEmpty():
         found = found.unionByName(_repeated_by_identifier(around(large)))
+    found = found.unionByName(members.filter("copied").select("digest", "low", "high"))
     spans = written(found, "spans").groupBy("digest").agg(F.collect_list(F.struct("low", "high")).alias("own"))
     covered = texts.join(spans, "digest", "left").select(F.col("digest").alias("own_digest"), F.col("size").alias("own_size"), F.col("copies").alias("own_copies"), F.col("own.low").alias("own_low"), F.col("own.high").alias("own_high"))
     some = written(covered.filter(f"own_low is not null or own_copies > 1 and own_size >= {LENGTH}"), "covered")
     read = [F.col(f"`{name}`") for name in dict.fromkeys([*names, "text"])]
-    joined = docs.select(*read, _digest().alias("own_digest")).join(some, "own_digest", "left")
+    joined = docs.select(*read, _digest().alias("own_digest")).join(some.hint("merge"), "own_digest", "left")
 
     def make():
         import pyarrow as pa
