@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from .text import cleaned, col, extracted, first_text, label_token, lookup, tail
 
@@ -68,7 +69,9 @@ def to_molar(value: Column, unit: Column | str) -> Column:
 
 def endpoint_type(*values: Column | str) -> Column:
     """The first endpoint type that one of the values names, values in order."""
-    one = lambda v: F.coalesce(*(F.when(cleaned(v).rlike(_BEFORE + p + _AFTER), name) for name, p in TYPE_PATTERNS.items()))
+    any_type = _BEFORE + "(" + "|".join(TYPE_PATTERNS.values()) + ")" + _AFTER
+    each = lambda v: F.coalesce(*(F.when(cleaned(v).rlike(_BEFORE + p + _AFTER), name) for name, p in TYPE_PATTERNS.items()))
+    one = lambda v: F.when(cleaned(v).rlike(any_type), each(v))
     return F.coalesce(*map(one, values))
 
 
@@ -112,6 +115,37 @@ def outcome_label(c: Column | str) -> Column:
 NORMALIZED = ("normalized_concentration", "normalized_concentration_range", "normalized_existing_molar", "normalized_log_molar", "normalized_log_molar_range")
 
 
+#: What measurements' words give, by ``_with_terms``.
+TERMS = ("_type_raw", "_type", "_scale", "_unit", "_curie", "_molar_unit", "_unit_label", "_qualifier", "_outcome_label")
+
+
+def _with_terms(df: DataFrame) -> DataFrame:
+    """``df`` with what its words for type, unit, qualifier and outcome mean. Words are few, so each distinct combination
+    is looked at once and joined back; Spark broadcasts them if they are."""
+    words = [c for c in ("endpoint_type", "unit", "qualifier", "outcome") if c in df.columns]
+    known = df.select(*(F.col(c).cast("string").alias(f"_word_{c}") for c in words), F.lit(True).alias("_words")).distinct()
+    get = lambda name: F.col(f"_word_{name}") if name in words else F.lit(None).cast("string")
+    given, outcome, unit = cleaned(get("endpoint_type")), cleaned(get("outcome")), cleaned(get("unit"))
+    curie = unit_curie(unit)
+    known = known.withColumns(
+        {
+            "_type_raw": first_text(given, outcome),
+            "_type": endpoint_type(given, outcome),
+            "_scale": reported_scale(first_text(given, outcome), outcome),
+            "_unit": unit,
+            "_curie": curie,
+            "_molar_unit": to_molar(F.lit(1.0), unit),
+            "_unit_label": F.coalesce(lookup(curie, UNIT_LABEL), curie, unit),
+            "_qualifier": F.when(cleaned(get("qualifier")).isNotNull(), qualifier(get("qualifier"), F.lit(None).cast("string"))),
+            "_outcome_label": outcome_label(outcome),
+        }
+    )
+    same = F.lit(True)
+    for c in words:
+        same = same & F.col(c).cast("string").eqNullSafe(F.col(f"_word_{c}"))
+    return df.join(known, same).drop("_words", *(f"_word_{c}" for c in words))
+
+
 def with_normalized_endpoint(df: DataFrame) -> DataFrame:
     """Add the normalised fields of measurements.
 
@@ -120,17 +154,19 @@ def with_normalized_endpoint(df: DataFrame) -> DataFrame:
     """
     there = set(df.columns)
     get = lambda name: F.col(name) if name in there else F.lit(None).cast("string")
-    df = df.withColumns({"_given_type": cleaned(get("endpoint_type")), "_given_molar": get("value_molar").cast("double"), "_value": get("value").cast("string"), "_unit": cleaned(get("unit")), "_outcome": cleaned(get("outcome"))})
-    value, unit, outcome = F.col("_value"), F.col("_unit"), F.col("_outcome")
+    numeric = "value" in there and isinstance(df.schema["value"].dataType, NumericType)
+    df = _with_terms(df).withColumns({"_given_molar": get("value_molar").cast("double"), "_value": get("value").cast("string")})
+    value, unit = F.col("_value"), F.col("_unit")
+    number = get("value").cast("double")
     df = df.withColumns(
         {
-            "endpoint_type_raw": first_text("_given_type", outcome),
-            "endpoint_type": endpoint_type("_given_type", outcome, get("endpoint_id")),
-            "reported_scale": reported_scale(first_text("_given_type", outcome), outcome),
-            "value_float": parsed_number(value),
-            "unit_curie": unit_curie(unit),
-            "value_range": parsed_range(value),
-            "outcome_label_normalized": outcome_label(outcome),
+            "endpoint_type_raw": F.col("_type_raw"),
+            "endpoint_type": F.coalesce(F.col("_type"), endpoint_type(get("endpoint_id"))),
+            "reported_scale": F.col("_scale"),
+            "value_float": F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number) if numeric else parsed_number(value),
+            "unit_curie": F.col("_curie"),
+            "value_range": F.lit(None).cast("struct<low:double,high:double>") if numeric else parsed_range(value),
+            "outcome_label_normalized": F.col("_outcome_label"),
         }
     )
     is_range = F.col("value_range").isNotNull()
@@ -140,14 +176,14 @@ def with_normalized_endpoint(df: DataFrame) -> DataFrame:
         {
             "endpoint_family": lookup(F.col("endpoint_type"), ENDPOINT_FAMILY),
             "potency_scale_name": lookup(F.col("endpoint_type"), POTENCY_SCALE),
-            "unit_label": F.coalesce(lookup(F.col("unit_curie"), UNIT_LABEL), F.col("unit_curie"), unit),
-            "qualifier_normalized": F.when(is_range, "range").otherwise(qualifier(get("qualifier"), value)),
+            "unit_label": F.col("_unit_label"),
+            "qualifier_normalized": F.when(is_range, "range").otherwise(F.coalesce(F.col("_qualifier"), F.lit("eq") if numeric else qualifier(F.lit(None).cast("string"), value))),
             "_status": F.when(number.isNotNull() & log & (number <= 0), "invalid_log_potency_value")
             .when(number.isNotNull() & log & F.col("unit_curie").isNotNull(), "conflicting_log_scale_and_concentration_unit")
             .when(number.isNotNull() & log, "normalized_log_molar")
             .when(number <= 0, "nonpositive_value")
             .when(number.isNotNull() & unit.isNull(), "missing_unit")
-            .when(number.isNotNull() & to_molar(number, unit).isNull(), "unsupported_unit")
+            .when(number.isNotNull() & (number * F.col("_molar_unit")).isNull(), "unsupported_unit")
             .when(number.isNotNull(), "normalized_concentration")
             .when(F.isnan("_given_molar") | (F.abs("_given_molar") == float("inf")), "non_finite_value")
             .when(F.col("_given_molar") <= 0, "nonpositive_value")
@@ -157,11 +193,11 @@ def with_normalized_endpoint(df: DataFrame) -> DataFrame:
     )
     molar = (
         F.when(F.col("_status") == "normalized_log_molar", F.pow(F.lit(10.0), -number))
-        .when(F.col("_status") == "normalized_concentration", to_molar(number, unit))
+        .when(F.col("_status") == "normalized_concentration", (number * F.col("_molar_unit")))
         .when(F.col("_status") == "normalized_existing_molar", F.col("_given_molar"))
     )
     wide = (
-        F.when(is_range & ~log & unit.isNotNull() & (low > 0) & to_molar(low, unit).isNotNull(), F.struct(to_molar(low, unit).alias("low"), to_molar(high, unit).alias("high")))
+        F.when(is_range & ~log & unit.isNotNull() & (low > 0) & (low * F.col("_molar_unit")).isNotNull(), F.struct((low * F.col("_molar_unit")).alias("low"), (high * F.col("_molar_unit")).alias("high")))
         .when(is_range & log & F.col("unit_curie").isNull() & (low > 0), F.struct(F.pow(F.lit(10.0), -high).alias("low"), F.pow(F.lit(10.0), -low).alias("high")))
     )
     df = df.withColumns({"_molar": molar, "_wide": wide})
@@ -196,7 +232,7 @@ def with_normalized_endpoint(df: DataFrame) -> DataFrame:
             "potency_value": F.when(F.col("potency_scale_name").isNotNull(), F.col("negative_log10_molar")),
             "threshold_label_eligible": F.col("threshold_label_exclusion_reason") == "",
         }
-    ).drop("_given_type", "_given_molar", "_status", "_molar", "_wide", "_value", "_unit", "_outcome", "value_range")
+    ).drop("_given_molar", "_status", "_molar", "_wide", "_value", "value_range", *TERMS)
 
 
 def _with_facts(df: DataFrame, threshold_um: float | None) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.endpoint import LABELLED_TYPES, assertion
 
 PAIR = ["cid", "protein_id"]
+#: What pairs are made of.
+MEASURED = ["endpoint_id", "mg_id", "sid", "endpoint_type", "value_molar", "label", "label_reason", "reference_id"]
 
 
 def last_by(df: DataFrame, key: str, value: str, seq: str) -> DataFrame:
@@ -18,28 +20,38 @@ def last_by(df: DataFrame, key: str, value: str, seq: str) -> DataFrame:
 def evidence_paths(endpoints: DataFrame, substances: DataFrame, tested_on: DataFrame) -> DataFrame:
     """Every (compound, protein, measurement) along compound - substance - measurement - group - protein.
 
-    All matches count. Measurements are distinct before the fan-out to the proteins of their group.
+    All matches count. Equal measurements are one before the fan-out to the proteins of their group; measurements that
+    share an id and differ in what is measured stay apart.
     """
-    once = endpoints.dropDuplicates(["endpoint_id"])
+    once = endpoints.select(*(c for c in MEASURED if c in endpoints.columns)).distinct()
     return once.join(substances, "sid").join(tested_on, "mg_id")
 
 
 def interaction_support(paths: DataFrame, references: DataFrame | None = None) -> DataFrame:
-    """Distinct measurements, groups and substances of each pair, its label counts, and the assertion they make.
+    """Distinct measurements, groups, substances and (with ``references(endpoint_id, reference_id)``) references of each
+    pair, its label counts, and the assertion that they make. Labels count once for each row that cites a measurement, and
+    once where none does.
 
-    Counts of one row a measurement are taken before those of distinct groups, so that no rows are expanded.
+    Several distinct counts of one aggregation repeat each row for each of them, which is why references, the widest
+    fan-out, are brought down to measurements first and never joined to all paths at once.
     """
+    times = F.lit(1)
+    if references is not None:
+        cited = references.groupBy("endpoint_id").agg(F.count("*").alias("_cited"))
+        paths = paths.join(cited, "endpoint_id", "left")
+        times = F.coalesce(F.col("_cited"), F.lit(1))
+    labelled = lambda is_so: F.sum(F.when(is_so, times).otherwise(0))
     per_pair = paths.groupBy(*PAIR).agg(
         F.count_distinct("endpoint_id").alias("n_endpoints"),
         F.count_distinct("mg_id").alias("n_groups"),
         F.count_distinct("sid").alias("n_substances"),
-        F.count_if(F.col("label") == 1).alias("n_positive"),
-        F.count_if(F.col("label") == 0).alias("n_negative"),
-        F.count_if(F.col("label").isNull()).alias("n_unclear"),
+        labelled(F.col("label") == 1).alias("n_positive"),
+        labelled(F.col("label") == 0).alias("n_negative"),
+        labelled(F.col("label").isNull()).alias("n_unclear"),
     )
     if references is not None:
-        cited = paths.select(*PAIR, "endpoint_id").join(references, "endpoint_id").groupBy(*PAIR).agg(F.count_distinct("reference_id").alias("n_references"))
-        per_pair = per_pair.join(cited, PAIR, "left").withColumn("n_references", F.coalesce("n_references", F.lit(0)))
+        found = paths.select(*PAIR, "endpoint_id").distinct().join(references.select("endpoint_id", "reference_id").distinct(), "endpoint_id")
+        per_pair = per_pair.join(found.groupBy(*PAIR).agg(F.count_distinct("reference_id").alias("n_references")), PAIR, "left").withColumn("n_references", F.coalesce("n_references", F.lit(0)))
     decided = per_pair.withColumn("_a", assertion(F.col("n_positive"), F.col("n_negative"), F.col("n_unclear")))
     return decided.withColumns({"assertion": F.col("_a.assertion"), "confidence": F.col("_a.confidence")}).drop("_a")
 
