@@ -129,16 +129,19 @@ ALONE, SEVERAL, COVERED = 0, 1, 2
 
 
 def _anchors(texts: DataFrame) -> DataFrame:
-    """bucket, kind, digest, at, extent and state of the runs of each slice of texts; covered bytes are rows of their own."""
+    """bucket, kind, digest, first_id (of a row with the text), at, extent and state of the runs of each slice of texts;
+    covered bytes are rows of their own."""
 
     def find(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for whole in batches:
             for batch in slices(whole, "text", 4 * SLICE):
-                known: dict[bytes, int] = {}
+                known: dict[bytes, int] = {}  # of equal texts the first row by id
+                ids = column(batch, "first_id").to_pylist()
                 for i, digest in enumerate(column(batch, "digest").to_pylist()):
-                    known.setdefault(digest, i)
+                    if ids[known.setdefault(digest, i)] > ids[i]:
+                        known[digest] = i
                 if len(known) < len(batch):
                     batch = batch.take(pa.array(list(known.values())))
                 data, offsets = text_bytes(column(batch, "text"))
@@ -150,23 +153,24 @@ def _anchors(texts: DataFrame) -> DataFrame:
                         pa.array(np.concatenate([bucket, apart])),
                         pa.array(np.concatenate([kind, mixed(apart.view(np.uint64)).view(np.int64)])),
                         column(batch, "digest").take(pa.array(rows)),
+                        column(batch, "first_id").take(pa.array(rows)),
                         pa.array(np.concatenate([at, low])),
                         pa.array(np.concatenate([left << 8 | right, high - low])),
                         pa.array(np.concatenate([several.astype(np.int32), np.full(len(owner), COVERED, np.int32)])),
                     ],
-                    names=["bucket", "kind", "digest", "at", "extent", "state"],
+                    names=["bucket", "kind", "digest", "first_id", "at", "extent", "state"],
                 )
         released(pa)
 
-    return bounded_batches(texts).select("digest", "text").mapInArrow(find, "bucket long, kind long, digest binary, at long, extent long, state int")
+    return bounded_batches(texts).select("digest", "first_id", "text").mapInArrow(find, "bucket long, kind long, digest binary, first_id long, at long, extent long, state int")
 
 
 def _judged(members: DataFrame) -> DataFrame:
-    """digest, at, extent, state and bucket of members whose strings are all repeated (``copied``), or that stand for
+    """digest, first_id, at, extent, state and bucket of members whose strings are all repeated (``copied``), or that stand for
     their kind in a bucket of ``kinds`` kinds, more than one. Other members go. One exchange, one sort."""
     by_bucket, by_kind = Window.partitionBy("bucket"), Window.partitionBy("bucket", "kind")
     differ = lambda c: F.min(c).over(by_kind) != F.max(c).over(by_kind)
-    placed = members.repartition("bucket").withColumn("first", F.row_number().over(by_kind.orderBy("digest", "at")) == 1)
+    placed = members.repartition("bucket").withColumn("first", F.row_number().over(by_kind.orderBy("digest", "at", "first_id")) == 1)
     placed = placed.withColumn("copied", (F.max("state").over(by_kind) > ALONE) | differ("digest") | differ("at"))
     placed = placed.withColumn("kinds", F.sum(F.when(F.col("first") & (F.col("state") != COVERED), 1).otherwise(0)).over(by_bucket))
     placed = placed.withColumn("first", F.col("first") & (F.col("state") != COVERED) & (F.col("kinds") > 1))
@@ -278,8 +282,8 @@ def with_repeats(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT,
     bytes; or with ``fields``, which ``derive`` makes of a batch and the spans of its rows, in the same pass over the
     texts. Column names starting with ``own_`` are used on the way."""
     names = docs.columns if keep is None else keep
-    known = docs.select(_digest().alias("digest"), F.octet_length(F.coalesce("text", F.lit(""))).alias("size"), F.coalesce("doc_id", F.lit(-1 << 62)).alias("first_id"))
-    texts = written(known.groupBy("digest").agg(F.first("size").alias("size"), F.count("*").alias("copies"), F.min("first_id").alias("first_id")), "texts")
+    texts = docs.select(_digest().alias("own_digest"), F.octet_length("text").alias("size")).filter(f"size >= {LENGTH}")
+    copies = texts.groupBy("own_digest").agg(F.first("size").alias("own_size"), F.count("*").alias("own_copies")).filter("own_copies > 1")
 
     own = docs.select("doc_id", "text").filter(F.octet_length("text") >= LENGTH).select("text", _digest().alias("digest"), F.coalesce("doc_id", F.lit(-1 << 62)).alias("first_id"))
     members = written(_judged(_anchors(own)), "members")
@@ -288,9 +292,9 @@ def with_repeats(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT,
     members = members.withColumns({"low": low, "high": high})
 
     def around(rows: DataFrame) -> DataFrame:
-        # A text's runs, to be cut out of the one row of it that has the first id.
-        lists = rows.groupBy("digest").agg(F.collect_list(F.struct("bucket", "low", "high")).alias("own"))
-        places = lists.join(texts.select("digest", "first_id"), "digest").select("digest", "first_id", *(F.col(f"own.{c}").alias(f"{c}s") for c in ("bucket", "low", "high")))
+        # A text's runs, to be cut out of one row of it; the grouping's exchange serves the join as well.
+        lists = rows.groupBy("digest", "first_id").agg(F.collect_list(F.struct("bucket", "low", "high")).alias("own"))
+        places = lists.select("digest", "first_id", *(F.col(f"own.{c}").alias(f"{c}s") for c in ("bucket", "low", "high")))
         return _around(own.join(places.hint("merge"), ["digest", "first_id"]))
 
     open_ones = members.filter("first")
@@ -299,11 +303,11 @@ def with_repeats(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT,
     if not large.isEmpty():
         found = found.unionByName(_repeated_by_identifier(around(large)))
     found = found.unionByName(members.filter("copied").select("digest", "low", "high"))
-    spans = written(found, "spans").groupBy("digest").agg(F.collect_list(F.struct("low", "high")).alias("own"))
-    covered = texts.join(spans, "digest", "left").select(F.col("digest").alias("own_digest"), F.col("size").alias("own_size"), F.col("copies").alias("own_copies"), F.col("own.low").alias("own_low"), F.col("own.high").alias("own_high"))
-    some = written(covered.filter(f"own_low is not null or own_copies > 1 and own_size >= {LENGTH}"), "covered")
+    spans = written(found, "spans").groupBy(F.col("digest").alias("own_digest")).agg(F.collect_list(F.struct("low", "high")).alias("own"))
+    spans = spans.select("own_digest", F.col("own.low").alias("own_low"), F.col("own.high").alias("own_high"))
+    copies = written(copies, "copies")
     read = [F.col(f"`{name}`") for name in dict.fromkeys([*names, "text"])]
-    joined = docs.select(*read, _digest().alias("own_digest")).join(some.hint("merge"), "own_digest", "left")
+    joined = docs.select(*read, _digest().alias("own_digest")).join(spans.hint("merge"), "own_digest", "left").join(copies.hint("merge"), "own_digest", "left")
 
     def make():
         import pyarrow as pa
@@ -313,7 +317,7 @@ def with_repeats(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT,
             out = []
             for low, high, size, copies in zip(lows, highs, column(batch, "own_size").to_pylist(), column(batch, "own_copies").to_pylist()):
                 merged: list[int] = []
-                if copies is not None and copies > 1 and size >= LENGTH:
+                if copies is not None:
                     merged = [0, size]
                 elif low:
                     for a, b in sorted(zip(low, high)):
