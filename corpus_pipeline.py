@@ -12,7 +12,7 @@ from evigraph.llm.storage import written
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any letter have no language and go."""
+    """Documents without any letter have no language and go; of the others a missing language is filled in."""
     return language_id.identified(docs)
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import cleaned, col, extracted, first_text, lookup, tail
+from .text import cleaned, col, extracted, first_text, identifier, lookup, relationship_type, stable_id, tail
 
-# Accessions and gene ids of common P450 enzymes.
+# Accessions and gene ids of common P450 enzymes, and the forms that accessions and their names have.
 ACCESSION_SYMBOL = {"P05177": "CYP1A2", "P11712": "CYP2C9", "P33261": "CYP2C19", "P10635": "CYP2D6", "P08684": "CYP3A4", "P20815": "CYP3A5", "Q7Z449": "CYP2U1", "Q96SQ9": "CYP2S1"}
 GENE_SYMBOL = {"1544": "CYP1A2", "1559": "CYP2C9", "1557": "CYP2C19", "1565": "CYP2D6", "1576": "CYP3A4", "1577": "CYP3A5", "113612": "CYP2U1", "29785": "CYP2S1"}
 ACCESSION = r"^(?:[A-NR-Z][0-9][A-Z0-9]{3}[0-9]|[OPQ][0-9][A-Z0-9]{3}[0-9])(?:-\d+)?$"
@@ -24,6 +24,7 @@ ASSAY_TYPES = {
     "cell_based": "cell|cellular",
     "toxicity": "tox|cytotoxic|viability",
 }
+# Substrings that tell how an outcome was measured.
 OUTCOME_METHODS = {"ic50": "ic50", "ec50": "ec50", "ac50": "ac50", "ki": "ki", "kd": "kd", "km": "km", "inhibition": "inhib", "activity": "activity"}
 
 
@@ -125,3 +126,68 @@ def taxids(c: Column | str) -> Column:
 
 def display_title(title: Column | str, aid: Column | str) -> Column:
     return F.coalesce(first_text(title), F.concat(F.lit("Assay "), col(aid).cast("string")))
+
+
+def term_of(c: Column | str) -> Column:
+    """``kind:id`` of a public record's address (``.../pubchem/kind/id``), or the text itself."""
+    text = F.trim(col(c).cast("string"))
+    address = r"^https?://rdf\.ncbi\.nlm\.nih\.gov/pubchem/([^/]+)/([^/?#]+)$"
+    return F.when(text.rlike(address), F.concat_ws(":", F.regexp_extract(text, address, 1), F.regexp_extract(text, address, 2))).otherwise(text)
+
+
+def term_number(c: Column | str, kind: str) -> Column:
+    """The number of a term that ends in CID, SID, TAXID or GID and digits; null if it is of another kind."""
+    return extracted(col(c), rf"{kind}(\d+)$").try_cast("long")
+
+
+def term_accession(c: Column | str) -> Column:
+    return extracted(col(c), r"ACC([^:]+)$")
+
+
+#: Property names of a taxonomy number.
+TAXID_NAMES = ("taxid", "taxonomy_id", "tax_id", "raw_taxid", "organism_taxid", "ncbi_taxid")
+
+
+def taxids_of(props: Column) -> Column:
+    """All taxonomy numbers of a map of texts, under any of their names, each once."""
+    each = F.array(*(F.coalesce(F.replace(cleaned(props[n]), F.lit("TAXID"), F.lit("")).try_cast("int").cast("long"), extracted(cleaned(props[n]), r"(\d+)").try_cast("long")) for n in TAXID_NAMES))
+    return F.array_sort(F.array_distinct(F.array_compact(each)))
+
+
+def listed_taxids(c: Column | str) -> Column:
+    """The numbers of a list parameter (commas or semicolons, ``TAXID`` before a number or not), in order, each once; null
+    if there is none."""
+    parts = F.transform(F.split(F.translate(F.coalesce(col(c), F.lit("")), ";", ","), ","), lambda p: F.regexp_replace(F.trim(p), "(?i)^TAXID", "").try_cast("int"))
+    found = F.array_distinct(F.array_compact(parts))
+    return F.when(F.size(found) > 0, found)
+
+
+def listed_words(c: Column | str) -> Column:
+    """The words of a list parameter in lower case with ``_`` for ``-``, in order, each once."""
+    parts = F.transform(F.split(F.translate(F.coalesce(col(c), F.lit("")), ";", ","), ","), lambda p: F.replace(F.lower(F.trim(p)), F.lit("-"), F.lit("_")))
+    return F.array_distinct(F.filter(parts, lambda p: p != ""))
+
+
+def source_name(c: Column | str) -> Column:
+    """A source's name to show: the last part of an address that is one, else the text."""
+    text = cleaned(c)
+    last = F.substring_index(F.regexp_replace(text, "/+$", ""), "/", -1)
+    return F.when(text.contains("/") & (last != "") & ~F.lower(last).startswith("http"), last).otherwise(text)
+
+
+def source_id(given: Column | str, term: Column | str, name: Column | str) -> Column:
+    """A source's id: given, or its term or name in the letters of an identifier, or a stable hash of these."""
+    text = F.coalesce(first_text(term, name), F.lit("unknown-source"))
+    return F.coalesce(cleaned(given), identifier(text), stable_id(text, prefix="source:"))
+
+
+def node_uri(base: str, label: Column | str, key: Column | str) -> Column:
+    """An address for a node: base, label and key, as they stand in addresses."""
+    return F.concat(F.lit(base), F.url_encode(col(label)), F.lit("/"), F.url_encode(F.coalesce(identifier(key), F.lit("unknown"))))
+
+
+def relationship_types(overrides: dict[tuple[str, str, str], str] | None = None) -> Column:
+    """The type of a schema edge (start_label, end_label, label): an override, or its label in the form of a type."""
+    key = F.concat_ws("\t", "start_label", "end_label", "label")
+    known = {"\t".join(k): v for k, v in (overrides or {}).items()}
+    return F.coalesce(lookup(key, known), relationship_type("label")) if known else relationship_type("label")

@@ -90,5 +90,13 @@ def entity_rows(evidence: DataFrame, kinds: dict[str, str], seq: str) -> DataFra
 
 def filled(missing: DataFrame, records: DataFrame, key: str) -> DataFrame:
     """Missing ids with their full record where one is known, else a minimal row; ``retrieval_status`` tells which."""
-    marked = first_by(records.withColumn("_seq", F.monotonically_increasing_id()), [key], "_seq").withColumn("_full", F.lit(True))
+    # Of several records of an id the first in order of all their columns.
+    rest = [c for c in records.columns if c != key]
+    marked = first_by(records.withColumn("_seq", F.to_json(F.struct(*rest))), [key], "_seq").withColumn("_full", F.lit(True))
     return missing.select(key).distinct().join(marked, key, "left").withColumn("retrieval_status", F.when(F.col("_full"), "full_record").otherwise("minimal_fallback")).drop("_full")
+
+
+def kept_endpoints(endpoints: DataFrame, types: list[str] | None = None, numeric: bool = True) -> DataFrame:
+    """Measurements of one of ``types`` (in any case; all if None) whose value is a number (if ``numeric``)."""
+    kept = endpoints if types is None else endpoints.filter(F.lower("type").isin(*(x.lower() for x in types)))
+    return kept.filter(F.col("value").cast("string").try_cast("double").isNotNull()) if numeric else kept

@@ -20,6 +20,16 @@ def is_identifier(column: str) -> bool:
     return any(part in IDENTIFIER_WORDS for part in column.lower().split("_"))
 
 
+#: Parts of names of descriptors that are no identifiers, whatever else is in the name.
+DESCRIPTOR_WORDS = ("xlogp", "hbond", "rotatable", "heavy_atom", "atom_count", "hetero_atom", "molecular_weight", "exact_mass", "tpsa")
+
+
+def is_leaking(column: str) -> bool:
+    """Whether a feature's name looks like an identifier in an audit, where names of descriptors are known."""
+    name = column.strip().lower()
+    return is_identifier(name) and not any(word in name for word in DESCRIPTOR_WORDS)
+
+
 def vector_columns(columns: list[str]) -> list[str]:
     """Columns that hold one component of a vector each."""
     import re
@@ -42,12 +52,18 @@ def numeric_columns(df: DataFrame, exclude: list[str] = ()) -> list[str]:
     return [c for c in df.columns if c in {*typed, *found}]
 
 
+def finite(column: str) -> Column:
+    """A column as doubles; what is no finite number is null."""
+    value = F.col(f"`{column}`").cast("double")
+    return F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
+
+
 def statistics(fit: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
     """Mean and population standard deviation of each column; one row of numbers for each WIDTH columns."""
     out = {}
     for k in range(0, len(columns), WIDTH):
         some = columns[k : k + WIDTH]
-        row = fit.agg(*(F.avg(F.col(f"`{c}`").cast("double")).alias(f"m_{i}") for i, c in enumerate(some)), *(F.stddev_pop(F.col(f"`{c}`").cast("double")).alias(f"s_{i}") for i, c in enumerate(some))).first()
+        row = fit.agg(*(F.avg(finite(c)).alias(f"m_{i}") for i, c in enumerate(some)), *(F.stddev_pop(finite(c)).alias(f"s_{i}") for i, c in enumerate(some))).first()
         out |= {c: (row[f"m_{i}"] or 0.0, row[f"s_{i}"] or 0.0) for i, c in enumerate(some)}
     return out
 
@@ -61,7 +77,7 @@ def model_matrix(rows: DataFrame, keys: list[str], fit: DataFrame | None = None,
     scaled = {}
     for c in columns:
         mean, spread = stats[c]
-        value = F.col(f"`{c}`").cast("double")
+        value = finite(c)
         scaled[f"{prefix}{c}"] = (F.coalesce(value, F.lit(mean)) - F.lit(mean)) / F.lit(spread if spread > 0 else 1.0)
         scaled[f"missing_{c}"] = value.isNull().cast("int")
     return rows.select(*keys, *(c.alias(name) for name, c in scaled.items()))

@@ -2,29 +2,34 @@
 
 A row is ``kind STRING, data MAP<STRING, STRING>, seq BIGINT``. What a kind gives is declared as plain specifications:
 nodes with a key and properties, each property with the data fields that it is taken from (the first that is not
-blank), and edges between keys. One pass over the rows explodes all nodes, one all edges.
+blank) or an expression over them, and edges between keys. One pass over the rows explodes all nodes, one all edges.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import node_ref
+from ..functions.text import node_ref, stable_id
+
+#: Data fields in order of preference, or what makes a value of them.
+Sources = tuple[str, ...] | Callable[[], Column]
 
 
 @dataclass(frozen=True)
 class Node:
     """A node of ``label`` with the key field ``key``, from the first of ``sources``; ``sidecar`` nodes need a property
-    besides their key."""
+    besides their key. With ``raw``, data fields that are no property of the node are carried over as ``raw_*``."""
 
     label: str
     key: str
-    sources: tuple[str, ...]
-    props: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    sources: Sources
+    props: dict[str, Sources] = field(default_factory=dict)
     sidecar: bool = False
+    raw: bool = False
 
 
 @dataclass(frozen=True)
@@ -32,8 +37,8 @@ class Edge:
     """An edge of ``type`` between two keyed labels; only where both keys are there, and the sidecar's fields if given."""
 
     type: str
-    start: tuple[str, str, tuple[str, ...]]
-    end: tuple[str, str, tuple[str, ...]]
+    start: tuple[str, str, Sources]
+    end: tuple[str, str, Sources]
     needs: tuple[str, ...] = ()
     listed: bool = False
 
@@ -101,38 +106,150 @@ def _given(*names: str) -> Column:
     return F.coalesce(*(F.nullif(F.trim(F.col("data")[n]), F.lit("")) for n in names))
 
 
+def _value(sources: Sources) -> Column:
+    return sources() if callable(sources) else _given(*sources)
+
+
+def _whole(name: str) -> Column:
+    return _given(name).try_cast("long").cast("string")
+
+
+def _address(prefix: str, *names: str) -> Callable[[], Column]:
+    """An address made of an id, where there is one."""
+    return lambda: F.concat(F.lit(prefix), _given(*names))
+
+
+# Kinds of the optional layers. Fixed values as above.
+UNIPROT, REACTOME = ("UniProt", "uniprot_acc", ("uniprot_acc", "accession", "acc")), ("Reactome", "reactome_id", ("reactome_id", "pathway_id", "id"))
+GO, INTERPRO, ALPHAFOLD = ("GO", "go_id", ("go_id", "id")), ("InterPro", "interpro_id", ("interpro_id", "id")), ("AlphaFold", "alphafold_id", ("alphafold_id", "id", "model_id"))
+PDB = ("PDB", "pdb_id", lambda: F.upper(_given("pdb_id", "id")))
+PROTEMBED = ("ProtEmbed", "embedding_id", ("embedding_id", "id"))
+MOLGRAPH = ("MolGraph", "repr_id", lambda: F.coalesce(_given("repr_id", "id"), F.concat(F.lit("molgraph:CID"), _whole("cid"), F.lit(":pubchem_features_v1"))))
+CHEMBL, BINDINGDB, DRUGBANK = ("ChEMBL", "chembl_id", ("chembl_id", "id")), ("BindingDB", "bindingdb_id", ("bindingdb_id", "id")), ("DrugBank", "drugbank_id", ("drugbank_id", "id"))
+PAIR_SEED = lambda: F.when(_whole("cid").isNotNull() & _given("protein_id").isNotNull(), stable_id(F.concat(F.lit("CID"), _whole("cid")), _given("protein_id"), prefix="interaction:"))
+INTERACTION = ("Interaction", "interaction_id", lambda: F.coalesce(_given("interaction_id"), PAIR_SEED()))
+BRIDGE = ("Pathway", "pathway_id", lambda: F.coalesce(_given("pathway_id"), F.concat(F.lit("Reactome:"), _given("reactome_id", "id"))))
+NUMERIC_CID = ("Compound", "cid", lambda: _whole("cid"))
+REACTOME_PAGE = _address("https://reactome.org/content/detail/", "reactome_id", "pathway_id", "id")
+PDB_PAGE = lambda: F.concat(F.lit("https://www.rcsb.org/structure/"), F.upper(_given("pdb_id", "id")))
+FORMULA_COUNTS = _same(*(f"formula_{x}_count" for x in ("atom", "c", "h", "n", "o", "s", "halogen", "hetero_atom", "element")))
+SPECIFICATIONS |= {
+    "uniprot": ([Node(*UNIPROT, {**_same("reviewed", "isoform_count", "function", "organism", "taxid", "sequence_length"), "protein_name": ("protein_name", "name")}, raw=True)], [Edge("HAS_UNIPROT_RECORD", PROTEIN, UNIPROT)]),
+    "go": ([Node(*GO, {"name": ("name", "label"), **_same("aspect", "evidence_code")}, raw=True)], [Edge("HAS_GO_ANNOTATION", PROTEIN, GO)]),
+    "reactome": (
+        [
+            Node(*REACTOME, {"name": ("name", "title", "label"), "species": ("species",), "pathway_id": BRIDGE[2], "source_url": REACTOME_PAGE}, raw=True),
+            Node(*BRIDGE, {"title": ("name", "title", "label"), "name": ("name", "title", "label"), "source": lambda: F.lit("Reactome"), "pathway_type": lambda: F.lit("reactome"), "species": ("species",), "external_id": REACTOME[2], "source_url": REACTOME_PAGE}),
+        ],
+        [Edge("MAPS_TO_REACTOME_PATHWAY", PROTEIN, REACTOME), Edge("PARTICIPATES_IN", PROTEIN, BRIDGE), Edge("ALIGNS_TO_PATHWAY", REACTOME, BRIDGE)],
+    ),
+    "interpro": ([Node(*INTERPRO, {"name": ("name", "label"), "type": ("type",)}, raw=True)], [Edge("HAS_INTERPRO_DOMAIN", PROTEIN, INTERPRO)]),
+    "pdb": ([Node(*PDB, {**_same("method", "resolution", "chain_map"), "pdb_url": lambda: F.coalesce(_given("pdb_url"), PDB_PAGE()), "source_url": lambda: F.coalesce(_given("source_url"), PDB_PAGE())}, raw=True)], [Edge("HAS_PDB_STRUCTURE", PROTEIN, PDB)]),
+    "alphafold": (
+        [Node(*ALPHAFOLD, {**_same("model_version", "average_plddt", "pdb_url", "cif_url", "pae_url", "model_status"), "confidence_summary": ("confidence_summary", "plddt_summary"), "storage_uri": ("storage_uri", "pdb_url", "cif_url")}, raw=True)],
+        [Edge("HAS_ALPHAFOLD_MODEL", PROTEIN, ALPHAFOLD)],
+    ),
+    "protembed": ([Node(*PROTEMBED, _same("method", "dim", "storage_uri", "version"), raw=True)], [Edge("HAS_PROTEIN_EMBEDDING", ("UniProt", "uniprot_acc", ("uniprot_acc",)), PROTEMBED), Edge("HAS_PROTEIN_EMBEDDING", PROTEIN, PROTEMBED)]),
+    "molgraph": (
+        [
+            Node(
+                *MOLGRAPH,
+                {
+                    **_same("cid", "fp_type", "dim", "storage_uri", "version", "isomeric_smiles", "inchi", "inchikey", "formula", "molecular_weight", "xlogp", "tpsa", "hbond_donor_count", "hbond_acceptor_count"),
+                    **_same("rotatable_bond_count", "heavy_atom_count", "charge", "smiles_length", "fingerprint_available", "fingerprint_method", "fingerprint_nbits", "fingerprint_on_bits"),
+                    **FORMULA_COUNTS,
+                    "method": lambda: F.coalesce(_given("method"), F.lit("pubchem_features_v1")),
+                    "smiles": ("smiles", "canonical_smiles", "isomeric_smiles"),
+                    "canonical_smiles": ("canonical_smiles", "smiles"),
+                },
+                raw=True,
+            )
+        ],
+        [Edge("HAS_MOLECULAR_REPRESENTATION", NUMERIC_CID, MOLGRAPH)],
+    ),
+    "chembl": ([Node(*CHEMBL, _same("entity_type", "assay_id", "activity_id"), raw=True)], [Edge("HAS_CHEMBL_RECORD", NUMERIC_CID, CHEMBL), Edge("HARMONIZED_TO_CHEMBL", EP, CHEMBL)]),
+    "bindingdb": (
+        [
+            Node(*BINDINGDB, _same("ligand_id", "target_uniprot_acc", "kd", "ki", "ic50", "affinity_type", "affinity_value", "smiles", "inchikey", "parse_status", "source_ref", "source_url"), raw=True),
+            Node(*NUMERIC_CID, {"preferred_name": ("ligand_name", "monomer_name")}),
+            Node("Structure", "cid", lambda: F.when(_given("bindingdb_id", "id").isNotNull(), _whole("cid")), {"smiles": ("smiles",), "canonical_smiles": ("smiles",), **_same("inchi", "inchikey")}, True),
+        ],
+        [
+            Edge("HAS_BINDINGDB_RECORD", NUMERIC_CID, BINDINGDB),
+            Edge("HAS_STRUCTURE", NUMERIC_CID, ("Structure", "cid", lambda: _whole("cid")), ("smiles", "inchi", "inchikey")),
+            Edge("HAS_BINDINGDB_TARGET_RECORD", PROTEIN, BINDINGDB),
+            Edge("VALIDATED_BY_BINDINGDB", EP, BINDINGDB),
+        ],
+    ),
+    "drugbank": ([Node(*DRUGBANK, {"name": ("name", "label"), **_same("category", "mechanism")}, raw=True)], [Edge("HAS_DRUGBANK_RECORD", NUMERIC_CID, DRUGBANK), Edge("HAS_DRUGBANK_ENZYME_LINK", PROTEIN, DRUGBANK)]),
+    "interaction": (
+        [Node(*INTERACTION, _same("label", "confidence", "evidence_count", "aggregation_rule", "split", "created_by"), raw=True)],
+        [
+            Edge("ASSERTS_CHEMICAL", INTERACTION, NUMERIC_CID),
+            Edge("ASSERTS_TARGET", INTERACTION, PROTEIN),
+            Edge("SUPPORTED_BY_ENDPOINT", INTERACTION, EP),
+            Edge("SUPPORTED_BY_ASSAY", INTERACTION, AID),
+            Edge("SUPPORTED_BY_REFERENCE", INTERACTION, ("Reference", "reference_id", ("reference_id",))),
+            Edge("SCOPED_TO_ORGANISM", INTERACTION, ("Organism", "taxid", ("taxid",))),
+        ],
+    ),
+}
+SPECIFICATIONS |= {"protein_embedding": SPECIFICATIONS["protembed"], "molecular_representation": SPECIFICATIONS["molgraph"]}
+
+
+def raw_fields(known: tuple[str, ...]) -> Column:
+    """The data fields that are none of ``known``, as ``raw_`` and their name in letters, digits and ``_``; nulls go, and of
+    fields whose names become the same the first stays."""
+    safe = F.transform(
+        F.map_entries(F.map_filter("data", lambda k, v: v.isNotNull())),
+        lambda e: F.struct(F.coalesce(F.nullif(F.trim(F.regexp_replace(e["key"], "[^0-9A-Za-z_]+", "_"), F.lit("_")), F.lit("")), F.lit("value")).alias("key"), e["value"].alias("value")),
+    )
+    first = F.filter(safe, lambda e, i: (F.array_position(F.transform(safe, lambda x: x["key"]), e["key"]) == i + 1) & ~e["key"].isin(*known))
+    return F.map_from_entries(F.transform(first, lambda e: F.struct(F.concat(F.lit("raw_"), e["key"]), e["value"])))
+
+
 def _props(node: Node) -> Column:
-    entries = F.array(*(F.struct(F.lit(name), _given(*sources)) for name, sources in node.props.items()))
-    return F.map_filter(F.map_from_entries(entries), lambda k, v: v.isNotNull()) if node.props else F.create_map().cast("map<string,string>")
+    entries = F.array(*(F.struct(F.lit(name), _value(sources)) for name, sources in node.props.items()))
+    props = F.map_filter(F.map_from_entries(entries), lambda k, v: v.isNotNull()) if node.props else F.create_map().cast("map<string,string>")
+    return F.map_concat(props, raw_fields((node.key, *node.props))) if node.raw else props
+
+
+def _chosen(kinds: tuple[str, ...] | None):
+    return [(kind, spec) for kind, spec in SPECIFICATIONS.items() if kinds is None or kind in kinds]
+
 
+def _by_kind(rows: DataFrame, arrays: dict[str, Column], name: str) -> DataFrame:
+    """``seq`` and each element of the array of a row's kind, in one pass."""
+    chosen = None
+    for kind, made in arrays.items():
+        chosen = F.when(F.col("kind") == kind, made) if chosen is None else chosen.when(F.col("kind") == kind, made)
+    return rows.filter(F.col("kind").isin(*arrays)).select("seq", F.explode(chosen).alias(name))
 
-def nodes_of(rows: DataFrame) -> DataFrame:
-    """label, node_ref, props and seq of every node that the rows give."""
-    out = None
-    for kind, (nodes, _) in SPECIFICATIONS.items():
-        if not nodes:
-            continue
+
+def nodes_of(rows: DataFrame, kinds: tuple[str, ...] | None = None) -> DataFrame:
+    """label, node_ref, props and seq of every node that the rows give. ``kinds`` are those to look at, all if None; fewer make
+    a smaller plan."""
+    arrays = {}
+    for kind, (nodes, _) in _chosen(kinds):
         made = []
         for node in nodes:
-            key, props = _given(*node.sources), _props(node)
+            key, props = _value(node.sources), _props(node)
             there = key.isNotNull() & (F.size(props) > 0) if node.sidecar else key.isNotNull()
             made.append(F.when(there, F.struct(F.lit(node.label).alias("label"), node_ref(node.label, **{node.key: key}).alias("node_ref"), props.alias("props"))))
-        one = rows.filter(F.col("kind") == kind).select("seq", F.explode(F.array_compact(F.array(*made))).alias("n")).select("n.label", "n.node_ref", "n.props", "seq")
-        out = one if out is None else out.unionByName(one)
-    return out
+        if made:
+            arrays[kind] = F.array_compact(F.array(*made))
+    return _by_kind(rows, arrays, "n").select("n.label", "n.node_ref", "n.props", "seq")
 
 
-def edges_of(rows: DataFrame) -> DataFrame:
+def edges_of(rows: DataFrame, kinds: tuple[str, ...] | None = None) -> DataFrame:
     """type, start_ref, end_ref and seq of every edge; lists of neighbours (`` | `` between ids) give one each, and an
-    edge to itself goes."""
-    out = None
-    for kind, (_, edges) in SPECIFICATIONS.items():
-        if not edges:
-            continue
+    edge to itself goes. ``kinds`` as above."""
+    arrays = {}
+    for kind, (_, edges) in _chosen(kinds):
         made = []
         for edge in edges:
             (a, a_key, a_from), (b, b_key, b_from) = edge.start, edge.end
-            start, end = _given(*a_from), _given(*b_from)
+            start, end = _value(a_from), _value(b_from)
             there = start.isNotNull() & end.isNotNull()
             if edge.needs:
                 there = there & _given(*edge.needs).isNotNull()
@@ -142,12 +259,42 @@ def edges_of(rows: DataFrame) -> DataFrame:
                 return F.struct(F.lit(edge.type).alias("type"), node_ref(a, **{a_key: start}).alias("start_ref"), node_ref(b, **{b_key: e}).alias("end_ref"))
 
             made.append(F.when(there, _each(ends, of)))
-        every = F.flatten(F.array_compact(F.array(*made)))
-        one = rows.filter(F.col("kind") == kind).select("seq", F.explode(every).alias("e")).select("e.type", "e.start_ref", "e.end_ref", "seq").filter("start_ref != end_ref")
-        out = one if out is None else out.unionByName(one)
-    return out
+        if made:
+            arrays[kind] = F.flatten(F.array_compact(F.array(*made)))
+    return _by_kind(rows, arrays, "e").select("e.type", "e.start_ref", "e.end_ref", "seq").filter("start_ref != end_ref")
 
 
 def _each(values: Column, make) -> Column:
     """``make`` of every value; a function of one argument, so that it gets no index."""
     return F.transform(values, lambda v: make(v))
+
+
+def represented(compounds: DataFrame, molgraphs: DataFrame, method: str = "pubchem_features_v1") -> tuple[DataFrame, DataFrame]:
+    """Placeholder representations of ``compounds(cid)`` that ``molgraphs(cid)`` lacks, as nodes, and the edges from every
+    compound to its representations (``molgraphs(cid, repr_id)`` and placeholders)."""
+    cid = F.col("cid").cast("string")
+    own = F.concat(F.lit("molgraph:CID"), cid, F.lit(f":{method}"))
+    missing = compounds.select("cid").distinct().join(molgraphs.select("cid").distinct(), "cid", "left_anti").select("cid", own.alias("repr_id"))
+    nodes = missing.select(F.lit("MolGraph").alias("label"), node_ref("MolGraph", repr_id="repr_id").alias("node_ref"), F.create_map(F.lit("cid"), cid, F.lit("method"), F.lit(method), F.lit("placeholder"), F.lit("true")).alias("props"))
+    every = molgraphs.select("cid", "repr_id").join(compounds.select("cid").distinct(), "cid", "left_semi").unionByName(missing).distinct()
+    edges = every.select(F.lit("HAS_MOLECULAR_REPRESENTATION").alias("type"), node_ref("Compound", cid="cid").alias("start_ref"), node_ref("MolGraph", repr_id="repr_id").alias("end_ref"))
+    return nodes, edges
+
+
+def _picked(fields: tuple[str, ...]) -> Column:
+    return F.map_filter("data", lambda k, v: k.isin(*fields) & (F.trim(v) != ""))
+
+
+def written_back(rows: DataFrame, updates: dict[str, tuple[str, str, tuple[str, ...]]]) -> DataFrame:
+    """``rows`` and, of each row of a kind of ``updates``, one more that updates the entity it is about: kind of entity, its
+    key and the data fields that it takes. Rows without the key, or without such fields, update nothing. The new rows come
+    after their sources (the same ``seq``), to be merged by the last non-empty value."""
+    made = []
+    for kind, (entity, key, fields) in updates.items():
+        data = _picked(fields)
+        one = rows.filter(F.col("kind") == kind).select(F.lit(entity).alias("kind"), F.when(F.size(data) > 0, F.map_concat(F.create_map(F.lit(key), _given(key)), data)).alias("data"), "seq", _given(key).alias("_key"))
+        made.append(one.filter("data is not null and _key is not null").drop("_key"))
+    out = rows.select("kind", "data", "seq")
+    for part in made:
+        out = out.unionByName(part)
+    return out

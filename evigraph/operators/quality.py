@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .graph import dense_ids
+
 MISSING = "<missing>"
 
 
@@ -134,12 +136,25 @@ def readiness(counts: dict[str, Column], required: dict[str, int], advised: dict
     return blockers, warnings, F.when(F.size(blockers) > 0, "blocked").when(F.size(warnings) > 0, "ready_with_warnings").otherwise("ready")
 
 
-def table_hash(df: DataFrame, order: list[str]) -> DataFrame:
-    """A content hash of a table: SHA-256 of its rows' hashes in order, gathered in blocks by range. A block's hash is of
-    its rows' hashes, the table's of its blocks' hashes by their first row."""
-    rows = df.select(F.sha2(F.to_json(F.struct(*sorted(df.columns))), 256).alias("h"), F.struct(*order).alias("o"))
-    blocks = rows.withColumn("b", F.substring("h", 1, 3)).groupBy("b").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("h"), F.count("*").alias("n"))
-    return blocks.agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("b", "h"))), lambda x: x["h"]), ""), 256).alias("content_sha256"), F.sum("n").alias("n_rows"))
+def table_hash(df: DataFrame, order: list[str], block: int = 4096) -> DataFrame:
+    """An ordered content hash of a table: content_sha256 and n_rows.
+
+    A row is its columns by name as ``name=length:value`` (``name=~`` for null), joined by ``|``; its hash is the SHA-256 of
+    that. Rows are numbered in ``order``, which must tell all apart; hashes of ``block`` rows in a row are joined and hashed,
+    then those of ``block`` such blocks, and so on until one is left. No task holds more than a block. An empty table gives no
+    row.
+    """
+    text = lambda c: F.col(f"`{c}`").cast("string")
+    cell = lambda c: F.concat(F.lit(f"{c}="), F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("~")))
+    level = dense_ids(df, order, "_i").select("_i", F.sha2(F.concat_ws("|", *map(cell, sorted(df.columns))), 256).alias("h"))
+    rows = n = df.count()
+    while n > 1 or rows == n:
+        ordered = F.transform(F.array_sort(F.collect_list(F.struct("_i", "h"))), lambda x: x["h"])
+        level = level.groupBy(F.floor(F.col("_i") / block).alias("_b")).agg(F.sha2(F.array_join(ordered, ""), 256).alias("h")).withColumnRenamed("_b", "_i")
+        if n <= block:
+            break
+        n = -(-n // block)
+    return level.select(F.col("h").alias("content_sha256"), F.lit(rows).cast("long").alias("n_rows"))
 
 
 def missing_fractions(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -335,6 +335,9 @@ def u1_layers(t):
     return graph.layered(("core", t.part.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"))), ("text", t.supplier.select(F.col("s_suppkey").alias("k"), F.col("s_acctbal").alias("score"))))
 
 
+EXTRACTED = ("compound", "protein", "measuregroup", "mg_protein", "endpoint")
+
+
 def extracted_rows(t: Tables) -> DataFrame:
     """Rows of several kinds as an extractor would append them."""
     text = lambda c: F.col(c).cast("string")
@@ -356,7 +359,7 @@ def extracted_rows(t: Tables) -> DataFrame:
   UNION ALL SELECT 'Protein', 'Protein|protein_id=' || s_suppkey, 2 FROM supplier UNION ALL SELECT 'MeasureGrp', 'MeasureGrp|mg_id=' || o_orderkey, 0 FROM orders
   UNION ALL SELECT 'Endpoint', 'Endpoint|endpoint_id=' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey), CASE WHEN l_linenumber % 7 = 6 THEN 0 ELSE 1 END FROM lineitem)""")
 def m1_nodes_of_rows(t):
-    return mapping.nodes_of(extracted_rows(t)).select("label", "node_ref", F.size("props").alias("n_props"))
+    return mapping.nodes_of(extracted_rows(t), EXTRACTED).select("label", "node_ref", F.size("props").alias("n_props"))
 
 
 @query("""SELECT type, start_ref, end_ref FROM (
@@ -367,7 +370,7 @@ def m1_nodes_of_rows(t):
   UNION ALL SELECT 'ABOUT_SUBSTANCE', 'Endpoint|endpoint_id=' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey), 'Substance|sid=' || (l_partkey * 10 + l_linenumber) FROM lineitem
   UNION ALL SELECT 'HAS_ENDPOINT', 'MeasureGrp|mg_id=' || l_orderkey, 'Endpoint|endpoint_id=' || concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) FROM lineitem)""")
 def m9_edges_of_rows(t):
-    return mapping.edges_of(extracted_rows(t)).drop("seq")
+    return mapping.edges_of(extracted_rows(t), EXTRACTED).drop("seq")
 
 
 # Components and splits ----------------------------------------------------------------------------------------
@@ -745,9 +748,11 @@ def q24_candidate_space_of_all_compounds(t):
     return quality.candidate_space(evidence.endpoint_features(found), candidates, "protein_id")
 
 
-@query()
+@query("""WITH r AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS i, sha256('p_name=' || coalesce(length(p_name) || ':' || p_name, '~') || '|p_partkey=' || length(CAST(p_partkey AS VARCHAR)) || ':' || p_partkey || '|p_size=' || length(CAST(p_size AS VARCHAR)) || ':' || p_size) AS h FROM part),
+b AS (SELECT i // 64 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM r GROUP BY 1), c AS (SELECT i // 64 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM b GROUP BY 1)
+SELECT CASE WHEN (SELECT count(*) FROM b) = 1 THEN (SELECT min(h) FROM b) WHEN (SELECT count(*) FROM c) = 1 THEN (SELECT min(h) FROM c) ELSE (SELECT sha256(string_agg(h, '' ORDER BY i)) FROM c) END AS content_sha256, count(*) AS n_rows FROM r""")
 def x13_table_hash(t):
-    return quality.table_hash(t.part, ["p_partkey"])
+    return quality.table_hash(t.part.select("p_partkey", "p_name", "p_size"), ["p_partkey"], 64)
 
 
 # Markup, logs and streams -------------------------------------------------------------------------------------
@@ -788,7 +793,11 @@ def k4_flattened(t):
 
 
 def _scratch(t: Tables) -> str:
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="evigraph-", dir="/tmp")
+    base = t.spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not t.spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="evigraph-", dir="/tmp")
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from evigraph.queries import ORACLES, QUERIES
+from evigraph.registry import ORACLES, QUERIES
 
 from .conftest import SF, same_as_sql
 
