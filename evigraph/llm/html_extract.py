@@ -1,34 +1,43 @@
 """Main text of web pages by inferred wrappers (operator 7).
 
-The wrapper of a host is a union-free regular expression over its token streams: tags, text slots, optional
-groups and repeated groups. It is inferred from SAMPLE_PAGES pages of the host (by a hash of the URL and page
-id): repeats within a page become repeated groups, then the pages are aligned one after another; texts that
-differ become slots, stretches of tags without a counterpart become optional groups. What stays equal text on
-all pages is the host's own.
-
-From the wrapper comes the host's content element: ``article`` or ``main`` where pages have one, else the element
-with most text in slots. A page's text is that of its content element, without the elements that hold no
-article text (see DROPPED) and, where the content element is not marked up as an article, without the host's own
-texts. Whole pages are read; a page whose host has no wrapper, or that lacks the content element, is taken as its
-body. A null or empty page gives an empty text. Repeated rows are read one by one.
+The wrapper of a host is a union-free regular expression over the block structure of its pages: elements, text slots,
+optional and repeated groups. Within a page, adjacent siblings of one label and squares of siblings become repeated
+groups. Pages of a host, all of them, are then aligned one after another: texts that differ become slots, items
+without a counterpart become optional. A list of siblings with more than WIDE items becomes one repeated group of its
+distinct items, each optional, so a wrapper grows with the labels of a host and not with its pages. Each task aligns
+the pages of a batch; the wrappers that come of it are aligned in groups of about FAN, until a host has one.
+
+The wrapper tells a host's content from its own texts. The content element is the deepest one that still holds nine
+tenths of the text in slots; alternatives that exclude each other on pages (templates) each give one; an ``article`` or
+``main`` around it, or a parent with the heading, is taken in its place. Texts that stay equal on more than half of a
+host's pages, three at least, are the host's own: they go from the content if they are at most a fifth of it.
+
+A page's text is that of its host's content element, the heaviest that it has, without elements that by name hold no
+article text (see DROPPED and PARTS). A page without a host is its own host. If a page has no content element, its
+article, main or body is taken. A null or empty page gives an empty text. Quotes that never close do not hide the end
+of a tag. Elements over DEPTH deep count as part of the one they are in. Repeated rows are read one by one.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import json
 import re
-from collections import Counter
 from difflib import SequenceMatcher
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from .arrow import column, with_computed
+from .arrow import bounded_batches, column, released, with_computed
 from .storage import written
 
-SAMPLE_PAGES = 8
+#: Wrappers that one group aligns, about.
+FAN = 64
+#: Siblings of a wrapper's element, beyond which they are one repeated group of distinct items.
+WIDE = 48
+DEPTH = 100
 #: Wrapper text that may be broadcast, in characters; more is joined by a shuffle.
 BROADCAST_CHARS = 16 << 20
 
@@ -44,10 +53,14 @@ PARTS = re.compile(
 )
 ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
+TEXTUAL = set("p li ul ol dl dt dd h1 h2 h3 h4 h5 h6 pre blockquote table thead tbody tfoot tr td th figure figcaption br".split())
+HEADINGS = ("h1", "h2")
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SIBLING_BARS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(?:/?[a-zA-Z][^>]*)\Z|[^<]+|<", re.S)
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<(?:/?[a-zA-Z][^>]*)\Z|[^<]+|<", re.S
+)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 
 
@@ -57,17 +70,17 @@ def tokens(page: str):
     while at < n:
         m = _TOKEN.match(page, at)
         at = m.end()
-        name = m[2]
+        close, name, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if name is None:
             if page[m.start()] != "<" or m.end() - m.start() == 1:
                 yield "text", "", m[0]
             continue
         name = name.lower()
-        if m[1]:
+        if close:
             yield "close", name, ""
             continue
-        yield "open", name, m[3]
-        if name in RAW and name not in ("head", "svg", "math") and not m[3].endswith("/"):
+        yield "open", name, rest
+        if name in RAW and name not in ("head", "svg", "math") and not rest.endswith("/"):
             end = re.compile(rf"</{re.escape(name)}[^>]*>", re.I).search(page, at)
             at = end.start() if end else n
 
@@ -88,29 +101,61 @@ def is_part(name: str, attributes: str) -> bool:
 
 
 def label(name: str, attributes: str) -> str:
-    """An element's name with its first class or id."""
+    """An element's name with its first class or id; numbers in it are all alike."""
     for key, value in _ATTRIBUTE.findall(attributes or ""):
-        if key.lower() in ("class", "id") and value.strip("\"'"):
-            return f"{name}.{value.strip(chr(34) + chr(39)).split()[0]}"
+        first = value.strip("\"'").split()
+        if key.lower() in ("class", "id") and first:
+            return f"{name}.{re.sub(r'[0-9]+', '#', first[0]).replace('/', '')}"
     return name
 
 
-class Stack:
-    """Open elements; missing end tags are implied as browsers do."""
+class Node:
+    """A block element: its label and, in order, its blocks of text and the elements in it that may hold content."""
+
+    __slots__ = ("label", "items")
+
+    def __init__(self, label: str):
+        self.label = label
+        self.items: list[Node | str] = []
+
+
+class Tree:
+    """Builds the blocks of a page; missing end tags are implied as browsers do."""
 
     def __init__(self):
+        self.root = Node("")
         self.names: list[str] = []
-        self.labels: list[str] = []
-        self.parts = 0
+        self.nodes = [self.root]  # with each open element, the node that its text belongs to
         self.flags: list[bool] = []
+        self.parts = 0
+        self.text: list[str] = []
+
+    def flush(self) -> None:
+        text = " ".join("".join(self.text).split())
+        self.text.clear()
+        if text:
+            self.nodes[-1].items.append(text)
 
     def _pop_to(self, size: int) -> None:
+        if any(name not in INLINE for name in self.names[size:]):
+            self.flush()
         while len(self.names) > size:
             self.names.pop()
-            self.labels.pop()
+            self.nodes.pop()
             self.parts -= self.flags.pop()
 
+    def _close_within(self, name: str, bars: set[str]) -> None:
+        for k in range(len(self.names) - 1, -1, -1):
+            if self.names[k] == name:
+                return self._pop_to(k)
+            if self.names[k] in bars:
+                return None
+        return None
+
     def open(self, name: str, attributes: str) -> None:
+        block = name not in INLINE
+        if block:
+            self.flush()
         if name in CLOSES_P:
             self._close_within("p", {"article", "main", "section", "div", "td", "th", "li", "body", "blockquote"})
         for other in SIBLINGS.get(name, ()):
@@ -118,201 +163,235 @@ class Stack:
         if name in VOID or attributes.endswith("/") and name in ("svg", "math"):
             return
         part = is_part(name, attributes)
+        node = self.nodes[-1]
+        if block and not part and not self.parts and len(self.names) < DEPTH:
+            node = Node(label(name, attributes))
+            self.nodes[-1].items.append(node)
         self.names.append(name)
-        self.labels.append(label(name, attributes))
+        self.nodes.append(node)
         self.flags.append(part)
         self.parts += part
 
-    def _close_within(self, name: str, bars: set[str]) -> None:
-        for k in range(len(self.names) - 1, -1, -1):
-            if self.names[k] == name:
-                return self._pop_to(k)
-            if self.names[k] in bars:
-                return None
-        return None
-
     def close(self, name: str) -> None:
-        for k in range(len(self.names) - 1, -1, -1):
-            if self.names[k] == name:
-                return self._pop_to(k)
-        return None
+        if name not in INLINE:
+            self.flush()
+        self._close_within(name, set())
 
 
-def _clean(text: str) -> str:
-    return " ".join(entities.unescape(text).split())
+def parsed(page: str) -> Node:
+    """The blocks of a page."""
+    tree = Tree()
+    for kind, name, rest in tokens(page):
+        if kind == "open":
+            tree.open(name, rest)
+        elif kind == "close":
+            tree.close(name)
+        elif not tree.parts:
+            tree.text.append(entities.unescape(rest))
+    tree.flush()
+    return tree.root
 
 
-# A wrapper is a list of items: ["tag", path label], ["text", constant], ["slot", path], ["opt", items], ["rep", items].
+# Items of a wrapper are lists: [TEXT, optional, repeated, pages, digest or None for a slot, characters],
+# [ELEMENT, optional, repeated, pages, label, items] and [GROUP or ANY, optional, repeated, pages, None, items].
+# An ANY is a repeated group of distinct items, each optional.
+TEXT, ELEMENT, GROUP, ANY = range(4)
+KIND, OPTIONAL, REPEATED, PAGES, NAME, INSIDE = range(6)
 
 
-def stream(page: str) -> list[list]:
-    """The token stream of a page as a wrapper without groups: tags and texts with their element paths."""
-    stack, out = Stack(), []
-    for kind, name, rest in tokens(page):
-        if kind == "text":
-            if rest.strip():
-                out.append(["text", "/".join(stack.labels), _clean(rest)])
-        elif kind == "open":
-            stack.open(name, rest)
-            out.append(["tag", label(name, rest)])
+def digest(text: str) -> str:
+    return hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).hexdigest()
+
+
+def items_of(node: Node) -> list[list]:
+    """The items of a page's element; elements without text are left out."""
+    out = []
+    for x in node.items:
+        if isinstance(x, str):
+            out.append([TEXT, 0, 0, 1, digest(x), len(x)])
+        elif inside := items_of(x):
+            out.append([ELEMENT, 0, 0, 1, x.label, inside])
+    return folded(out)
+
+
+def key(item: list):
+    """What two items must share to be aligned."""
+    if item[KIND] == GROUP:
+        return GROUP, tuple(map(key, item[INSIDE]))
+    return item[KIND], item[NAME] if item[KIND] == ELEMENT else None
+
+
+def joined(x: list, y: list, pages: bool) -> list:
+    """One item in place of two with the same key, of two sets of pages or (``pages`` false) of one page."""
+    number = x[PAGES] + y[PAGES] if pages else max(x[PAGES], y[PAGES])
+    if x[KIND] == TEXT:
+        return [TEXT, x[OPTIONAL] | y[OPTIONAL], x[REPEATED] | y[REPEATED], number, x[NAME] if x[NAME] == y[NAME] else None, x[INSIDE] + y[INSIDE]]
+    return [x[KIND], x[OPTIONAL] | y[OPTIONAL], x[REPEATED] | y[REPEATED], number, x[NAME], aligned(x[INSIDE], y[INSIDE], pages)]
+
+
+def optional(item: list) -> list:
+    return [item[KIND], 1, *item[REPEATED:]]
+
+
+_SQUARE = re.compile(r"(..+?)\1+", re.S)
+
+
+def folded(items: list[list], pages: bool = False) -> list[list]:
+    """Repeated siblings as repeated groups."""
+    out: list[list] = []
+    for x in items:
+        if out and key(out[-1]) == key(x):
+            y = joined(out[-1], x, False)
+            y[REPEATED] = 1
+            out[-1] = y
         else:
-            stack.close(name)
-            out.append(["tag", "/" + name])
+            out.append(x)
+    if len(out) > WIDE:
+        return [anything(out, pages)]
+    while len(out) > 3:
+        names: dict = {}
+        found = _SQUARE.search("".join(chr(256 + names.setdefault(key(x), len(names))) for x in out))
+        if not found:
+            break
+        size, (a, b) = len(found[1]), found.span()
+        body = out[a : a + size]
+        for k in range(a + size, b, size):
+            body = [joined(x, y, False) for x, y in zip(body, out[k : k + size])]
+        out[a:b] = [[GROUP, 0, 1, max(x[PAGES] for x in body), None, body]]
     return out
 
 
-def _shape(item: list):
-    """What two items must share to be aligned: texts and slots by their path, groups by their contents."""
-    if item[0] in ("text", "slot"):
-        return "text", item[1]
-    if item[0] == "tag":
-        return tuple(item)
-    return item[0], tuple(_shape(x) for x in item[1])
-
-
-def fold(items: list[list], longest: int = 24) -> list[list]:
-    """Turn runs of equally shaped stretches (squares) into repeated groups, innermost first."""
-    items = list(items)
-    for size in range(1, longest + 1):
-        at, out, shapes = 0, [], [_shape(x) for x in items]
-        while at < len(items):
-            unit = shapes[at : at + size]
-            times = 1
-            while len(unit) == size and shapes[at + times * size : at + (times + 1) * size] == unit:
-                times += 1
-            # A lone text or tag does not make a group: a tag must open in it and close.
-            opens = any(x[0] == "tag" and x[1][0] != "/" for x in items[at : at + size])
-            if times > 1 and (opens or items[at][0] == "rep"):
-                body = items[at : at + size]
-                for k in range(1, times):
-                    body = align(body, items[at + k * size : at + (k + 1) * size])
-                out.append(body[0] if size == 1 and body[0][0] == "rep" else ["rep", body])
-                at += times * size
-            else:
-                out.append(items[at])
-                at += 1
-        items = out
-    return items
+def anything(items: list[list], pages: bool) -> list:
+    """A repeated group of the distinct items of a list, its groups opened."""
+    found: dict = {}
+    waiting = list(reversed(items))
+    while waiting:
+        x = waiting.pop()
+        if x[KIND] in (GROUP, ANY):
+            waiting.extend(reversed(x[INSIDE]))
+        else:
+            found[key(x)] = joined(found[key(x)], x, pages) if key(x) in found else optional(x)
+    return [ANY, 0, 1, max((x[PAGES] for x in found.values()), default=1), None, list(found.values())]
 
 
-def align(left: list[list], right: list[list]) -> list[list]:
-    """The wrapper of both: differing texts become slots, unmatched stretches optional groups."""
+def aligned(left: list[list], right: list[list], pages: bool = True) -> list[list]:
+    """The items of both lists: differing texts become slots, items without a counterpart optional."""
+    if any(len(x) == 1 and x[0][KIND] == ANY for x in (left, right)):
+        return [anything([*left, *right], pages)]
+    a, b = list(map(key, left)), list(map(key, right))
+    if a == b:
+        return [joined(x, y, pages) for x, y in zip(left, right)]
     out = []
-    a, b = [_shape(x) for x in left], [_shape(x) for x in right]
     for what, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes():
         if what == "equal":
-            for x, y in zip(left[i:j], right[k:m]):
-                if x[0] == "text" and (y[0] == "slot" or x[2] != y[2]) or x[0] == "slot":
-                    out.append(["slot", x[1]])
-                elif x[0] in ("opt", "rep"):
-                    out.append([x[0], align(x[1], y[1])])
-                else:
-                    out.append(x)
-            continue
-        for stretch in (left[i:j], right[k:m]):
-            if stretch:
-                out.extend(stretch if all(x[0] == "opt" for x in stretch) else [["opt", stretch]])
-    return out
+            out.extend(joined(x, y, pages) for x, y in zip(left[i:j], right[k:m]))
+        else:
+            out.extend(map(optional, [*left[i:j], *right[k:m]]))
+    return folded(out, pages)
 
 
-def wrapper(pages: list[str]) -> list[list]:
-    """Infer a wrapper from the pages of a host."""
-    found: list[list] | None = None
-    for page in pages:
-        folded = fold(stream(page))
-        found = folded if found is None else align(found, folded)
-    return found or []
+def wrapper_of(page: str) -> list:
+    """The wrapper of one page."""
+    return [ELEMENT, 0, 0, 1, "", items_of(parsed(page))]
 
 
-def summary(items: list[list], pages: list[str]) -> dict:
-    """What extraction needs of a wrapper: the content element, whether it is marked up, the host's own texts."""
-    slots, own = Counter(), []
+def summary(wrapper: list) -> dict:
+    """What extraction needs of a wrapper: the paths of its content elements, heaviest first, and the host's own texts
+    as path and digest."""
+    total = wrapper[PAGES]
+    own: list[tuple[str, str]] = []
+    weight: dict[str, int] = {}
+    number: dict[str, int] = {}
+    inside: dict[str, list[str]] = {}
 
-    def walk(items):
+    def weigh(items: list[list], path: str) -> int:
+        found = 0
         for x in items:
-            if x[0] == "slot":
-                slots[x[1]] += 1
-            elif x[0] == "text":
-                own.append(x[2])
-            elif x[0] in ("opt", "rep"):
-                walk(x[1])
-
-    walk(items)
-    paths = Counter()
-    for page in pages:
-        stack = Stack()
-        for kind, name, rest in tokens(page):
-            if kind == "open":
-                stack.open(name, rest)
-            elif kind == "close":
-                stack.close(name)
-            elif not stack.parts and rest.strip():
-                path = "/".join(stack.labels)
-                weight = len(rest)
-                if path in slots or not slots:
-                    for k in range(1, len(stack.labels) + 1):
-                        paths["/".join(stack.labels[:k])] += weight
-    for name in CONTENT:
-        if any(p.split("/")[-1].split(".")[0] == name for p in paths):
-            return {"content": name, "marked": True, "own": []}
-    if not paths:
-        return {"content": "", "marked": False, "own": sorted(set(own))}
-    total = max(paths.values())
-    # The deepest element that still holds nine tenths of the text in slots.
-    best = max((p for p, w in paths.items() if w >= 0.9 * total), key=lambda p: (p.count("/"), p))
-    while best.split("/")[-1].split(".")[0] in INLINE | {"p", "li", "h1", "h2", "h3"} and "/" in best:
-        best = best.rsplit("/", 1)[0]
-    return {"content": best, "marked": False, "own": sorted(set(own)) if len(pages) > 1 else []}
+            if x[KIND] == TEXT:
+                if x[NAME] is not None and x[PAGES] >= 3 and 2 * x[PAGES] > total:
+                    own.append((path, x[NAME]))
+                else:
+                    found += x[INSIDE]
+            elif x[KIND] == ELEMENT:
+                below = f"{path}/{x[NAME]}"
+                if below not in inside.setdefault(path, []):
+                    inside[path].append(below)
+                number[below] = number.get(below, 0) + x[PAGES]
+                found += weigh(x[INSIDE], below)
+            else:
+                found += weigh(x[INSIDE], path)
+        weight[path] = weight.get(path, 0) + found
+        return found
+
+    weigh(wrapper[INSIDE], "")
+    number[""] = total
+    found: dict[str, int] = {}
+
+    def name(path: str) -> str:
+        return path.rsplit("/", 1)[-1].split(".")[0]
+
+    def heading(path: str) -> bool:
+        return any(name(x) in HEADINGS or heading(x) for x in inside.get(path, ()))
+
+    def settle(path: str) -> None:
+        up = path
+        while up and name(up) not in CONTENT:
+            up = up.rpartition("/")[0]
+        if up:
+            path = up
+        elif path and not heading(path) and any(name(x) in HEADINGS for x in inside[path.rpartition("/")[0]]):
+            path = path.rpartition("/")[0]
+        found[path] = max(found.get(path, 0), weight[path])
+
+    def descend(path: str) -> None:
+        below = sorted((x for x in inside.get(path, ()) if name(x) not in TEXTUAL), key=lambda x: (-weight[x], x))
+        taken, held, pages = [], 0, 0
+        for x in below:
+            if 10 * held >= 9 * weight[path]:
+                break
+            taken, held, pages = [*taken, x], held + weight[x], pages + number[x]
+        if taken and held and 10 * held >= 9 * weight[path] and (len(taken) == 1 or 10 * pages <= 11 * number[path]):
+            for x in taken:
+                descend(x)
+        else:
+            settle(path)
+
+    descend("")
+    return {"content": sorted(found, key=lambda x: (-found[x], x)), "own": sorted(set(own))}
 
 
 def main_text(page: str | None, host: dict | None) -> str:
     """The main text of a whole page."""
     if not page:
         return ""
-    for wanted in ([host] if host else []) + [{"content": c, "marked": True, "own": []} for c in CONTENT] + [{"content": "", "marked": False, "own": host["own"] if host else []}]:
-        found = _extract(page, wanted)
-        if found is not None:
-            return found
-    return ""
-
-
-def _extract(page: str, wanted: dict) -> str | None:
-    """Text of the wanted element; None if the page has no such element. Everything counts if none is wanted."""
-    stack = Stack()
-    content, marked, own = wanted["content"], wanted["marked"], set(wanted["own"])
-    blocks: list[str] = []
-    every: list[str] = []
-    current: list[str] = []
-    seen, depth = not content, None
-
-    def flush():
-        text = " ".join("".join(current).split())
-        current.clear()
-        if text:
-            every.append(text)
-            if text not in own:
-                blocks.append(text)
-
-    for kind, name, rest in tokens(page):
-        if kind == "text":
-            if (depth is not None or not content) and not stack.parts:
-                current.append(entities.unescape(rest))
-            continue
-        if name not in INLINE:
-            flush()
-        if kind == "open":
-            stack.open(name, rest)
-            if depth is None and content and stack.names and stack.names[-1] == name:
-                path = "/".join(stack.labels)
-                if (name == content if marked else path == content) and not stack.parts:
-                    seen, depth = True, len(stack.names)
-        else:
-            stack.close(name)
-        if depth is not None and len(stack.names) < depth:
-            flush()
-            depth = None
-    flush()
-    return " ".join(blocks or every) if seen else None  # pages that are all alike keep their text
+    root = parsed(page)
+    if host is None:
+        host = summary([ELEMENT, 0, 0, 1, "", items_of(root)])
+    paths: dict[str, list[tuple[str, Node]]] = {}
+    marked: dict[str, list[tuple[str, Node]]] = {}
+    waiting = [("", root)]
+    while waiting:
+        path, node = waiting.pop()
+        paths.setdefault(path, []).append((path, node))
+        marked.setdefault(path.rsplit("/", 1)[-1].split(".")[0], []).append((path, node))
+        waiting.extend((f"{path}/{x.label}", x) for x in reversed(node.items) if isinstance(x, Node))
+    chosen = next((paths[c] for c in host["content"] if c in paths), None) or next((marked[c] for c in CONTENT if c in marked), [("", root)])
+    own = {tuple(x) for x in host["own"]}
+    blocks, rest, reached = [], [], set()
+    for path, node in chosen:
+        waiting = [] if id(node) in reached else [(path, node)]
+        while waiting:
+            path, x = waiting.pop()
+            if isinstance(x, str):
+                blocks.append(x)
+                if not own or (path, digest(x)) not in own:
+                    rest.append(x)
+                continue
+            reached.add(id(x))
+            waiting.extend((path if isinstance(y, str) else f"{path}/{y.label}", y) for y in reversed(x.items))
+    if 5 * sum(map(len, rest)) >= 4 * sum(map(len, blocks)):
+        blocks = rest
+    return " ".join(blocks)
 
 
 def host_of(url: str = "url"):
@@ -321,43 +400,77 @@ def host_of(url: str = "url"):
     return F.when(found != "", found)
 
 
-def wrappers(pages: DataFrame, sample: int = SAMPLE_PAGES) -> DataFrame:
-    """A row for each host: host and wrapper (JSON of ``summary``), from ``sample`` of its pages."""
-    order = Window.partitionBy("host").orderBy(F.xxhash64("url", "page_id"), "page_id")
-    known = pages.select(host_of().alias("host"), "url", "page_id", "html").filter("host is not null and html != ''")
-    chosen = known.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= sample)
+WRAPPERS = "host string, id long, wrapper string"
+
 
-    def infer(group):
+def _grouped(wrappers) -> list | None:
+    """The wrapper of several, in order."""
+    found = None
+    for x in wrappers:
+        found = x if found is None else joined(found, x, True)
+    return found
+
+
+def wrappers(pages: DataFrame, fan: int = FAN) -> DataFrame:
+    """host and wrapper (JSON) of each host, aligned over all its pages."""
+
+    def infer(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            hosts: dict[str, list] = {}
+            for host, page in zip(column(batch, "host").to_pylist(), column(batch, "html").to_pylist()):
+                own = wrapper_of(page)
+                hosts[host] = joined(hosts[host], own, True) if host in hosts else own
+            texts = [json.dumps(x, separators=(",", ":")) for x in hosts.values()]
+            ids = [int.from_bytes(hashlib.blake2b(f"{h} {t}".encode(), digest_size=8).digest(), "little", signed=True) for h, t in zip(hosts, texts)]
+            yield pa.RecordBatch.from_arrays([pa.array(list(hosts), pa.string()), pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["host", "id", "wrapper"])
+        released(pa)
+
+    def merge(group):
         import pandas as pd
 
-        texts = group.sort_values("k")["html"].tolist()
-        return pd.DataFrame({"host": [group["host"].iloc[0]], "wrapper": [json.dumps(summary(wrapper(texts), texts))]})
+        found = _grouped(map(json.loads, group.sort_values(["id", "wrapper"])["wrapper"]))
+        return pd.DataFrame({"host": [group["host"].iloc[0]], "id": [int(group["salt"].iloc[0])], "wrapper": [json.dumps(found, separators=(",", ":"))]})
 
-    return chosen.groupBy("host").applyInPandas(infer, "host string, wrapper string")
+    known = pages.select(host_of().alias("host"), "html").filter("host is not null and html != ''")
+    parts = written(bounded_batches(known).mapInArrow(infer, WRAPPERS), "wrappers")
+    while True:
+        counts = parts.groupBy("host").agg(F.count("*").alias("n"))
+        if counts.filter("n > 1").isEmpty():
+            return parts.select("host", "wrapper")
+        salted = parts.join(counts, "host").withColumn("salt", F.pmod(F.xxhash64("id", "wrapper"), F.ceil(F.col("n") / fan)))
+        parts = written(salted.groupBy("host", "salt").applyInPandas(merge, WRAPPERS), "wrappers")
 
 
 FIELDS = [StructField("text", StringType()), StructField("n_chars", LongType())]
 
 
-def extracted(pages: DataFrame) -> DataFrame:
+def extracted(pages: DataFrame, fan: int = FAN) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page."""
-    inferred = written(wrappers(pages), "wrappers")
-    chars = inferred.agg(F.sum(F.length("wrapper") + F.length("host"))).first()[0] or 0
+
+    def sum_up():
+        import pyarrow as pa
+
+        return lambda batch: [pa.array([json.dumps(summary(json.loads(w))) for w in column(batch, "wrapper").to_pylist()], pa.string())]
+
+    inferred = written(with_computed(wrappers(pages, fan), [StructField("summary", StringType())], sum_up, keep=["host"], text="wrapper"), "summaries")
+    chars = inferred.agg(F.sum(F.length("summary") + F.length("host"))).first()[0] or 0
     placed = pages.select("page_id", "url", "html", host_of().alias("host"))
-    joined = placed.join(F.broadcast(inferred) if chars <= BROADCAST_CHARS else inferred, "host", "left")
+    joined_pages = placed.join(F.broadcast(inferred) if chars <= BROADCAST_CHARS else inferred, "host", "left")
 
     def make():
         import functools
 
         import pyarrow as pa
 
-        parsed = functools.lru_cache(4096)(json.loads)
+        loaded = functools.lru_cache(4096)(json.loads)
 
         def compute(batch):
-            rows = zip(column(batch, "html").to_pylist(), column(batch, "wrapper").to_pylist())
-            texts = [main_text(page, parsed(w) if w else None) for page, w in rows]
+            rows = zip(column(batch, "html").to_pylist(), column(batch, "summary").to_pylist())
+            texts = [main_text(page, loaded(w) if w else None) for page, w in rows]
             return [pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())]
 
         return compute
 
-    return with_computed(joined.drop("text", "n_chars"), FIELDS, make, keep=["page_id", "url", "wrapper"], text="html").drop("wrapper")
+    return with_computed(joined_pages, FIELDS, make, keep=["page_id", "url", "summary"], text="html").drop("summary")
