@@ -25,8 +25,9 @@ from .arrow import column, with_computed
 #: Lower case for A-Z, and a space for each ASCII character that is no letter or digit.
 _WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
-#: Characters of benchmark text that are searched for at once; more is searched for in several passes.
-BLOCK_CHARS = 32 << 20
+#: Words of benchmark text, each the start of a test string, that are searched for at once (some 200 MB of tables); more
+#: is searched for in several passes.
+BLOCK_WORDS = 500_000
 
 
 def words(text: str | None) -> list[bytes]:
@@ -89,16 +90,33 @@ FOUND = [StructField("hit_spans", ArrayType(LongType())), StructField("hit_items
 VERDICT = [StructField("n_words", LongType()), StructField("n_hit", LongType()), StructField("n_items", LongType()), StructField("items_sha256", StringType()), StructField("contaminated", BooleanType())]
 
 
-def with_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, keep: list[str] | None = None, block_chars: int = BLOCK_CHARS) -> DataFrame:
+def with_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, keep: list[str] | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` (or its columns ``keep``) with hit_spans (word positions from, to, from, to ...), hit_items, n_words,
     n_hit, n_items, items_sha256 and contaminated (n_hit > 0 and 20 * n_hit >= n_words).
 
-    The strings of at most about ``block_chars`` characters of items are broadcast; a larger benchmark is split
-    by item into blocks, searched for one after another, each pass adding to what the earlier ones found.
+    The strings of at most about ``block_words`` words of items are broadcast; a larger benchmark is split into blocks,
+    searched for one after another, each pass adding to what the earlier ones found. A longer item is cut into pieces
+    that overlap by a window less one word.
     """
+    piece = max(window, min(block_words, 10_000))
+
+    def pieces(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            ids, texts, sizes = [], [], []
+            for item, text in zip(column(batch, "item_id").to_pylist(), column(batch, "text").to_pylist()):
+                item_words = words(text)
+                for at in range(0, max(1, len(item_words) - window + 1), piece - window + 1):
+                    ids.append(item)
+                    texts.append(b" ".join(item_words[at : at + piece]).decode())
+                    sizes.append(min(piece, len(item_words) - at))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string()), pa.array(sizes, pa.int64())], names=["item_id", "text", "size"])
+
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text is not null")
-    chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(chars / block_chars))
+    items = items.mapInArrow(pieces, "item_id string, text string, size long")
+    total = items.agg(F.sum("size")).first()[0] or 0
+    blocks = max(1, math.ceil(total / block_words))
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     wanted = docs.columns if keep is None else keep
     found = docs
