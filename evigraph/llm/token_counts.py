@@ -12,6 +12,7 @@ piece. A null or blank text has no tokens.
 
 from __future__ import annotations
 
+import collections
 import functools
 import math
 
@@ -24,6 +25,7 @@ from .wordhash import SpanTable, text_bytes
 
 MARK = "▁"
 UNKNOWN = -30.0
+LONG = 200
 
 
 @functools.lru_cache(2)
@@ -47,8 +49,24 @@ class Trie:
         self.child: dict[tuple[int, str], int] = {}
         self.best, self.count = [0.0], [0]
 
+    def _scored(self, word: str) -> int:
+        """The token count of a pre-token that is not inserted: only the last scores that a piece reaches are held."""
+        scores, longest = self.scores, self.longest
+        held = collections.deque([(0.0, 0)], maxlen=longest)  # of the prefixes that end before a character
+        for end, char in enumerate(word, 1):
+            best, count = held[-1]
+            top = (best + UNKNOWN, -count - len(char.encode()))
+            for back, (best, count) in enumerate(reversed(held), 1):
+                score = scores.get(word[end - back : end])
+                if score is not None:
+                    top = max(top, (best + score, -count - 1))
+            held.append((top[0], -top[1]))
+        return held[-1][1]
+
     def tokens(self, word: str) -> int:
-        """Insert a pre-token; its token count."""
+        """Insert a pre-token; its token count. One of over LONG characters is not inserted, as it would fill the trie."""
+        if len(word) > LONG:
+            return self._scored(word)
         if len(self.best) > self.most:
             self.clear()
         node, path = 0, [0]
