@@ -9,14 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only a local session without it gets one of its own."""
+    """A folder of this application in ``spark.checkpoint.dir``, deleted when the driver ends; only a local session without
+    that setting gets one of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="evigraph-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/evigraph-{spark.sparkContext.applicationId}"
+    folder = f"{base.rstrip('/')}/evigraph-{spark.sparkContext.applicationId}"
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(folder)
+    # Later tables may be read for as long as the session lives.
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:
