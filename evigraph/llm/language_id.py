@@ -25,7 +25,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField
 from .arrow import column, with_computed
 from .wordhash import text_bytes
 
-TRAIN_DOCUMENTS, TRAIN_CHARS, LANGUAGES = 32, 1_500, 200
+TRAIN_DOCUMENTS, TRAIN_CHARS, LANGUAGES = 24, 1_200, 200
 PIECE = 512
 
 
