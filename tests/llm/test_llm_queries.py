@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from evigraph.llm import language_id, toxicity
 from evigraph.llm.queries import ORACLES, QUERIES
 
 from ..conftest import SF, same_as_sql
@@ -21,16 +23,15 @@ def test_language_accuracy_on_held_out_documents(spark):
     assert all(0 <= r.score <= 1 for r in found)
 
 
-def test_toxicity_on_labels(spark):
-    sf = SF.replace("sf0.001", "sf0.01")
-    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", F_toxic())
-    found = QUERIES["op6_toxicity"](spark, sf).join(labels, "doc_id").collect()
-    hits = sum(r.toxic and r.label for r in found)
+def test_toxicity_on_held_out_labels(spark):
+    """Fitted on three quarters of the labelled documents, judged on the rest."""
+    sf = SF.replace("sf0.001", "sf0.1")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").filter("toxic is not null")
+    held = language_id.held_out(F.col("doc_id"))
+    model = toxicity.fitted(labels.filter(~held).select("doc_id", F.col("toxic").alias("grade")), docs)
+    found = toxicity.with_severity(docs.join(labels.filter(held).select("doc_id", "toxic").withColumnRenamed("toxic", "label"), "doc_id"), model).collect()
+    assert len(found) > 500
+    hits = sum(r.toxic and r.label == 1 for r in found)
     assert hits >= 0.8 * sum(r.label for r in found)
-    assert sum(r.toxic and not r.label for r in found) <= 0.02 * len(found)
-
-
-def F_toxic():
-    from pyspark.sql import functions as F
-
-    return (F.col("toxic") == 1).alias("label")
+    assert sum(r.toxic and r.label == 0 for r in found) <= 0.02 * len(found)
