@@ -5,20 +5,22 @@ linked. The join goes from coarse to fine pivots:
 
 1. Pivots are single shingles. A document that holds a shingle is nearer to it (1 - 1/n) than one that doesn't (1),
    so a shingle's Voronoi region is its holders. Linked sets of n shingles at most differ so little that they share
-   one of the n - ceil(0.8 n) + 1 shingles that come first by hash: into those regions a document is replicated.
+   one of the n - ceil(0.8 n) + 1 shingles that come first in any order of all shingles: into those regions a document
+   is replicated. The order is by hash, but the shingles that most documents have come last, as their regions would be
+   large and tell little. Which ones these are is a matter of cost only; any order gives the same links.
 2. In a region every document is first compared with two pivots, the smallest and the largest; the exact links
    found make up preliminary components, and only pairs across these are still of interest.
-3. Regions with more than one component are joined recursively: two members become pivots, the others go to the
+3. Regions of over three documents with more than one component are joined recursively: two members become pivots, the others go to the
    nearer one and, within the window that the triangle inequality sets, to both. The distance there is the L1 distance
    of histograms of shingle hashes over the same bins, which is a metric that never exceeds the size of the symmetric
    difference. Counts that are clipped are clipped again when bins are summed: min(min(a, 3) + min(b, 3), 3) is
    min(a + b, 3), so sets of different sizes are compared at one level.
 4. Pairs that remain are compared exactly.
 
-A region of more than REGION documents is joined again on all shingles of its documents, the rarest first, which
-leaves out what made it large. Regions that are large once more are split by pivots as in step 3, in rounds of Spark,
-until they have at most REGION members; what pivots don't split is cut into blocks by size, and each two blocks whose
-sizes allow links are a region. So no task holds more than about REGION members of a region. Shingles are 64-bit hashes of their words. Equal sets are one node.
+Regions of more than REGION documents are split by pivots as in step 3, in rounds of Spark, until they have at most REGION
+members; what pivots don't split is cut into blocks by size, and each two blocks whose sizes allow links are a region. So
+no task holds more than about REGION members of a region. Shingles are 64-bit hashes of their words. Equal sets are one
+node.
 
 Words are lower-cased (A-Z) stretches between ASCII white space. A document with one to four words is one
 shingle; without words (or null) it has none and is linked with nothing. Rows that repeat a doc_id belong
@@ -35,15 +37,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
-from .arrow import column, with_computed
+from .arrow import SLICE, bounded_batches, column, released, with_computed
 from .components import components
-from .storage import written
+from .storage import slices, written
 from .token_counts import word_spans
 from .wordhash import MIX, mixed, text_bytes, word_hashes
 
 WORDS = 5
-#: Documents of a region that one task joins; bounds its work to a product of sorted windows.
-REGION = 30_000
+#: Documents of a region that one task joins; bounds its work to a product of sorted windows. A document of more than
+#: UNIT shingles counts as so many times more, as its histogram takes so much more memory.
+REGION = 20_000
+UNIT = 500
+#: Documents that have a common shingle, and how many such shingles are told to all tasks, those with most documents first.
+COMMON, COMMON_SHINGLES = 1_000, 200_000
 #: Histograms are folded to so many bins for the distances to pivots.
 BINS = 64
 #: Rows of ids that may be broadcast; more are joined by a shuffle.
@@ -106,8 +112,56 @@ def coarse_of(packed: np.ndarray) -> np.ndarray:
     return np.minimum(fine + packed[:, :BINS], 255).astype(np.int16)
 
 
-def sets_table(docs: DataFrame) -> DataFrame:
+def common_shingles(docs: DataFrame, least: int = COMMON, most: int = COMMON_SHINGLES) -> np.ndarray:
+    """Shingles that come first by hash in at least ``least`` documents, the ``most`` commonest, sorted.
+
+    Tasks count over all their documents and leave out what they have met once, which makes counts a little too low.
+    """
+
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        held: list[np.ndarray] = []
+        size = 0
+
+        def flush():
+            shingles, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(shingles[n > 1].view(np.int64)), pa.array(n[n > 1])], names=["shingle", "n"])
+
+        for whole in batches:
+            for batch in slices(whole, "text", SLICE):
+                sets = shingle_sets(column(batch, "text"))
+                held += [s[: window_size(len(s))] for s in sets]
+                size += sum(window_size(len(s)) for s in sets)
+                if size > 1 << 21:
+                    yield flush()
+                    held, size = [], 0
+        if held:
+            yield flush()
+        released(pa)
+
+    counts = bounded_batches(docs).select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    found = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "shingle").limit(most).select("shingle").collect()
+    return np.sort(np.array([r.shingle for r in found], np.int64).view(np.uint64))
+
+
+def first_shingles(sets: list[np.ndarray], common: np.ndarray) -> list[np.ndarray]:
+    """Of each sorted set the first ``window_size`` shingles, common ones after all others."""
+    if not len(common):
+        return [s[: window_size(len(s))] for s in sets]
+    every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    late = common[np.minimum(np.searchsorted(common, every), len(common) - 1)] == every
+    out, at = [], 0
+    for s in sets:
+        n, mark = window_size(len(s)), late[at : at + len(s)]
+        at += len(s)
+        out.append(np.concatenate([s[~mark], s[mark]])[:n] if mark[:n].any() else s[:n])
+    return out
+
+
+def sets_table(docs: DataFrame, common: np.ndarray) -> DataFrame:
     """doc_id, n_shingles, digest of the set, first shingles and histogram, for each row."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)  # at most COMMON_SHINGLES numbers
 
     def make():
         import pyarrow as pa
@@ -117,7 +171,7 @@ def sets_table(docs: DataFrame) -> DataFrame:
             return [
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                pa.array([s[: window_size(len(s))].view(np.int64) for s in sets], pa.list_(pa.int64())),
+                pa.array([s.view(np.int64) for s in first_shingles(sets, shared.value)], pa.list_(pa.int64())),
                 pa.array([histogram(s) if len(s) else b"" for s in sets], pa.binary()),
             ]
 
@@ -258,35 +312,24 @@ def region_pairs(members: DataFrame) -> DataFrame:
     return rows.mapInArrow(join, "a long, b long").distinct()
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Of ``rows(region, node)`` those of regions with two members at least, with the count and smallest node."""
-    regions = rows.groupBy("region").agg(F.count("*").alias("count"), F.min("node").alias("pivot")).filter("count > 1")
-    return rows.join(regions, "region")
+def _load(size: str = "size"):
+    """What the members of a region count for together."""
+    return F.sum(F.greatest(F.lit(1), F.ceil(F.col(size) / UNIT))).alias("count")
 
 
-def _rejoined(large: DataFrame, docs: DataFrame) -> DataFrame:
-    """Regions of the documents of ``large`` regions over all their shingles, the rarest first."""
-    nodes = written(large.select(F.col("node").alias("doc_id")).distinct(), "nodes")
-    texts = docs.select("doc_id", "text").join(_sized(nodes), "doc_id", "left_semi")
-
-    def make():
-        import pyarrow as pa
-
-        def compute(batch):
-            sets = shingle_sets(column(batch, "text"))
-            return [pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())]
+def _shared(rows: DataFrame) -> DataFrame:
+    """Of ``rows(region, node, size)`` those of regions with two members at least, with what these count for and the smallest
+    node."""
+    regions = rows.groupBy("region").agg(_load(), F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    return rows.join(regions, "region")
 
-        return compute
 
-    # A node may have several rows, and texts that differ: each of its sets is ranked by itself.
-    fields = [StructField("shingles", ArrayType(LongType())), StructField("digest", BinaryType())]
-    sets = with_computed(texts, fields, make, keep=["doc_id"]).dropDuplicates(["doc_id", "digest"])
-    every = written(sets.select(F.col("doc_id").alias("node"), "digest", F.size("shingles").alias("size"), F.explode("shingles").alias("region")), "all-shingles")
-    counts = every.groupBy("region").agg(F.count("*").alias("count"))
-    order = Window.partitionBy("node", "digest").orderBy("count", "region")
-    ranked = every.join(counts, "region").withColumn("k", F.row_number().over(order))
-    window = F.col("size") - F.ceil(4 * F.col("size") / 5) + 1
-    return _shared(ranked.filter(F.col("k") <= window).select("region", "node").distinct())
+def _with_neighbours(rows: DataFrame) -> DataFrame:
+    """``rows`` of regions without members that no other member can be linked with by size: of a linked pair all members
+    between them by size are near enough to both, so one next to each is."""
+    order = Window.partitionBy("region").orderBy("size", "node")
+    near = lambda other: F.coalesce(5 * F.least(other, "size") >= 4 * F.greatest(other, "size"), F.lit(False))
+    return rows.withColumns({"_before": F.lag("size").over(order), "_after": F.lead("size").over(order)}).filter(near(F.col("_before")) | near(F.col("_after"))).drop("_before", "_after")
 
 
 def _with_distance(rows: DataFrame, pivot: str, name: str) -> DataFrame:
@@ -310,8 +353,8 @@ def _blocks(large: DataFrame, region_rows: int) -> DataFrame:
     """Regions of two blocks each, in place of regions that pivots don't split. Blocks follow the order of sizes."""
     half = max(1, region_rows // 2)
     order = Window.partitionBy("region").orderBy("size")
-    sizes = large.groupBy("region", "size").agg(F.count("*").alias("c")).withColumn("before", F.sum("c").over(order) - F.col("c"))
-    # Members of one size are dealt by a hash over the ranks that they take together.
+    sizes = large.groupBy("region", "size").agg(_load().alias("c")).withColumn("before", F.sum("c").over(order) - F.col("c"))
+    # Members of one size are dealt by a hash over the ranks that they take together; large ones take several.
     rank = F.col("before") + F.pmod(F.xxhash64("node", "bins"), F.col("c"))
     placed = written(large.join(_sized(sizes), ["region", "size"]).withColumn("block", F.floor(rank / half)).drop("c", "before"), "blocks")
     blocks = written(placed.groupBy("region", "block").agg(F.min("size").alias("low"), F.max("size").alias("high")), "block-sizes")
@@ -323,7 +366,7 @@ def _blocks(large: DataFrame, region_rows: int) -> DataFrame:
 
 def _mixed(rows: DataFrame) -> DataFrame:
     """Regions of ``rows`` with more than one component, and their count of rows."""
-    found = rows.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("count"))
+    found = rows.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), _load())
     return found.filter("low != high").select("region", "count")
 
 
@@ -360,22 +403,21 @@ def bounded(large: DataFrame, region_rows: int) -> DataFrame:
     return out
 
 
-def linked(docs: DataFrame, region_rows: int = REGION) -> DataFrame:
+def linked(docs: DataFrame, region_rows: int = REGION, common: int = COMMON) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row of ``docs``."""
-    sets = written(sets_table(docs), "shingle-sets")
+    sets = written(sets_table(docs, common_shingles(docs, common)), "shingle-sets")
     full = sets.filter("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("node"))
     member = written(full.select("doc_id", "digest").join(classes, "digest").select("doc_id", "node"), "members")
     copies = member.filter("doc_id = node").select(F.col("doc_id").alias("node")).distinct()
 
-    first = full.select(F.explode("first").alias("region"), F.col("doc_id").alias("node"))
-    if not full.groupBy("doc_id").count().filter("count > 1").isEmpty():
-        first = first.distinct()  # a region's documents count once, also if their rows are repeated
+    first = full.select(F.explode("first").alias("region"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"))
+    repeated = not full.groupBy("doc_id").count().filter("count > 1").isEmpty()
+    if repeated:
+        # A region's documents count once, also if their rows are repeated.
+        first = first.groupBy("region", "node").agg(F.max("size").alias("size"))
     rows = _shared(first)
     rows = written(rows.join(_sized(copies), "node", "left_semi"), "regions")
-    large = rows.filter(F.col("count") > region_rows)
-    if not large.isEmpty():
-        rows = written(rows.filter(F.col("count") <= region_rows).unionByName(_rejoined(large, docs)), "regions")
     infos = full.join(_sized(copies), F.col("doc_id") == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "bins").dropDuplicates(["node", "size", "bins"])
 
     # Each region's two pivots, its smallest and largest document, with the others.
@@ -388,12 +430,17 @@ def linked(docs: DataFrame, region_rows: int = REGION) -> DataFrame:
     placed = rows.join(preliminary, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # Of regions with the same documents, which are many, one is joined.
     members_hash = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"h{k}") for k in (1, 2)]
-    mixed_regions = placed.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("count"), *members_hash).filter("low != high")
+    mixed_regions = placed.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("count").alias("count"), F.count("*").alias("members"), *members_hash)
+    # Of up to three members each pair has a pivot, so all pairs are compared.
+    mixed_regions = mixed_regions.filter("low != high and members > 3")
     mixed_regions = mixed_regions.groupBy("low", "high", "count", "h1", "h2").agg(F.min("region").alias("region"))
     mixed_regions = written(mixed_regions.select("region", "count"), "mixed-regions")
 
     def members_of(regions):
-        return placed.join(regions, "region", "left_semi").select("region", "node", "component").join(infos, "node")
+        rows = placed.select("region", "node", "component", "size").join(regions, "region", "left_semi")
+        # A repeated doc_id may have sets of several sizes.
+        rows = rows if repeated else _with_neighbours(rows)
+        return rows.drop("size").join(infos, "node")
 
     members, too_large = members_of(mixed_regions.filter(F.col("count") <= region_rows)), mixed_regions.filter(F.col("count") > region_rows)
     if not too_large.isEmpty():
