@@ -1,11 +1,11 @@
-"""Queries op1 to op10 over whole tables, and their SQL where SQL can say it."""
+"""Queries op1 to op13 over whole tables, and their SQL where SQL can say it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontaminate, html_extract, jaccard_join, language_id, quality_rules, suffix_dedup, token_counts, token_output, toxicity
+from . import bpe_codec, decontaminate, html_extract, jaccard_join, katz, language_id, quality_rules, suffix_dedup, token_counts, token_output, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,8 +171,16 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encoded_digests(documents(spark, sf_dir), vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
+def op13_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and backoff log10 probability of each whole text; held-out documents are never learnt from."""
+    docs = documents(spark, sf_dir)
+    held = katz.held_out(F.col("doc_id"))
+    found = katz.scored(docs.select("doc_id", "text", held.alias("held_out")), ~held, keep=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_jaccard_join, op3_suffix_dedup, op4_language_id, op5_token_counts, op6_toxicity, op7_html_extraction, op8_token_output, op9_decontamination, op10_bpe_codec)
+    for f in (op1_quality_rules, op2_jaccard_join, op3_suffix_dedup, op4_language_id, op5_token_counts, op6_toxicity, op7_html_extraction, op8_token_output, op9_decontamination, op10_bpe_codec, op13_katz_scores)
 }
 ORACLES = {"op1_quality_rules": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op9_decontamination": OP9_SQL}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,14 +32,30 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors."""
+def written(df: DataFrame, name: str, rows_together: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors. Of large rows,
+    ``rows_together`` are the most that a reader or writer holds."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    if rows_together:
+        writer = writer.option("parquet.block.row.count.limit", rows_together)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def transient_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile Spark drops the files of shuffles as each write or collect ends; the session's setting is put back."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def slices(batch, text: str, most: int):
     """Parts of an Arrow batch, each holding about ``most`` bytes of column ``text`` or one row."""
     import numpy as np
