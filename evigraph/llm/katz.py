@@ -125,7 +125,7 @@ def _chunk(number: int, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]])
     return [number, len(places), pack(count), pack(train.astype(np.int64)), pack(tokens), pack(low[places], high[places]), pack(learnt)]
 
 
-def chunked(docs: DataFrame, keep: list[str], text: str, train: Column) -> DataFrame:
+def chunked(docs: DataFrame, keep: list[str], text: str, train: Column, chunk_bytes: int) -> DataFrame:
     """One row a chunk: its rows' columns ``keep`` and their words."""
     rows = StructType([docs.schema[c] for c in keep])
     schema = StructType([StructField("docs", ArrayType(rows)), *StructType.fromDDL(_CHUNK)])
@@ -150,12 +150,12 @@ def chunked(docs: DataFrame, keep: list[str], text: str, train: Column) -> DataF
             return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v) for v in values], names=schema.names)
 
         for whole in batches:
-            for batch in slices(whole, f"{inner}text", CHUNK):
+            for batch in slices(whole, f"{inner}text", chunk_bytes):
                 data, offsets = text_bytes(column(batch, f"{inner}text"))
                 held.append(batch.select(range(len(keep))))
                 parts.append((data, offsets, np.asarray(column(batch, f"{inner}train").to_pylist(), bool)))
                 size += len(data)
-                if size >= CHUNK or sum(map(len, held)) >= 64 * BATCH_ROWS:
+                if size >= chunk_bytes or sum(map(len, held)) >= 64 * BATCH_ROWS:
                     yield flushed()
         if held:
             yield flushed()
@@ -218,9 +218,9 @@ def _word_bucket(low: np.ndarray, high: np.ndarray, buckets: int) -> np.ndarray:
     return (mixed(mixed(high.view(np.uint64)) ^ low.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _pair_bucket(h: np.ndarray, w: np.ndarray, seen: np.ndarray, buckets: int) -> np.ndarray:
-    """Buckets by context; a context seen over SPLIT times has as many as its count asks for, by word."""
-    parts = (seen // SPLIT + 1).astype(np.uint64)
+def _pair_bucket(h: np.ndarray, w: np.ndarray, seen: np.ndarray, buckets: int, split: int) -> np.ndarray:
+    """Buckets by context; a context seen ``split`` times or more has as many as its count asks for, by word."""
+    parts = (seen // split + 1).astype(np.uint64)
     return ((mixed(h.view(np.uint64) + np.uint64(1)) % np.uint64(1 << 40) + mixed(w.view(np.uint64) + np.uint64(3)) % parts) % np.uint64(buckets)).astype(np.int64)
 
 
@@ -326,17 +326,17 @@ class Chunk:
         self.known = self.seen_w[self.entry]
         self.words = words
 
-    def requests(self, number: int, buckets: int):
+    def requests(self, number: int, buckets: int, split: int):
         a = self.asked
         if len(a):
-            yield from _split_by(number, _pair_bucket(self.h[a], self.w[a], self.seen_h[a], buckets), self.h[a], self.w[a], self.count[a], self.seen_w[a], self.seen_h[a])
+            yield from _split_by(number, _pair_bucket(self.h[a], self.w[a], self.seen_h[a], buckets, split), self.h[a], self.w[a], self.count[a], self.seen_w[a], self.seen_h[a])
 
-    def scores(self, answers: list[dict], buckets: int, discount: Discount) -> list[np.ndarray]:
+    def scores(self, answers: list[dict], buckets: int, split: int, discount: Discount) -> list[np.ndarray]:
         """n_tokens, n_known, base_score and score of each row."""
         logs = np.log10(self.words(self.seen_w))
         a = self.asked
         if len(a):
-            order = np.argsort(_pair_bucket(self.h[a], self.w[a], self.seen_h[a], buckets), kind="stable")
+            order = np.argsort(_pair_bucket(self.h[a], self.w[a], self.seen_h[a], buckets, split), kind="stable")
             got = sorted(answers, key=lambda x: x["bucket"])
             total = np.concatenate([unpack(x["data"], 2)[0] for x in got])
             alpha = np.concatenate([unpack(x["data"], 2)[1] for x in got]).view(np.float64)
@@ -364,7 +364,7 @@ def _pair_sums(rows):
     return h[one], total, seen_w[one], seen_h[one], kind
 
 
-def _pair_counts(words: Words):
+def _pair_counts(words: Words, split: int):
     """Counts of counts of pairs; of contexts that are split also their own."""
 
     def answer(rows):
@@ -373,7 +373,7 @@ def _pair_counts(words: Words):
         r, n = np.unique(total[total > 0], return_counts=True)
         for a, b in zip(r.tolist(), n.tolist()):
             yield 1, bucket, None, None, None, a, b, None
-        some = np.flatnonzero((seen_h >= SPLIT) & (total > 0))
+        some = np.flatnonzero((seen_h >= split) & (total > 0))
         p = words(seen_w[some])
         pairs, at = np.unique(np.stack([h[some], total[some]]), axis=1, return_inverse=True)
         for a, b, m, mass in zip(*pairs.tolist(), np.bincount(at.ravel(), minlength=pairs.shape[1]).tolist(), np.bincount(at.ravel(), p, pairs.shape[1]).tolist()):
@@ -443,7 +443,7 @@ def _with_answers(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
     return chunks
 
 
-def scored(docs: DataFrame, train: Column, keep: list[str] | None = None, text: str = "text") -> DataFrame:
+def scored(docs: DataFrame, train: Column, keep: list[str] | None = None, text: str = "text", chunk_bytes: int = CHUNK, entries: int = ENTRIES, split: int = SPLIT) -> DataFrame:
     """Rows of ``docs`` (or their columns ``keep``) with n_tokens, n_known, train_tokens, base_score and score under the model of the rows
     for which ``train`` holds (null: not); columns of these names are replaced. Every row counts, repeated ones too.
 
@@ -457,26 +457,26 @@ def scored(docs: DataFrame, train: Column, keep: list[str] | None = None, text:
     spark = docs.sparkSession
     kept = [docs.schema[c] for c in keep]
     with transient_shuffles(spark):
-        chunks = written(chunked(docs, keep, text, F.coalesce(train, F.lit(False))), "katz-chunks", rows_together=4)
-        entries = chunks.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first().n
-        buckets = int(entries) // ENTRIES + 1
+        chunks = written(chunked(docs, keep, text, F.coalesce(train, F.lit(False)), chunk_bytes), "katz-chunks", rows_together=4)
+        kinds = int(chunks.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first().n)
+        buckets = kinds // entries + 1
         words_found = written(_grouped(_word_requests(chunks, buckets), buckets, _word_answers(buckets), ANSWER), "katz-words", rows_together=4)
         rows = _trained(chunks)
         r, n = _counts(words_found)
         words = Words(*_with_end(r, n, rows))
         # A chunk has fewer pairs than tokens; three times its words is about their number.
-        pair_buckets = int(entries) * 3 // ENTRIES + 1
+        pair_buckets = kinds * 3 // entries + 1
 
         def ask(batches: Iterator) -> Iterator:
             for row in _rows(batches):
                 chunk = Chunk(row, row["answers_0"].as_py() or [], buckets, words, rows)
-                asked = list(chunk.requests(row["chunk"].as_py(), pair_buckets))
+                asked = list(chunk.requests(row["chunk"].as_py(), pair_buckets, split))
                 if asked:
                     yield _batch(asked, REQUEST)
 
         inputs = _with_answers(chunks.drop("docs", "counts"), words_found)
         requests = written(inputs.mapInArrow(ask, REQUEST), "katz-requests", rows_together=4)
-        counts = written(_grouped(requests, pair_buckets, _pair_counts(words), ANSWER), "katz-counts")
+        counts = written(_grouped(requests, pair_buckets, _pair_counts(words, split), ANSWER), "katz-counts")
         discount = Discount(*_counts(counts))
         shared = _split_contexts(counts, discount, counts.filter("kind = 2").select("bucket", "h").distinct())
         every = requests.unionByName(shared)
@@ -489,7 +489,7 @@ def scored(docs: DataFrame, train: Column, keep: list[str] | None = None, text:
 
         for row in _rows(batches):
             chunk = Chunk(row, row["answers_0"].as_py() or [], buckets, words, rows)
-            tokens, known, base, total = chunk.scores(row["answers_1"].as_py() or [], pair_buckets, discount)
+            tokens, known, base, total = chunk.scores(row["answers_1"].as_py() or [], pair_buckets, split, discount)
             n = len(tokens)
             kept = row["docs"].values.flatten()
             yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x) for x in (tokens, known, np.full(n, words.total), base, total))], names=schema.names)

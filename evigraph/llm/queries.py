@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, decontaminate, html_extract, jaccard_join, katz, language_id, quality_rules, suffix_dedup, token_counts, token_output, toxicity
+from . import bpe_codec, conversations, decontaminate, html_extract, jaccard_join, katz, language_id, quality_rules, suffix_dedup, token_counts, token_output, toxicity, whitening
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,6 +171,21 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.encoded_digests(documents(spark, sf_dir), vocabulary("byte_bpe_multi_50k.tiktoken"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the first 32 components of the covariance of all of them, a row for each component."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    found = whitening.whitened(rows, components=32, keep=["vec_id"])
+    each = found.select("vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("place", "value"))
+    explained = F.get("explained", F.col("place"))
+    return each.select("vec_id", (F.col("place") + 1).alias("component"), "n", "deviation", F.col("value").alias("whitened"), explained.alias("explained"), "identity_error")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of each damaged conversation, and its cheapest repair."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return conversations.repaired(conversations.damaged(rows), rows)
+
+
 def op13_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base and backoff log10 probability of each whole text; held-out documents are never learnt from."""
     docs = documents(spark, sf_dir)
@@ -181,6 +196,6 @@ def op13_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_quality_rules, op2_jaccard_join, op3_suffix_dedup, op4_language_id, op5_token_counts, op6_toxicity, op7_html_extraction, op8_token_output, op9_decontamination, op10_bpe_codec, op13_katz_scores)
+    for f in (op1_quality_rules, op2_jaccard_join, op3_suffix_dedup, op4_language_id, op5_token_counts, op6_toxicity, op7_html_extraction, op8_token_output, op9_decontamination, op10_bpe_codec, op11_whitening, op12_conversation_repair, op13_katz_scores)
 }
 ORACLES = {"op1_quality_rules": OP1_SQL, "op2_jaccard_join": OP2_SQL, "op9_decontamination": OP9_SQL}
