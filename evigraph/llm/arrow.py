@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from .storage import slices
@@ -16,8 +17,21 @@ BATCH_ROWS = 1_000
 SLICE = 1 << 19
 
 
+def quoted(name: str) -> str:
+    """A column's name as one name, also with dots in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def plain_names(df: DataFrame, names: list[str], more: list[str] = ()) -> tuple[DataFrame, list[str]]:
+    """``df``'s columns ``names`` and ``more``, and what those of ``names`` are called in it: a name with dots, which mapInArrow doesn't
+    take, is another."""
+    called = {c: f"own_named_{k}" if set(c) & set(".`") else c for k, c in enumerate(names)}
+    chosen = dict.fromkeys([*names, *more])
+    return df.select(*(F.col(quoted(c)).alias(called.get(c, c)) for c in chosen)), [called[c] for c in names]
+
+
 def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, after its session's Arrow batches were limited to BATCH_ROWS rows."""
+    """``df``, after its session's Arrow batches were limited to BATCH_ROWS rows (the session's setting stays so)."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(name, "10000")) <= BATCH_ROWS:
         conf.set(name, str(BATCH_ROWS))
@@ -31,8 +45,8 @@ def with_computed(docs: DataFrame, fields: list[StructField], make: Callable[[],
     ``fields``. Batches hold about half a MB of ``text``, or one row.
     """
     new = {field.name for field in fields}
-    names = [name for name in (docs.columns if keep is None else keep) if name not in new]
-    source = bounded_batches(docs).select(*(f"`{name}`" for name in dict.fromkeys([*names, text, *(read or [])])))
+    kept_names = [name for name in (docs.columns if keep is None else keep) if name not in new]
+    source, names = plain_names(bounded_batches(docs), kept_names, [text, *(read or [])])
     schema = StructType([*(source.schema[name] for name in names), *fields])
 
     def run(batches: Iterator) -> Iterator:
@@ -45,7 +59,7 @@ def with_computed(docs: DataFrame, fields: list[StructField], make: Callable[[],
                 yield pa.RecordBatch.from_arrays([*kept, *compute(batch)], names=[*names, *(field.name for field in fields)])
         released(pa)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema).toDF(*kept_names, *(field.name for field in fields))
 
 
 def released(pa) -> None:

@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from .arrow import BATCH_ROWS, bounded_batches, column, released
-from .storage import slices, transient_shuffles, written
+from .arrow import BATCH_ROWS, bounded_batches, column, quoted, released
+from .storage import arrow_rows, dropped, slices, written
 from .wordhash import mixed, text_bytes
 
 CHUNK, ENTRIES, SPLIT = 8 << 20, 1 << 19, 1 << 20
@@ -129,9 +129,7 @@ def chunked(docs: DataFrame, keep: list[str], text: str, train: Column, chunk_by
     """One row a chunk: its rows' columns ``keep`` and their words."""
     rows = StructType([docs.schema[c] for c in keep])
     schema = StructType([StructField("docs", ArrayType(rows)), *StructType.fromDDL(_CHUNK)])
-    # Names that no kept column has.
-    inner = "_" * max(map(len, keep))
-    source = bounded_batches(docs).select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text}`").alias(f"{inner}text"), train.alias(f"{inner}train"))
+    source = bounded_batches(docs).select(*(F.col(quoted(c)).alias(f"own_{k}") for k, c in enumerate(keep)), F.col(quoted(text)).alias("text"), train.alias("train"))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -144,16 +142,16 @@ def chunked(docs: DataFrame, keep: list[str], text: str, train: Column, chunk_by
             nonlocal held, parts, size, made
             kept = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             n = kept.num_rows
-            found = pa.StructArray.from_arrays(kept.columns, fields=list(kept.schema))
+            found = pa.StructArray.from_arrays(kept.columns, fields=[f.with_name(c) for f, c in zip(kept.schema, keep)])
             values = [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), found), *([x] for x in _chunk(task << 32 | made, parts))]
             held, parts, size, made = [], [], 0, made + 1
             return pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v) for v in values], names=schema.names)
 
         for whole in batches:
-            for batch in slices(whole, f"{inner}text", chunk_bytes):
-                data, offsets = text_bytes(column(batch, f"{inner}text"))
+            for batch in slices(whole, "text", chunk_bytes):
+                data, offsets = text_bytes(column(batch, "text"))
                 held.append(batch.select(range(len(keep))))
-                parts.append((data, offsets, np.asarray(column(batch, f"{inner}train").to_pylist(), bool)))
+                parts.append((data, offsets, np.asarray(column(batch, "train").to_pylist(), bool)))
                 size += len(data)
                 if size >= chunk_bytes or sum(map(len, held)) >= 64 * BATCH_ROWS:
                     yield flushed()
@@ -225,9 +223,13 @@ def _pair_bucket(h: np.ndarray, w: np.ndarray, seen: np.ndarray, buckets: int, s
 
 
 def _rows(batches: Iterator) -> Iterator[dict]:
+    import pyarrow as pa
+
     for batch in batches:
         for i in range(batch.num_rows):
             yield {name: batch.column(k)[i] for k, name in enumerate(batch.schema.names)}
+        del batch
+        released(pa)
 
 
 def _batch(rows: list[tuple], schema: str):
@@ -246,7 +248,9 @@ def _grouped(requests: DataFrame, buckets: int, answer, schema: str) -> DataFram
         import pyarrow as pa
 
         rows = sorted(zip(*(table.column(c).to_pylist() for c in ("chunk", "data", "bucket"))))
-        return pa.Table.from_batches([_batch(list(answer(rows)), schema)])
+        found = pa.Table.from_batches([_batch(list(answer(rows)), schema)])
+        released(pa)
+        return found
 
     return requests.groupBy("bucket").applyInArrow(run, schema)
 
@@ -326,21 +330,28 @@ class Chunk:
         self.known = self.seen_w[self.entry]
         self.words = words
 
-    def requests(self, number: int, buckets: int, split: int):
+    def ordered(self, buckets: int, split: int) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that are asked for, by bucket, context and word, and their buckets."""
         a = self.asked
-        if len(a):
-            yield from _split_by(number, _pair_bucket(self.h[a], self.w[a], self.seen_h[a], buckets, split), self.h[a], self.w[a], self.count[a], self.seen_w[a], self.seen_h[a])
+        bucket = _pair_bucket(self.h[a], self.w[a], self.seen_h[a], buckets, split)
+        order = np.lexsort((self.w[a], self.h[a], bucket))
+        return a[order], bucket[order]
+
+    def requests(self, number: int, buckets: int, split: int) -> Iterator[tuple[int, int, bytes]]:
+        a, bucket = self.ordered(buckets, split)
+        edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
+        for i, j in zip(edges[:-1], edges[1:]):
+            x = a[i:j]
+            yield int(bucket[i]), number, _pair_request(self.h[x], self.w[x], self.count[x], self.seen_h[x], self.seen_w[x])
 
     def scores(self, answers: list[dict], buckets: int, split: int, discount: Discount) -> list[np.ndarray]:
         """n_tokens, n_known, base_score and score of each row."""
         logs = np.log10(self.words(self.seen_w))
-        a = self.asked
-        if len(a):
-            order = np.argsort(_pair_bucket(self.h[a], self.w[a], self.seen_h[a], buckets, split), kind="stable")
-            got = sorted(answers, key=lambda x: x["bucket"])
-            total = np.concatenate([unpack(x["data"], 2)[0] for x in got])
-            alpha = np.concatenate([unpack(x["data"], 2)[1] for x in got]).view(np.float64)
-            at = a[order]
+        at, _ = self.ordered(buckets, split)
+        if len(at):
+            got = [unpack(x["data"], 2) for x in sorted(answers, key=lambda x: x["bucket"])]
+            total = np.concatenate([g[0] for g in got])
+            alpha = np.concatenate([g[1] for g in got]).view(np.float64)
             some = np.maximum(total, 1).astype(np.float64)
             logs[at] = np.where(total > 0, np.log10((1 - discount.freed(some)) * some / self.seen_h[at]), np.log10(np.where(total > 0, 1.0, alpha)) + logs[at])
         tokens = self.sizes + 1
@@ -351,9 +362,26 @@ class Chunk:
         return [tokens, np.add.reduceat((self.known > 0).astype(np.int64), self.first), np.add.reduceat(base, self.first), np.add.reduceat(logs[self.entry], self.first)]
 
 
+def _pair_request(h: np.ndarray, w: np.ndarray, n: np.ndarray, seen_h: np.ndarray, seen_w: np.ndarray) -> bytes:
+    """Pairs in order of h and w; counts of contexts and words once for each of them."""
+    parts = [pack(np.diff(h, prepend=0), w, n), pack(seen_h[np.unique(h, return_index=True)[1]]), pack(seen_w[np.unique(w, return_index=True)[1]])]
+    return np.array([len(p) for p in parts], np.int64).tobytes() + b"".join(parts)
+
+
+def _pair_entries(data: bytes) -> tuple[np.ndarray, ...]:
+    """h, w, n, seen_w and seen_h of a request."""
+    a, b, _ = np.frombuffer(data[:24], np.int64)
+    h, w, n = unpack(data[24 : 24 + a], 3)
+    h = np.cumsum(h)
+    (seen_h,), (seen_w,) = unpack(data[24 + a : 24 + a + b], 1), unpack(data[24 + a + b :], 1)
+    return h, w, n, seen_w[np.unique(w, return_inverse=True)[1]], seen_h[np.unique(h, return_inverse=True)[1]]
+
+
 def _pair_sums(rows):
-    """Totals of all pairs of a bucket, and where each request's entries are."""
-    h, w, n, seen_w, seen_h = (np.concatenate(x) for x in zip(*(unpack(data, 5) for _, data, _ in rows)))
+    """Totals of all pairs of a bucket, the pair of each request's entries, and how many entries each has."""
+    each = [_pair_entries(data) for _, data, _ in rows]
+    sizes = [len(e[0]) for e in each]
+    h, w, n, seen_w, seen_h = (np.concatenate(x) for x in zip(*each))
     order = np.lexsort((w, h))
     new = np.concatenate([[True], (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0)])
     kind = np.empty(len(order), np.int64)
@@ -361,14 +389,14 @@ def _pair_sums(rows):
     one = order[new]
     total = np.zeros(len(one), np.int64)
     np.add.at(total, kind, n)
-    return h[one], total, seen_w[one], seen_h[one], kind
+    return h[one], total, seen_w[one], seen_h[one], kind, sizes
 
 
 def _pair_counts(words: Words, split: int):
     """Counts of counts of pairs; of contexts that are split also their own."""
 
     def answer(rows):
-        h, total, seen_w, seen_h, _ = _pair_sums(rows)
+        h, total, seen_w, seen_h, _, _ = _pair_sums(rows)
         bucket = rows[0][2]
         r, n = np.unique(total[total > 0], return_counts=True)
         for a, b in zip(r.tolist(), n.tolist()):
@@ -390,7 +418,7 @@ def _pair_answers(words: Words, discount: Discount):
         rows = [r for r in rows if r[0] >= 0]
         if not rows:
             return
-        h, total, seen_w, seen_h, kind = _pair_sums(rows)
+        h, total, seen_w, seen_h, kind, sizes = _pair_sums(rows)
         contexts, first, at = np.unique(h, return_index=True, return_inverse=True)
         some = np.maximum(total, 1).astype(np.float64)
         freed = np.bincount(at, np.where(total > 0, discount.freed(some) * some, 0.0), len(contexts))
@@ -401,7 +429,7 @@ def _pair_answers(words: Words, discount: Discount):
             freed[place[hit]], mass[place[hit]] = f[hit].view(np.float64), m[hit].view(np.float64)
         alpha = freed / seen_h[first] / np.maximum(1 - mass, words.unseen)
         sent = np.where(total > 0, 0.0, alpha[at])
-        edges = np.cumsum([0, *(len(unpack(data, 5)[0]) for _, data, _ in rows)])
+        edges = np.cumsum([0, *sizes])
         for (chunk, _, bucket), a, b in zip(rows, edges[:-1], edges[1:]):
             yield 0, bucket, chunk, pack(total[kind[a:b]], sent[kind[a:b]]), None, None, None, None
 
@@ -456,8 +484,9 @@ def scored(docs: DataFrame, train: Column, keep: list[str] | None = None, text:
         raise ValueError("keep at least one column")
     spark = docs.sparkSession
     kept = [docs.schema[c] for c in keep]
-    with transient_shuffles(spark):
-        chunks = written(chunked(docs, keep, text, F.coalesce(train, F.lit(False)), chunk_bytes), "katz-chunks", rows_together=4)
+    chunks = written(chunked(docs, keep, text, F.coalesce(train, F.lit(False)), chunk_bytes), "katz-chunks", rows_together=4)
+    # From here on rows are large.
+    with arrow_rows(spark, 2):
         kinds = int(chunks.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("n")).first().n)
         buckets = kinds // entries + 1
         words_found = written(_grouped(_word_requests(chunks, buckets), buckets, _word_answers(buckets), ANSWER), "katz-words", rows_together=4)
@@ -481,21 +510,20 @@ def scored(docs: DataFrame, train: Column, keep: list[str] | None = None, text:
         shared = _split_contexts(counts, discount, counts.filter("kind = 2").select("bucket", "h").distinct())
         every = requests.unionByName(shared)
         pairs_found = written(_grouped(every, pair_buckets, _pair_answers(words, discount), ANSWER), "katz-pairs", rows_together=4)
+        dropped(requests)
 
-    schema = StructType([*kept, *SCORES])
+        schema = StructType([*kept, *SCORES])
 
-    def score(batches: Iterator) -> Iterator:
-        import pyarrow as pa
+        def score(batches: Iterator) -> Iterator:
+            import pyarrow as pa
 
-        for row in _rows(batches):
-            chunk = Chunk(row, row["answers_0"].as_py() or [], buckets, words, rows)
-            tokens, known, base, total = chunk.scores(row["answers_1"].as_py() or [], pair_buckets, split, discount)
-            n = len(tokens)
-            kept = row["docs"].values.flatten()
-            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x) for x in (tokens, known, np.full(n, words.total), base, total))], names=schema.names)
-        released(pa)
+            for row in _rows(batches):
+                chunk = Chunk(row, row["answers_0"].as_py() or [], buckets, words, rows)
+                tokens, known, base, total = chunk.scores(row["answers_1"].as_py() or [], pair_buckets, split, discount)
+                n = len(tokens)
+                yield pa.RecordBatch.from_arrays([*row["docs"].values.flatten(), *(pa.array(x) for x in (tokens, known, np.full(n, words.total), base, total))], names=schema.names)
 
-    return _with_answers(chunks.drop("counts"), words_found, pairs_found).mapInArrow(score, schema)
+        return written(_with_answers(chunks.drop("counts"), words_found, pairs_found).mapInArrow(score, schema), "katz-scores")
 
 
 def _trained(chunks: DataFrame) -> int:

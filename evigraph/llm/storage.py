@@ -32,24 +32,46 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def transient_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile Spark drops the files of shuffles as each write or collect ends; the session's setting is put back."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame, name: str, rows_together: int | None = None) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors. Of large rows,
-    ``rows_together`` are the most that a reader or writer holds."""
+    """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives lost executors, and needs its shuffles no
+    longer. Of large rows, ``rows_together`` are the most that a reader or writer holds."""
     spark = df.sparkSession
     path = new_path(spark, name)
     writer = df.write.option("compression", "zstd")
     if rows_together:
         writer = writer.option("parquet.block.row.count.limit", rows_together)
-    writer.parquet(path)
+    with transient_shuffles(spark):
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Delete a table of ``written`` that nothing reads any more."""
+    spark = df.sparkSession
+    folders = {path.rsplit("/", 1)[0] for path in df.inputFiles()}
+    for folder in folders:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextlib.contextmanager
-def transient_shuffles(spark: SparkSession) -> Iterator[None]:
-    """Meanwhile Spark drops the files of shuffles as each write or collect ends; the session's setting is put back."""
-    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(name, "false")
-    spark.conf.set(name, "true")
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Meanwhile Arrow batches have at most ``most`` rows; the session's setting is put back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name, "10000")
+    spark.conf.set(name, str(most))
     try:
         yield
     finally:
