@@ -4,16 +4,18 @@ The wrapper of a host is a union-free regular expression over the block structur
 optional and repeated groups. Within a page, adjacent siblings of one label and squares of siblings become repeated
 groups. Pages of a host, all of them, are then aligned one after another: texts that differ become slots, items
 without a counterpart become optional. A list of siblings with more than WIDE items becomes one repeated group of its
-distinct items, each optional, so a wrapper grows with the labels of a host and not with its pages. Each task aligns
-the pages of a batch; the wrappers that come of it are aligned in groups of about FAN, until a host has one.
+distinct items, each optional, so a wrapper grows with the labels of a host and not with its pages. Wrappers of pages are aligned in
+groups of about FAN, chosen and ordered by a digest of the wrappers, until a host has one: what comes of a host depends on
+its pages only, not on how they are partitioned.
 
 The wrapper tells a host's content from its own texts. The content element is the deepest one that still holds nine
 tenths of the text in slots; alternatives that exclude each other on pages (templates) each give one; an ``article`` or
 ``main`` around it, or a parent with the heading, is taken in its place. Texts that stay equal on more than half of a
 host's pages, three at least, are the host's own: they go from the content if they are at most a fifth of it.
 
-A page's text is that of its host's content element, the heaviest that it has, without elements that by name hold no
-article text (see DROPPED and PARTS). A page without a host is its own host. If a page has no content element, its
+A page's text is that of its host's content element, the heaviest that it has, without elements that by tag, role, class or id hold no
+article text (see ``part``); an element named after what is in it (``has-sidebar``) that holds the page's content stays (see
+``prune``). A page without a host is its own host. If a page has no content element, its
 article, main or body is taken. A null or empty page gives an empty text. Quotes that never close do not hide the end
 of a tag. Elements over DEPTH deep count as part of the one they are in. Repeated rows are read one by one.
 """
@@ -47,10 +49,11 @@ INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins
 RAW = set("script style noscript template iframe svg math object canvas audio video head title textarea".split())
 DROPPED = RAW | set("nav header footer aside form button select option menu dialog fieldset input".split())
 CONTENT = ("article", "main")
-PARTS = re.compile(
-    r"(?:^|[\s_-])(?:nav|navbar|navigation|menu|sidebar|side-bar|aside|footer|header|masthead|banner|ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|cookie|cookies|consent|notice|notices|alert|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|pagination|pager|comment|comments|respond|disqus|widget|toolbar|copyright|skip)(?:$|[\s_-])",
-    re.I,
+_PART_WORDS = (
+    r"(?:nav|navbar|navigation|menu|sidebar|side-bar|aside|footer|header|masthead|banner|ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|cookie|cookies|consent|notice|notices|alert|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|breadcrumb|breadcrumbs|pagination|pager|comment|comments|respond|disqus|widget|toolbar|copyright|skip)"
 )
+#: A class or id that is such a word, and one that has it among others (``has-sidebar``, ``content-header``).
+PARTS, AMONG = re.compile(rf"(?:^|\s){_PART_WORDS}(?:$|\s)", re.I), re.compile(rf"(?:^|[\s_-]){_PART_WORDS}(?:$|[\s_-])", re.I)
 ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 CLOSES_P = set("address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
 TEXTUAL = set("p li ul ol dl dt dd h1 h2 h3 h4 h5 h6 pre blockquote table thead tbody tfoot tr td th figure figcaption br".split())
@@ -85,19 +88,26 @@ def tokens(page: str):
             at = end.start() if end else n
 
 
-def is_part(name: str, attributes: str) -> bool:
-    """Whether an element is a menu, header, footer, sidebar, notice, advert, form, script or comment list."""
-    if name in DROPPED:
-        return True
+#: What an element may be: content, a part by its name, or by a class among other words; or a part whatever is in it.
+PLAIN, AMONGST, NAMED, HARD = range(4)
+
+
+def part(name: str, attributes: str, within: bool) -> int:
+    """Whether an element is a menu, header, footer, sidebar, notice, advert, form, script or comment list: by its tag or role (HARD),
+    or by its class or id, which also containers have that are named after what is in them. The header of an article (``within``) is
+    no part."""
+    if name in DROPPED and not (name == "header" and within):
+        return HARD
     if not attributes or name in ("html", "body", *CONTENT):
-        return False
+        return PLAIN
+    found = PLAIN
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
-        if key == "role" and value.lower() in ROLES or key in ("class", "id") and PARTS.search(value):
-            return True
-    return False
+        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value.lower() in ROLES:
+            return HARD
+        if key in ("class", "id"):
+            found = max(found, NAMED if PARTS.search(value) else AMONGST if AMONG.search(value) else PLAIN)
+    return found
 
 
 def label(name: str, attributes: str) -> str:
@@ -110,12 +120,12 @@ def label(name: str, attributes: str) -> str:
 
 
 class Node:
-    """A block element: its label and, in order, its blocks of text and the elements in it that may hold content."""
+    """A block element: its label, what it may be (see ``part``) and, in order, its blocks of text and the elements in it."""
 
-    __slots__ = ("label", "items")
+    __slots__ = ("label", "items", "part")
 
-    def __init__(self, label: str):
-        self.label = label
+    def __init__(self, label: str, part: int = PLAIN):
+        self.label, self.part = label, part
         self.items: list[Node | str] = []
 
 
@@ -162,15 +172,17 @@ class Tree:
             self._close_within(other, SIBLING_BARS[name])
         if name in VOID or attributes.endswith("/") and name in ("svg", "math"):
             return
-        part = is_part(name, attributes)
+        kind = part(name, attributes, any(x in CONTENT for x in self.names))
+        # An inline element has no blocks of its own to weigh.
+        hard = kind == HARD or kind != PLAIN and not block
         node = self.nodes[-1]
-        if block and not part and not self.parts and len(self.names) < DEPTH:
-            node = Node(label(name, attributes))
+        if block and not hard and not self.parts and len(self.names) < DEPTH:
+            node = Node(label(name, attributes), kind)
             self.nodes[-1].items.append(node)
         self.names.append(name)
         self.nodes.append(node)
-        self.flags.append(part)
-        self.parts += part
+        self.flags.append(hard)
+        self.parts += hard
 
     def close(self, name: str) -> None:
         if name not in INLINE:
@@ -189,9 +201,51 @@ def parsed(page: str) -> Node:
         elif not tree.parts:
             tree.text.append(entities.unescape(rest))
     tree.flush()
+    prune(tree.root)
     return tree.root
 
 
+def prune(root: Node) -> None:
+    """Take out the elements that are parts by class or id, but for containers of the page's content.
+
+    If the page has text in an article or main, a container is what holds at least half of it (what is in a part within the article doesn't
+    count). Else it is an element whose class has the word among others, with at least half of the page's text outside deeper parts.
+    """
+    inside: dict[int, tuple[int, int]] = {}  # characters of each part outside deeper parts, and those in articles in it
+
+    def weigh(node: Node, article: bool) -> tuple[int, int, int]:
+        """Characters outside parts, in articles outside parts within them, and of all."""
+        article = article or node.label.split(".")[0] in CONTENT
+        own = held = every = 0
+        for x in node.items:
+            if isinstance(x, str):
+                own, every, held = own + len(x), every + len(x), held + len(x) * article
+            else:
+                a, b, c = weigh(x, article)
+                every += c
+                if x.part == PLAIN:
+                    own, held = own + a, held + b
+                elif not article:
+                    held += b
+        if node.part != PLAIN:
+            inside[id(node)] = own, 0 if article else held
+        return own, held, every
+
+    _, articles, total = weigh(root, False)
+
+    def kept(node: Node) -> bool:
+        own, held = inside[id(node)]
+        return 2 * held >= articles if articles else node.part == AMONGST and 2 * own >= total
+
+    def cut(node: Node) -> None:
+        node.items = [x for x in node.items if isinstance(x, str) or x.part == PLAIN or kept(x)]
+        for x in node.items:
+            if not isinstance(x, str):
+                cut(x)
+
+    cut(root)
+
+
 # Items of a wrapper are lists: [TEXT, optional, repeated, pages, digest or None for a slot, characters],
 # [ELEMENT, optional, repeated, pages, label, items] and [GROUP or ANY, optional, repeated, pages, None, items].
 # An ANY is a repeated group of distinct items, each optional.
@@ -418,13 +472,9 @@ def wrappers(pages: DataFrame, fan: int = FAN) -> DataFrame:
         import pyarrow as pa
 
         for batch in batches:
-            hosts: dict[str, list] = {}
-            for host, page in zip(column(batch, "host").to_pylist(), column(batch, "html").to_pylist()):
-                own = wrapper_of(page)
-                hosts[host] = joined(hosts[host], own, True) if host in hosts else own
-            texts = [json.dumps(x, separators=(",", ":")) for x in hosts.values()]
-            ids = [int.from_bytes(hashlib.blake2b(f"{h} {t}".encode(), digest_size=8).digest(), "little", signed=True) for h, t in zip(hosts, texts)]
-            yield pa.RecordBatch.from_arrays([pa.array(list(hosts), pa.string()), pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["host", "id", "wrapper"])
+            texts = [json.dumps(wrapper_of(page), separators=(",", ":")) for page in column(batch, "html").to_pylist()]
+            ids = [int.from_bytes(hashlib.blake2b(t.encode(), digest_size=8).digest(), "little", signed=True) for t in texts]
+            yield pa.RecordBatch.from_arrays([column(batch, "host"), pa.array(ids, pa.int64()), pa.array(texts, pa.string())], names=["host", "id", "wrapper"])
         released(pa)
 
     def merge(group):
