@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from .arrow import SLICE, bounded_batches
+from .arrow import SLICE, bounded_batches, plain_names
 from .pretokens import CachedEncoder
 from .storage import slices
 
@@ -146,8 +146,9 @@ def round_tripped(docs: DataFrame, ranks: str) -> DataFrame:
 
     Nulls stay null and have no ids. Bytes that are no UTF-8 cannot arise, as ids are those of a string.
     """
-    schema = docs.select(*(c for c in docs.columns if c not in ("token_ids", "n_tokens"))).schema
-    kept = docs.select(*schema.names)
+    columns = [c for c in docs.columns if c not in ("token_ids", "n_tokens")]
+    kept, _ = plain_names(docs, columns)
+    schema = kept.schema
     names = [*schema.names, "token_ids", "n_tokens"]
 
     def row(pa, batch, ids, ends, decoded):
@@ -159,4 +160,4 @@ def round_tripped(docs: DataFrame, ranks: str) -> DataFrame:
         return pa.RecordBatch.from_arrays([*columns, lists, pa.array(np.diff(ends))], names=names)
 
     full = StructType([*schema.fields, StructField("token_ids", ArrayType(IntegerType())), StructField("n_tokens", LongType())])
-    return _coded(kept, ranks, full, row)
+    return _coded(kept, ranks, full, row).toDF(*columns, "token_ids", "n_tokens")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
-from .arrow import SLICE, bounded_batches, column, released, with_computed
+from .arrow import SLICE, bounded_batches, column, quoted, released, with_computed
 from .components import components
 from .storage import slices, written
 from .token_counts import word_spans
@@ -47,6 +47,8 @@ WORDS = 5
 #: Documents of a region that one task joins; bounds its work to a product of sorted windows. A document of more than
 #: UNIT shingles counts as so many times more, as its histogram takes so much more memory.
 REGION = 20_000
+#: Candidate pairs of a region that are given at a time.
+PAIRS = 1 << 19
 UNIT = 500
 #: Documents that have a common shingle, and how many such shingles are told to all tasks, those with most documents first.
 COMMON, COMMON_SHINGLES = 1_000, 200_000
@@ -239,14 +241,24 @@ class Region:
             rows = counts_of(rows)
             self.whole[n] = rows.astype(np.int16)
             self.half[n] = _folded(rows, rows.shape[1] // 2)
-        self.found: set[tuple[int, int]] = set()
 
     def join(self) -> set[tuple[int, int]]:
         """Pairs across components that the histograms don't rule out."""
-        self._join(np.argsort(self.size, kind="stable"))
-        return self.found
+        return {tuple(pair) for rows in self.pairs() for pair in rows.tolist()}
+
+    def pairs(self) -> Iterator[np.ndarray]:
+        """The same as arrays of at most about PAIRS rows; a pair may come twice."""
+        held, size = [], 0
+        for rows in self._join(np.argsort(self.size, kind="stable")):
+            held.append(rows)
+            size += len(rows)
+            if size >= PAIRS:
+                yield np.concatenate(held)
+                held, size = [], 0
+        if held:
+            yield np.concatenate(held)
 
-    def _join(self, who: np.ndarray) -> None:
+    def _join(self, who: np.ndarray) -> Iterator[np.ndarray]:
         if len(who) > 256:
             reach = 2 * int(self.size[who].max()) // 9  # no linked pair differs by more
             far = _distance(self.folded[who], self.folded[who[0]])
@@ -254,12 +266,12 @@ class Region:
             gap = _distance(self.folded[who], self.folded[other]) - far
             near, beyond = who[gap >= -2 * reach], who[gap <= 2 * reach]
             if max(len(near), len(beyond)) < 0.9 * len(who):
-                self._join(near)
-                self._join(beyond)
+                yield from self._join(near)
+                yield from self._join(beyond)
                 return
-        self._compare(who)
+        yield from self._compare(who)
 
-    def _compare(self, who: np.ndarray) -> None:
+    def _compare(self, who: np.ndarray) -> Iterator[np.ndarray]:
         """Members in order of size: each with those up to a quarter larger."""
         stop = np.searchsorted(self.size[who], self.size[who] * 5 // 4, side="right")
         for i in range(len(who) - 1):
@@ -272,8 +284,9 @@ class Region:
                 same = others[self.bins[others] == bins]
                 if len(same):
                     close = 9 * _distance(rows[bins][self.place[same]], self.whole[n][self.place[one]]) <= self.size[same] + self.size[one]
-                    a = int(self.node[one])
-                    self.found.update((min(a, b), max(a, b)) for b in self.node[same[close]].tolist())
+                    b = self.node[same[close]]
+                    a = np.full(len(b), self.node[one])
+                    yield np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1)
 
 
 def region_pairs(members: DataFrame) -> DataFrame:
@@ -289,12 +302,11 @@ def region_pairs(members: DataFrame) -> DataFrame:
             node, size, component = (table.column(c).to_numpy() for c in ("node", "size", "component"))
             bins = table.column("bins").to_pylist()
             edges = np.flatnonzero(np.diff(region, prepend=~region[:1], append=~region[-1:]))
-            found: set = set()
             for a, b in zip(edges.tolist(), edges[1:].tolist()):
                 if b - a > 1:
-                    found |= Region(node[a:b], size[a:b], component[a:b], bins[a:b]).join()
-            rows = np.array(sorted(found), np.int64).reshape(-1, 2)
-            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy())], names=["a", "b"])
+                    for rows in Region(node[a:b], size[a:b], component[a:b], bins[a:b]).pairs():
+                        rows = np.unique(rows, axis=0)
+                        yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy())], names=["a", "b"])
 
         for batch in batches:
             held.append(batch)
@@ -303,10 +315,10 @@ def region_pairs(members: DataFrame) -> DataFrame:
             cut = int(np.flatnonzero(region != last)[-1]) + 1 if region[0] != last else 0
             if cut:  # a region may go on in the next batch
                 held[-1] = batch.slice(0, cut)
-                yield pairs(pa.Table.from_batches(held))
+                yield from pairs(pa.Table.from_batches(held))
                 held = [batch.slice(cut)]
         if held:
-            yield pairs(pa.Table.from_batches(held))
+            yield from pairs(pa.Table.from_batches(held))
 
     rows = members.select("region", "node", "size", "component", "bins").repartition("region").sortWithinPartitions("region")
     return rows.mapInArrow(join, "a long, b long").distinct()
@@ -458,14 +470,15 @@ def representatives(docs: DataFrame) -> DataFrame:
     """
     found = linked(docs.select("doc_id", "text")).filter("component_id = doc_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
     found = written(found, "representatives")
+    names = list(map(quoted, docs.columns))
     rest = docs.filter("doc_id is null")
     kept = docs.join(_sized(found.select("doc_id")), "doc_id", "left_semi")
     again = found.filter("rows > 1")
     if not again.isEmpty():
-        order = Window.partitionBy("doc_id").orderBy("text", *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")))
+        order = Window.partitionBy("doc_id").orderBy("text", *(F.col(quoted(c)) for c in docs.columns if c not in ("doc_id", "text")))
         twice = kept.join(again, "doc_id", "left_semi").withColumn("own_place", F.row_number().over(order)).filter("own_place = 1")
-        kept = kept.join(again, "doc_id", "left_anti").unionByName(twice.select(*docs.columns))
-    return kept.select(*docs.columns).unionByName(rest)
+        kept = kept.join(again, "doc_id", "left_anti").unionByName(twice.select(*names))
+    return kept.select(*names).unionByName(rest)
 
 
 def _possible(pairs: DataFrame, infos: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ that needs: to depth LENGTH.
 
 Buckets with over HOT kinds of runs are not gathered in a task: digests of their strings are aggregated instead.
 Equal texts are one text whose bytes, from LENGTH on, are all repeated. A null text is empty. Rows with the same
-doc_id, or without one, are separate documents. Texts and runs are told apart by cryptographic digests.
+doc_id, or without one, are separate documents. Texts are told apart by 128-bit digests, the bytes of runs by 64-bit ones.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
-from .arrow import SLICE, bounded_batches, column, released, with_computed
+from .arrow import SLICE, bounded_batches, column, quoted, released, with_computed
 from .storage import slices, written
 from .wordhash import MIX, mixed, prefix_sums, span_hashes, text_bytes
 
@@ -303,10 +303,10 @@ def with_repeats(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT,
     if not large.isEmpty():
         found = found.unionByName(_repeated_by_identifier(around(large)))
     found = found.unionByName(members.filter("copied").select("digest", "low", "high"))
-    spans = written(found, "spans").groupBy(F.col("digest").alias("own_digest")).agg(F.collect_list(F.struct("low", "high")).alias("own"))
+    spans = written(found, "spans").groupBy(F.col("digest").alias("own_digest")).agg(F.collect_set(F.struct("low", "high")).alias("own"))
     spans = spans.select("own_digest", F.col("own.low").alias("own_low"), F.col("own.high").alias("own_high"))
     copies = written(copies, "copies")
-    read = [F.col(f"`{name}`") for name in dict.fromkeys([*names, "text"])]
+    read = [F.col(quoted(name)) for name in dict.fromkeys([*names, "text"])]
     joined = docs.select(*read, _digest().alias("own_digest")).join(spans.hint("merge"), "own_digest", "left").join(copies.hint("merge"), "own_digest", "left")
 
     def make():
@@ -369,9 +369,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         return [pa.array(rest, pa.string())]
 
     names = docs.columns
-    prefixed = docs.select(*(F.col(f"`{c}`").alias(c if c in ("doc_id", "text") else f"in_{c}") for c in names))
+    prefixed = docs.select(*(F.col(quoted(c)).alias(c if c in ("doc_id", "text") else f"in_{c}") for c in names))
     found = with_repeats(prefixed, keep=[c for c in prefixed.columns if c != "text"], fields=[StructField("kept_text", StringType())], derive=derive)
-    columns = {c: F.col(f"`in_{c}`") for c in names} | {"doc_id": F.col("doc_id"), "text": F.col("kept_text")}
+    columns = {c: F.col(quoted(f"in_{c}")) for c in names} | {"doc_id": F.col("doc_id"), "text": F.col("kept_text")}
     if "n_chars" in columns:
         columns["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
     return found.select(*(columns[c].alias(c) for c in names))

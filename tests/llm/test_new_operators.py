@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from evigraph.llm import conversations, katz, queries, whitening
+from evigraph.llm import conversations, jaccard_join, katz, queries, suffix_dedup, whitening
 
 from ..conftest import SF
 from .test_operators import awkward, table
@@ -292,3 +292,36 @@ def test_katz_query(spark):
         assert r.score == pytest.approx(model.score(texts[r.doc_id]), rel=1e-9)
     # The model has learnt something: texts that it has not seen are likelier than under the base.
     assert sum(r.score for r in found if r.held_out) > sum(r.base_score for r in found if r.held_out)
+
+
+# --- what earlier operators hold -------------------------------------------------------------------------------------
+
+
+def test_region_pairs_are_given_in_bounded_batches(monkeypatch):
+    """5,000 sets that the histograms can't tell apart: 12 million candidate pairs, about PAIRS of them at a time."""
+    monkeypatch.setattr(jaccard_join, "PAIRS", 50_000)
+    one = np.arange(1, 400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    n = 5_000
+    region = jaccard_join.Region(np.arange(n), np.full(n, len(one)), np.arange(n), [jaccard_join.histogram(np.sort(one))] * n)
+    total = 0
+    for rows in region.pairs():
+        assert len(rows) <= 50_000 + n
+        total += len(rows)
+    assert total == n * (n - 1) // 2
+
+
+def test_copies_that_share_a_passage(spark):
+    """10,000 copies of a text, and a passage of it in 2,000 other texts: spans of a text are gathered once, and every text keeps
+    what is its own."""
+    passage = "".join(chr(97 + k * k % 26) for k in range(300))
+    copied = "own start " + passage + " own end."
+    texts = [copied] * 10_000 + [f"{k} " + passage + f" {k}" for k in range(2_000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in suffix_dedup.removal_digests(df).collect()}
+    assert len(found) == len(texts)
+    for k, text in enumerate(texts):
+        if k < 10_000:
+            assert found[k] == (len(text), len(text), 1)
+        else:
+            # A blank on both sides of the passage is shared as well.
+            assert found[k][0] == len(text) and found[k][1] >= 300 and found[k][1] <= 300 + 2 + 2 * 4 and found[k][2] == 1

@@ -26,7 +26,7 @@ def table(spark, texts, ids=None):
     """Texts as documents with null columns and columns that clash with the operators' own."""
     ids = range(len(texts)) if ids is None else ids
     rows = [(i, t, None if k % 3 else "en", None if k % 2 else "s1", None, "own", 7) for k, (i, t) in enumerate(zip(ids, texts))]
-    return spark.createDataFrame(rows, SCHEMA).repartition(3)
+    return spark.createDataFrame(rows, SCHEMA).withColumn("a.b", F.lit(1)).repartition(3)
 
 
 def awkward():
