@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType
 
+from ..sources.shared import written
+
 
 def merged(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """One row a key: of each column the last value that is not empty, by ``seq``; lists are united in order, maps
@@ -32,9 +34,34 @@ def merged(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
     return df.groupBy(*keys).agg(*out)
 
 
+def entities(key: str, *layers: DataFrame, seq: str | None = None) -> DataFrame:
+    """One row for each ``key`` of several tables of an entity's properties (null keys go), columns of the same name as one: of each the
+    last value that is not empty, later tables after earlier ones, and within a table by ``seq`` where it has that column. The tables
+    are put under each other and shuffled once."""
+    out = None
+    for number, rows in enumerate(layers):
+        at = F.struct(F.lit(number).alias("layer"), (F.col(seq).cast("long") if seq in rows.columns else F.lit(0).cast("long")).alias("seq"))
+        rows = rows.filter(F.col(key).isNotNull()).withColumn("_at", at).drop(*([seq] if seq else []))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return merged(out, [key], "_at")
+
+
+def term_list(nodes: DataFrame, kinds: dict[str, tuple[str, str]]) -> DataFrame:
+    """Distinct terms of nodes (label, props) in order: ``kinds`` give for a label the prefix of its terms and the property that holds the
+    id, from which such a prefix is taken off first."""
+    term = None
+    for label, (prefix, name) in kinds.items():
+        plain = F.nullif(F.trim(F.regexp_replace(F.col("props")[name], f"^{prefix}", "")), F.lit(""))
+        one = F.concat(F.lit(prefix), plain)
+        term = F.when(F.col("label") == label, one) if term is None else term.when(F.col("label") == label, one)
+    return nodes.select("label", term.alias("term")).filter("term is not null").distinct().orderBy("label", "term")
+
+
 def first_by(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """The first row of each key by ``seq``."""
     rest = [c for c in df.columns if c not in (*keys, seq)]
+    if not rest:
+        return df.select(*keys).distinct()
     found = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), seq).alias("_row"))
     return found.select(*keys, *(F.col(f"_row.{c}").alias(c) for c in rest))
 
@@ -65,25 +92,34 @@ def count_report(rows: DataFrame, label: str, ref: str) -> DataFrame:
 
 
 def dense_ids(df: DataFrame, order: list[str], name: str = "node_id") -> DataFrame:
-    """Rows with ids 0 to n - 1 in the given order, which must tell all rows apart.
+    """Rows with ids 0 to n - 1 in the given order; rows that it does not tell apart are numbered in any order.
 
-    Rows are range-partitioned; a row's id is its place in its partition after the counts of those before, so only a
-    count for each partition is summed up in one task.
+    Rows are range-partitioned and sorted once, and written with their place: the number of their partition above the bits of
+    their row. Counts, starts and ids all come from what was written, so they belong together whatever Spark does with the
+    plan; one count for each partition is summed up.
     """
-    parts = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    placed = parts.withColumn("_place", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    # One row a partition.
-    return placed.join(F.broadcast(starts), "_part").withColumn(name, F.col("_start") + F.col("_place") - 1).drop("_part", "_place", "_start")
+    by = [*order, "_tie"]
+    placed = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by).drop("_tie")
+    rows = written(placed.withColumn("_at", F.monotonically_increasing_id()), "dense-ids")
+    part = F.shiftright("_at", 33)
+    counts = sorted(rows.groupBy(part.alias("part")).agg(F.count("*").alias("n"), F.max("_at").alias("last")).collect())
+    starts, total = [], 0
+    for r in counts:
+        if (r.last & (1 << 33) - 1) != r.n - 1:
+            raise RuntimeError("a partition was not written whole")
+        starts.append((r.part, total))
+        total += r.n
+    # One row a partition that was written.
+    where = F.broadcast(df.sparkSession.createDataFrame(starts, "_part long, _start long"))
+    placed = rows.withColumn("_part", part).join(where, "_part")
+    return placed.withColumn(name, F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_part", "_start", "_at")
 
 
 def local_ids(df: DataFrame, label: str, order: str, name: str = "local_id") -> DataFrame:
     """Ids 0 to n - 1 within each label, in order of a dense id: id minus the least of the label, as labels are
     contiguous in it."""
     first = df.groupBy(label).agg(F.min(order).alias("_first"))
-    return df.join(F.broadcast(first), label).withColumn(name, F.col(order) - F.col("_first")).drop("_first")
+    return df.join(first, label).withColumn(name, F.col(order) - F.col("_first")).drop("_first")
 
 
 def capped(df: DataFrame, keys: list[str], order: list, n: int) -> DataFrame:
