@@ -69,6 +69,28 @@ def observed_some(t: Tables) -> DataFrame:
 c AS (SELECT p_partkey AS cid, s_suppkey AS protein_id FROM part, supplier WHERE (p_partkey, s_suppkey) NOT IN (SELECT cid, protein_id FROM o))
 SELECT cid, protein_id, 'unobserved_within_extracted_scope' AS candidate_sampling_method FROM (SELECT *, row_number() OVER (ORDER BY sha1('13|' || cid || '|' || protein_id), cid, protein_id) AS k FROM c), n WHERE k <= greatest(1000, 10 * positives)""")
 def u4_sampled_candidates(t):
+    positives = t.orders.filter("o_orderstatus = 'P'").count()
+    return modeling.candidates(t.compound, t.protein, observed_some(t), positives, mode="hash_order")
+
+
+def drawn_sql(seed: int = 13) -> str:
+    """Steps l0, r0 to l4, r4 of the permutation that draws go through."""
+    steps = []
+    for i, key in enumerate(modeling.round_keys(seed)):
+        x = f"((r{i} + {key}) % {modeling.PRIME})"
+        mixed = f"(({x} * {x} + 48271 * {x}) % {modeling.PRIME})"
+        steps.append(f"f{i + 1} AS (SELECT k, h, m, r{i} AS l{i + 1}, xor(l{i}, xor({mixed}, {mixed} >> 15) & m) AS r{i + 1} FROM f{i})")
+    return ", ".join(steps)
+
+
+@query(f"""WITH o AS (SELECT DISTINCT l_partkey AS cid, l_suppkey AS protein_id FROM lineitem), n AS (SELECT count(*) AS positives FROM orders WHERE o_orderstatus = 'P'),
+a AS (SELECT p_partkey AS cid, row_number() OVER (ORDER BY p_partkey) - 1 AS i FROM part), b AS (SELECT s_suppkey AS protein_id, row_number() OVER (ORDER BY s_suppkey) - 1 AS i FROM supplier),
+s AS (SELECT CAST(ceil(log2((SELECT count(*) FROM part) * (SELECT count(*) FROM supplier)) / 2) AS BIGINT) AS h),
+f0 AS (SELECT k, h, (CAST(1 AS BIGINT) << h) - 1 AS m, k >> h AS l0, k & ((CAST(1 AS BIGINT) << h) - 1) AS r0 FROM (SELECT h, unnest(range(CAST(1 AS BIGINT) << CAST(2 * h AS BIGINT))) AS k FROM s)),
+{drawn_sql()}, d AS (SELECT k, (l4 << h) | r4 AS pair FROM f4),
+c AS (SELECT a.cid, b.protein_id, row_number() OVER (ORDER BY k) AS place FROM d JOIN a ON a.i = pair // (SELECT count(*) FROM supplier) JOIN b ON b.i = pair % (SELECT count(*) FROM supplier) WHERE (a.cid, b.protein_id) NOT IN (SELECT cid, protein_id FROM o))
+SELECT cid, protein_id, 'unobserved_within_extracted_scope' AS candidate_sampling_method FROM c, n WHERE place <= greatest(1000, 10 * positives)""")
+def u4_drawn_candidates(t):
     positives = t.orders.filter("o_orderstatus = 'P'").count()
     return modeling.candidates(t.compound, t.protein, observed_some(t), positives)
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
 from .evidence import PAIR, candidate_pairs, sampled
 from .features import model_matrix
 from .graph import dense_ids, reversed_edges
@@ -46,13 +47,72 @@ def candidate_limit(total: int, positives: int, mode: str = "sampled", most: int
     return max(0, min(total, most if most is not None else max(1000, 10 * positives)))
 
 
+#: Keys of the rounds of ``drawn_index``, before the seed; a prime that fits products into a long.
+ROUND_KEYS, PRIME = (1_093_511, 7_368_787, 15_485_863, 32_452_843), (1 << 31) - 1
+
+
+def round_keys(seed: int) -> list[int]:
+    return [(k + 1_000_003 * seed * (i + 1)) % PRIME for i, k in enumerate(ROUND_KEYS)]
+
+
+def drawn_index(draw: Column, half: int, seed: int) -> Column:
+    """A permutation of 0 to 4**half - 1 chosen by the seed: four Feistel rounds over two halves of ``half`` bits (31 at most)."""
+    low = (1 << half) - 1
+    left, right = F.shiftright(draw, half), draw.bitwiseAND(low)
+    for key in round_keys(seed):
+        x = (right + key) % PRIME
+        mixed = (x * x + 48271 * x) % PRIME
+        left, right = right, left.bitwiseXOR(mixed.bitwiseXOR(F.shiftright(mixed, 15)).bitwiseAND(low))
+    return F.shiftleft(left, half).bitwiseOR(right)
+
+
+def drawn_pairs(compounds: DataFrame, proteins: DataFrame, observed: DataFrame, n: int, seed: int = 13, block: int = 1 << 16) -> DataFrame:
+    """``n`` unobserved pairs (all, if there are fewer), drawn without replacement and without the product.
+
+    Compounds and proteins are numbered, so that a pair has an index; draws 0, 1, 2 ... go through a permutation of the
+    indexes that the seed chooses, and the first ``n`` whose image is an unobserved pair are taken. About as many draws are
+    made as are needed (twice as many again if too few were taken); the last one comes from counts of ``block`` draws each.
+    """
+    a = dense_ids(compounds.filter("cid is not null").select("cid").distinct(), ["cid"], "_a")
+    b = dense_ids(proteins.filter("protein_id is not null").select("protein_id").distinct(), ["protein_id"], "_b")
+    n_a, n_b = a.count(), b.count()
+    index = (F.col("_a") * n_b + F.col("_b")).alias("_pair")
+    taken = written(observed.select(*PAIR).distinct().join(a, "cid").join(b, "protein_id").select(index), "observed-indexes")
+    free = n_a * n_b - taken.count()
+    n = max(0, min(n, free))
+    half = max(1, -(-(n_a * n_b - 1).bit_length() // 2)) if n_a * n_b else 1
+    if half > 31:
+        raise ValueError("more than 2**62 pairs")
+    domain = 1 << 2 * half
+    draws = min(domain, 1000 + n * domain // max(free, 1) * 11 // 10)
+    while True:
+        made = a.sparkSession.range(draws).select(F.col("id").alias("_draw"), drawn_index(F.col("id"), half, seed).alias("_pair")).filter(F.col("_pair") < n_a * n_b)
+        # Few rows: what was drawn.
+        found = written(made.join(taken, "_pair", "left_anti").withColumn("_block", F.floor(F.col("_draw") / block)), "drawn")
+        counts = sorted(found.groupBy("_block").agg(F.count("*").alias("n")).collect())
+        if draws == domain or sum(r.n for r in counts) >= n:
+            break
+        draws = min(domain, 2 * draws)
+    last, before = -1, 0
+    for r in counts:
+        if before + r.n > n:
+            last = r["_block"]
+            break
+        before += r.n
+    whole = found if last < 0 else found.filter(F.col("_block") < last)
+    rest = found.filter(F.col("_block") == last).orderBy("_draw").limit(n - before)  # at most a block
+    indexed = whole.unionByName(rest).select(F.floor(F.col("_pair") / F.lit(max(n_b, 1))).alias("_a"), F.pmod("_pair", F.lit(max(n_b, 1))).alias("_b"))
+    return indexed.join(a, "_a").join(b, "_b").select(*PAIR)
+
+
 def candidates(compounds: DataFrame, proteins: DataFrame, observed: DataFrame, positives: int, mode: str = "sampled", most: int | None = None, seed: int = 13) -> DataFrame:
-    """Unobserved pairs by ``candidate_limit``, the first in the order of a seeded hash, with how they were chosen."""
-    every = candidate_pairs(compounds, proteins, observed)
+    """Unobserved pairs by ``candidate_limit``, with how they were chosen: "sampled" draws them, "hash_order" takes the first in the order
+    of a seeded hash of all pairs (whose product it makes), "all" takes all."""
     if mode == "all":
-        return every.withColumn("candidate_sampling_method", F.lit("all_materialized_unobserved_within_extracted_scope"))
+        return candidate_pairs(compounds, proteins, observed).withColumn("candidate_sampling_method", F.lit("all_materialized_unobserved_within_extracted_scope"))
     limit = candidate_limit(1 << 62, positives, mode, most)
-    return sampled(every, PAIR, limit, seed).withColumn("candidate_sampling_method", F.lit("unobserved_within_extracted_scope"))
+    chosen = sampled(candidate_pairs(compounds, proteins, observed), PAIR, limit, seed) if mode == "hash_order" else drawn_pairs(compounds, proteins, observed, limit, seed)
+    return chosen.withColumn("candidate_sampling_method", F.lit("unobserved_within_extracted_scope"))
 
 
 def candidates_of_observed(every: DataFrame, observed: DataFrame) -> DataFrame:
