@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.graph import merged
+from .tables import KeyedTable
 
 
 def log_stream(spark: SparkSession, path: str, schema: str, files: int = 100) -> DataFrame:
@@ -46,18 +46,11 @@ def capped_stream(rows: DataFrame, key: str, value: str, n: int) -> DataFrame:
     return rows.groupBy(key).applyInPandasWithState(keep, f"{key} {kinds[key]}, {value} {kinds[value]}", "seen long", "append", GroupStateTimeout.NoTimeout)
 
 
-def upsert_each_batch(rows: DataFrame, keys: list[str], seq: str, table: str, checkpoint: str):
-    """Merge each batch into a keyed Parquet table, written as a new version; the last version is the table.
-
-    A batch that is replayed writes its version again, so the result is the same.
-    """
+def upsert_each_batch(rows: DataFrame, keys: list[str], seq: str, table: str, checkpoint: str, buckets: int = 64):
+    """Merge each batch into a keyed table (``tables.KeyedTable``), of which it rewrites the buckets of its keys. A batch that comes again changes
+    nothing."""
 
     def merge(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        both = batch
-        if number:
-            both = spark.read.parquet(f"{table}/version={number - 1}").unionByName(batch, allowMissingColumns=True)
-        latest = both.groupBy(*keys).agg(F.max(seq).alias("_seq"))
-        merged(both, keys, seq).join(latest, keys).withColumnRenamed("_seq", seq).write.mode("overwrite").parquet(f"{table}/version={number}")
+        KeyedTable(batch.sparkSession, table, keys, seq, buckets).upsert(batch, number)
 
     return rows.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
