@@ -18,9 +18,10 @@ from .functions import endpoint as E
 from .functions import targets as T
 from .functions import text as X
 from .operators import components, evidence, extract, features, graph, mapping, quality, similarity
+from .plans import stages
 from .plans.domain import Tables, over_views
 from .sources import readers, writers
-from .streaming import jobs
+from .streaming import jobs, tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -445,6 +446,48 @@ def e5_model_matrix(t):
     return found.select("p_partkey", F.round("x_size", 4).alias("x_size"), "missing_size", F.round("x_price", 4).alias("x_price"), "missing_price")
 
 
+@query("""WITH v AS (SELECT p_partkey, p_name, CASE WHEN p_partkey % 11 <> 0 THEN p_size END AS size, p_retailprice AS price FROM part),
+s AS (SELECT avg(size) AS ms, stddev_pop(size) AS ss, avg(price) AS mp, stddev_pop(price) AS sp FROM v WHERE p_partkey % 3 = 0)
+SELECT p_partkey, p_name, CAST(size AS VARCHAR) AS size, price, round((coalesce(size, ms) - ms) / ss, 4) AS z_size, CAST(size IS NULL AS INTEGER) AS z_size_missing, round((price - mp) / sp, 4) AS z_price, 0 AS z_price_missing FROM v, s""")
+def e4_augmented_zscores(t):
+    rows = t.part.select("p_partkey", "p_name", F.when(F.col("p_partkey") % 11 != 0, F.col("p_size")).cast("string").alias("size"), F.col("p_retailprice").alias("price"))
+    found = features.with_zscores(rows, ["p_partkey"], rows.filter("p_partkey % 3 = 0"))
+    return found.withColumns({c: F.round(c, 4) for c in ("z_size", "z_price")})
+
+
+def feature_tables(t: Tables) -> dict[str, DataFrame]:
+    compounds = t.part.select(F.col("p_partkey").alias("node_id"), "p_name", F.when(F.col("p_partkey") % 7 > 0, F.col("p_size").cast("string")).otherwise(" ").alias("size"), (F.col("p_size") % 3 == 0).alias("flag"), (F.col("p_size") % 2).alias("fp_1"), F.lit(1.5).alias("constant"))
+    endpoints = t.lineitem.select(F.col("l_orderkey").alias("node_id"), F.when(F.col("l_linenumber") % 2 == 0, F.col("l_quantity")).alias("emb_0"), F.when(F.col("l_linenumber") > 3, F.col("l_tax")).alias("tax"), F.col("l_returnflag"))
+    return {"compound": compounds, "endpoint": endpoints}
+
+
+FEATURE_TABLES_SQL = """WITH c AS (SELECT count(*) AS n, count(*) FILTER (WHERE p_partkey % 7 = 0) AS size, count(*) FILTER (WHERE p_partkey % 7 > 0 AND p_size = 0) AS size0, count(*) FILTER (WHERE p_size % 2 = 0) AS fp0, var_samp(p_size % 2) AS fp_v, var_samp(CASE WHEN p_partkey % 7 > 0 THEN p_size END) AS size_v FROM part),
+e AS (SELECT count(*) AS n, count(*) FILTER (WHERE l_linenumber % 2 = 1) AS emb, count(*) FILTER (WHERE l_linenumber <= 3) AS tax, count(*) FILTER (WHERE l_linenumber > 3 AND l_tax = 0) AS tax0, count(*) FILTER (WHERE l_linenumber % 2 = 0 AND l_quantity = 0) AS emb0 FROM lineitem)
+"""
+
+
+@query(FEATURE_TABLES_SQL + """SELECT 'compound' AS "table", n AS "rows", 6 AS columns, 3 AS numeric_columns, 1 AS vector_like_columns, size AS missing_cells, round(100 * size / (6 * n), 3) AS missing_cell_percent FROM c
+UNION ALL SELECT 'endpoint', n, 4, 2, 1, emb + tax, round(100 * (emb + tax) / (4 * n), 3) FROM e""")
+def q11_feature_tables(t):
+    return features.table_summary(feature_tables(t))
+
+
+@query(FEATURE_TABLES_SQL + """SELECT "table", feature, percent AS missing_percent FROM (SELECT 'compound' AS "table", 'size' AS feature, round(100 * size / n, 3) AS percent FROM c UNION ALL SELECT 'compound', 'constant', 0 FROM c UNION ALL SELECT 'endpoint', 'tax', round(100 * tax / n, 3) FROM e UNION ALL SELECT 'endpoint', 'emb_0', round(100 * emb / n, 3) FROM e)""")
+def q11_most_missing(t):
+    return features.top_missing(feature_tables(t), 2)
+
+
+@query(FEATURE_TABLES_SQL + """SELECT 'compound' AS "table", n AS "rows", 6 AS columns, 3 AS numeric_columns, 1 AS zero_variance_numeric_columns, size AS nan_count, round(100 * (size + size0 + fp0) / (3 * n), 3) AS zero_numeric_cell_percent FROM c
+UNION ALL SELECT 'endpoint', n, 4, 2, 0, emb + tax, round(100 * (emb + tax + tax0 + emb0) / (2 * n), 3) FROM e""")
+def q18_matrix_quality(t):
+    return features.matrix_summary(feature_tables(t))
+
+
+@query(FEATURE_TABLES_SQL + """SELECT 'fp_1' AS feature, fp_v AS variance FROM c UNION ALL SELECT 'size', size_v FROM c UNION ALL SELECT 'constant', 0""")
+def q18_top_variance(t):
+    return features.top_variance(feature_tables(t)["compound"], ["size", "fp_1", "constant"], 3)
+
+
 @query("SELECT * FROM (SELECT 'p_size' AS feature, count(p_size) AS n, CAST(min(p_size) AS DOUBLE) AS min, CAST(median(p_size) AS DOUBLE) AS median, round(avg(p_size), 6) AS mean, CAST(max(p_size) AS DOUBLE) AS max FROM part UNION ALL SELECT 'p_retailprice', count(p_retailprice), min(p_retailprice), median(p_retailprice), round(avg(p_retailprice), 6), max(p_retailprice) FROM part)")
 def a15_numeric_summary(t):
     return features.numeric_summary(t.part, ["p_size", "p_retailprice"]).withColumn("mean", F.round("mean", 6))
@@ -549,6 +592,27 @@ def found_terms(t: Tables) -> DataFrame:
     return similarity.mentions(t.documents.select("doc_id", "text"), terms, "doc_id", 25)
 
 
+@query("""WITH terms AS (SELECT DISTINCT lower(w) AS phrase FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]+')) AS w FROM benchmark) WHERE length(w) BETWEEN 4 AND 5),
+d AS (SELECT doc_id, list_distinct(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS ws FROM documents),
+m AS (SELECT doc_id, phrase FROM (SELECT doc_id, phrase, row_number() OVER (PARTITION BY doc_id ORDER BY phrase) AS k FROM d JOIN terms ON list_contains(ws, phrase)) WHERE k <= 25),
+p AS (SELECT a.doc_id, a.phrase AS left_id, b.phrase AS right_id FROM m a JOIN m b USING (doc_id) WHERE length(a.phrase) = 4 AND length(b.phrase) = 5)
+SELECT left_id, right_id, doc_id, 'comention:' || substr(sha1(left_id || '|' || right_id || '|' || doc_id), 1, 16) AS mention_id, CAST(0.25 AS DOUBLE) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY left_id, right_id ORDER BY doc_id) AS k FROM p) WHERE k <= 10""")
+def g7_comentions(t):
+    found = found_terms(t)
+    return similarity.comentions(found.filter("length(term_id) = 4"), found.filter("length(term_id) = 5"), "doc_id", 10)
+
+
+@query("""WITH r AS (SELECT p_partkey, list_filter(list_concat([trim(p_name), trim(p_type)], list_transform(string_split('CID ' || p_partkey || ' | ' || lower(p_brand) || ' | Unknown | ' || p_type || ' |  ab | ' || p_name || ' salt', '|'), lambda x: trim(x))),
+  lambda x: length(x) BETWEEN 4 AND 80 AND NOT starts_with(lower(x), 'cid ') AND lower(x) NOT IN ('compound', 'chemical', 'unknown', 'untitled')) AS ts FROM part),
+e AS (SELECT p_partkey, unnest(ts) AS term, unnest(range(len(ts))) AS i FROM r), f AS (SELECT p_partkey, term, min(i) AS i FROM e GROUP BY 1, 2)
+SELECT p_partkey AS term_id, place, term, lower(term) AS phrase FROM (SELECT p_partkey, term, CAST(row_number() OVER (PARTITION BY p_partkey ORDER BY i) - 1 AS INTEGER) AS place FROM f) WHERE place < 12""")
+def x10_term_dictionary(t):
+    key = F.col("p_partkey").cast("string")
+    synonyms = F.concat(F.lit("CID "), key, F.lit(" | "), F.lower("p_brand"), F.lit(" | Unknown | "), F.col("p_type"), F.lit(" |  ab | "), F.col("p_name"), F.lit(" salt"))
+    return similarity.compound_dictionary(t.part.withColumn("synonyms", synonyms), "p_partkey", "p_partkey", ["p_name", "p_type"], ["synonyms"])
+
+
 # Identifiers and text -----------------------------------------------------------------------------------------
 
 
@@ -832,8 +896,44 @@ def v3_keyed_upsert_stream(t):
     rows = event_stream(t).select("user_id", "event_type", "event_id")
     started = jobs.upsert_each_batch(rows, ["user_id"], "event_id", f"{path}/table", f"{path}/state").trigger(availableNow=True).start()
     started.awaitTermination()
-    last = started.lastProgress["batchId"] if started.lastProgress else 0
-    return t.spark.read.parquet(f"{path}/table/version={last}").select("user_id", "event_type", "event_id")
+    return tables.KeyedTable(t.spark, f"{path}/table", ["user_id"], "event_id").read().select("user_id", "event_type", "event_id")
+
+
+@query("""SELECT * FROM (SELECT 'nodes' AS part, 'User' AS kind, count(DISTINCT user_id) AS n FROM events UNION ALL SELECT 'nodes', 'Event', count(*) FROM events UNION ALL SELECT 'nodes', 'EventType', count(DISTINCT event_type) FROM events
+UNION ALL SELECT 'edges', 'DID', count(*) FROM events UNION ALL SELECT 'edges', 'HAS_TYPE', count(*) FROM events UNION ALL SELECT 'edges', 'DOES', count(*) FROM (SELECT DISTINCT user_id, event_type FROM events))""")
+def v1_graph_stream(t):
+    """Nodes and edges of all events, appended batch by batch."""
+    path = _scratch(t)
+    started = tables.graph_each_batch(event_stream(t), event_nodes, event_edges, f"{path}/graph", f"{path}/state").trigger(availableNow=True).start()
+    started.awaitTermination()
+    log = tables.BatchLog(t.spark, f"{path}/graph")
+    nodes = log.read("nodes").groupBy(F.lit("nodes").alias("part"), F.col("label").alias("kind")).agg(F.count("*").alias("n"))
+    return nodes.unionByName(log.read("edges").groupBy(F.lit("edges").alias("part"), F.col("type").alias("kind")).agg(F.count("*").alias("n")))
+
+
+def event_nodes(rows: DataFrame) -> DataFrame:
+    made = F.array(*(F.struct(F.lit(label).alias("label"), X.node_ref(label, id=key).alias("node_ref")) for label, key in (("User", "user_id"), ("Event", "event_id"), ("EventType", "event_type"))))
+    return rows.select(F.explode(made).alias("_n"), F.col("event_id").alias("seq")).select("_n.label", "_n.node_ref", "seq")
+
+
+def event_edges(rows: DataFrame) -> DataFrame:
+    ends = {name: X.node_ref(label, id=key) for name, label, key in (("user", "User", "user_id"), ("event", "Event", "event_id"), ("type", "EventType", "event_type"))}
+    made = F.array(*(F.struct(F.lit(kind).alias("type"), ends[a].alias("start_ref"), ends[b].alias("end_ref")) for kind, a, b in (("DID", "user", "event"), ("HAS_TYPE", "event", "type"), ("DOES", "user", "type"))))
+    return rows.select(F.explode(made).alias("_e"), F.col("event_id").alias("seq")).select("_e.type", "_e.start_ref", "_e.end_ref", "seq")
+
+
+@query("""WITH rows AS (SELECT 1 AS s, row_number() OVER (ORDER BY p_partkey) - 1 AS i, sha256('cid=' || length(CAST(p_partkey AS VARCHAR)) || ':' || p_partkey || '|size=' || length(CAST(p_size AS VARCHAR)) || ':' || p_size) AS h FROM part
+UNION ALL SELECT 2, row_number() OVER (ORDER BY p_size) - 1, sha256('n=' || length(CAST(count(*) AS VARCHAR)) || ':' || count(*) || '|size=' || length(CAST(p_size AS VARCHAR)) || ':' || p_size) FROM part GROUP BY p_size),
+b AS (SELECT s, i // 4096 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h, count(*) AS n FROM rows GROUP BY 1, 2)
+SELECT CASE s WHEN 1 THEN 'compounds' ELSE 'sizes' END AS stage, CASE WHEN count(*) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS content_sha256, CAST(sum(n) AS BIGINT) AS n_rows, 'complete' AS status, CASE s WHEN 1 THEN 'part' ELSE 'compounds' END AS made_from FROM b GROUP BY s""")
+def q28_stage_lineage(t):
+    """Two stages, then the run again, which reads both."""
+    folder = _scratch(t)
+    for mode in (stages.REFUSE, stages.RESUME):
+        run = stages.Run(t.spark, folder, mode)
+        run.stage("compounds", lambda part: part.select(F.col("p_partkey").alias("cid"), F.col("p_size").alias("size")), ["cid"], {"part": t.part.select("p_partkey", "p_size")})
+        run.stage("sizes", lambda compounds: compounds.groupBy("size").agg(F.count("*").alias("n")), ["size"], after=["compounds"])
+    return run.lineage().select("stage", "status", "n_rows", "content_sha256", "made_from")
 
 
 # More profiles -----------------------------------------------------------------------------------------------

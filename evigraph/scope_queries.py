@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .functions import nodes as N
 from .functions import text as X
-from .operators import evidence, extract, graph, mapping, scopes
+from .operators import cooccurrence, evidence, extract, graph, mapping, scopes
 from .plans.domain import Tables, over_views
 from .queries import labelled, paths, query, triples
 
@@ -298,3 +298,61 @@ def r4_normalized_organisms(t):
 def r8_other_nodes_stay(t):
     found = N.with_normalized_props(node_rows(t)).filter("label = 'Compound'")
     return found.groupBy("label").agg(F.count("*").alias("n"), F.sum(F.size("props")).alias("n_props"))
+
+
+# Co-occurrence resources: one for each order, about the compounds and proteins of its lines (which name the resource themselves
+# in even lines), citing its customer, with a score.
+
+
+def cooccurrence_triples(t: Tables) -> DataFrame:
+    name = lambda kind, c: F.concat(F.lit(f"{kind}:"), F.col(c).cast("string"))
+    cooc, protein = name("cooccurrence", "l_orderkey"), name("protein", "l_suppkey")
+    odd, even = t.lineitem.filter("l_linenumber % 2 = 1"), t.lineitem.filter("l_linenumber % 2 = 0")
+    parts = [
+        t.lineitem.filter("l_linenumber < 3").select(cooc.alias("s"), F.lit("x:mentions").alias("p"), F.concat(F.lit("compound:CID"), F.col("l_partkey").cast("string")).alias("o")),
+        odd.select(cooc.alias("s"), F.lit("x:about").alias("p"), protein.alias("o")),
+        even.select(protein.alias("s"), F.lit("x:foundIn").alias("p"), cooc.alias("o")),
+        t.orders.filter("o_orderkey % 3 > 0").select(name("cooccurrence", "o_orderkey").alias("s"), F.lit("x:cites").alias("p"), name("reference", "o_custkey").alias("o")),
+        t.orders.select(name("cooccurrence", "o_orderkey").alias("s"), F.lit("http://x.example.org/v#score").alias("p"), (F.col("o_orderkey") % 7).cast("string").alias("o")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@query("""WITH around AS (SELECT DISTINCT 'protein:' || l_suppkey AS target, l_orderkey AS k FROM lineitem),
+c AS (SELECT DISTINCT l_orderkey AS k, 'compound:CID' || l_partkey AS compound FROM lineitem WHERE l_linenumber < 3),
+p AS (SELECT DISTINCT l_orderkey AS k, 'protein:' || l_suppkey AS protein FROM lineitem WHERE l_linenumber % 2 = 1),
+r AS (SELECT o_orderkey AS k, 'reference:' || o_custkey AS reference FROM orders WHERE o_orderkey % 3 > 0),
+x AS (SELECT DISTINCT target, 'cooc:' || k AS cooc_id, compound, coalesce(protein, target) AS protein, reference, CAST(k % 7 AS DOUBLE) AS score FROM around LEFT JOIN c USING (k) LEFT JOIN p USING (k) LEFT JOIN r USING (k)),
+y AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY cooc_id, compound NULLS FIRST, protein, reference NULLS FIRST) AS n FROM x),
+z AS (SELECT *, row_number() OVER (PARTITION BY target, compound, protein ORDER BY reference IS NULL, cooc_id, compound NULLS FIRST, protein, reference NULLS FIRST) AS m FROM y WHERE n <= 250),
+w AS (SELECT *, row_number() OVER (PARTITION BY cooc_id, compound, protein, reference ORDER BY target) AS first FROM z WHERE reference IS NULL OR m <= 2)
+SELECT target, cooc_id, compound, protein, reference, score, CASE WHEN compound IS NULL THEN 'entity cooccurrence' ELSE 'compound-target cooccurrence' END AS association_type FROM w WHERE first = 1""")
+def g10_cooccurrences(t):
+    targets = t.protein.select(term("protein", "protein_id").alias("target"))
+    found = cooccurrence.cooccurrences(cooccurrence_triples(t), targets, per_pair=2)
+    return found.select("target", "cooc_id", "compound", "protein", "reference", "score", "association_type")
+
+
+@query("""SELECT p_partkey AS cid, CASE WHEN p_partkey % 5 = 0 THEN 'salt of ' || p_name ELSE p_name END AS name, CASE WHEN p_partkey % 3 > 0 THEN p_type END AS smiles, CASE WHEN p_partkey % 4 > 0 THEN p_retailprice END AS weight,
+  CASE WHEN p_partkey % 2 = 0 THEN p_brand ELSE 'C' || p_size END AS formula FROM part""")
+def s25_reloaded_compounds(t):
+    """Compounds, structures, properties and synonyms of the graph as one row each."""
+    cid, n = F.col("p_partkey").alias("cid"), F.col("p_partkey")
+    compounds = t.part.select(cid, F.col("p_name").alias("name"), F.concat(F.lit("C"), F.col("p_size").cast("string")).alias("formula"), F.lit(1).alias("seq"))
+    older = t.part.select(cid, F.lit("old").alias("name"), F.lit("old").alias("formula"), F.lit(0).alias("seq"))
+    structures = t.part.filter("p_partkey % 3 > 0").select(cid, F.col("p_type").alias("smiles"))
+    properties = t.part.select(cid, F.when(n % 4 > 0, F.col("p_retailprice")).alias("weight"), F.when(n % 2 == 0, F.col("p_brand")).otherwise(" ").alias("formula"))
+    synonyms = t.part.filter("p_partkey % 5 = 0").select(cid, F.concat(F.lit("salt of "), "p_name").alias("name"))
+    return graph.entities("cid", compounds.unionByName(older), structures, properties, synonyms, seq="seq")
+
+
+@query("""SELECT * FROM (SELECT 'Protein' AS label, 'protein:ACC' || s_suppkey AS term FROM supplier UNION ALL SELECT 'Gene', 'gene:GID' || n_nationkey FROM nation WHERE n_nationkey % 2 = 0)""")
+def s26_target_terms(t):
+    props = lambda k, v: F.create_map(F.lit(k), v)
+    proteins = t.supplier.select(F.lit("Protein").alias("label"), props("protein_id", F.concat(F.when(F.col("s_suppkey") % 2 == 0, "protein:").otherwise(""), F.lit("ACC"), F.col("s_suppkey").cast("string"))).alias("props"))
+    genes = t.nation.select(F.lit("Gene").alias("label"), props("gene_id", F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("GID"), F.col("n_nationkey").cast("string"))).otherwise(" ")).alias("props"))
+    nodes = proteins.unionByName(genes).unionByName(proteins)
+    return graph.term_list(nodes, {"Protein": ("protein:", "protein_id"), "Gene": ("gene:", "gene_id")})
