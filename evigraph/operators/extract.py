@@ -33,6 +33,27 @@ def subjects_of(objects: DataFrame, triples: DataFrame, predicate: str, cap: int
     return found if cap is None else capped(found, ["o"], [F.col("s")], cap)
 
 
+#: Named hops: the predicate, whether seeds are its objects, and how many results a seed has by default.
+HOPS = {
+    "groups_of_participant": ("participant", True, None),
+    "endpoints_of_group": ("output", False, None),
+    "assays_of_group": ("assay_group", True, 5),
+    "substance_of_endpoint": ("about", False, 1),
+    "compound_of_substance": ("standardized", False, 1),
+    "substances_of_compound": ("standardized", True, None),
+    "groups_of_substance": ("participates", False, None),
+}
+
+
+def named_hop(name: str, seeds: DataFrame, triples: DataFrame, cap: int | None = None) -> DataFrame:
+    """(seed, found) of ``seeds(seed)`` by one of HOPS: distinct, the first ones in order where a seed may have few."""
+    predicate, inverse, most = HOPS[name]
+    most = most if cap is None else cap
+    if inverse:
+        return subjects_of(seeds.select(F.col("seed").alias("o")), triples, predicate, most).select(F.col("o").alias("seed"), F.col("s").alias("found"))
+    return objects_of(seeds.select(F.col("seed").alias("s")), triples, predicate, most).select(F.col("s").alias("seed"), F.col("o").alias("found"))
+
+
 def described(subjects: DataFrame, triples: DataFrame, cap: int = 100) -> DataFrame:
     """All triples of the subjects, at most ``cap`` each."""
     return capped(triples.join(subjects.select("s").distinct(), "s", "left_semi"), ["s"], [F.col("p"), F.col("o")], cap)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from ..functions.descriptors import BITS, element_counts, fingerprint
+
 # Fixed words that mark identifier columns.
 IDENTIFIER_WORDS = ("id", "ref", "uri", "url", "name", "label", "key", "hash", "accession", "smiles", "inchi", "inchikey", "symbol")
 
@@ -239,6 +241,22 @@ def with_zscores(rows: DataFrame, keys: list[str], fit: DataFrame | None = None)
     return rows.join(renamed, keys)
 
 
+def descriptor_rows(compounds: DataFrame, key: str, formula: str, structure: str, method: str = "hashed_ngrams_v1") -> DataFrame:
+    """One row for each compound that has a formula or a structure text (the first of repeated keys by these): repr_id, the key, method, element
+    counts of the formula, how many atoms and elements these are, and the on-bits and density of the structure's fingerprint."""
+    text = lambda c: F.nullif(F.trim(F.col(c)), F.lit(""))
+    given = compounds.select(key, text(formula).alias("formula"), text(structure).alias("structure")).filter(F.col(key).isNotNull() & F.coalesce("formula", "structure").isNotNull())
+    first = given.groupBy(key).agg(F.min(F.struct("formula", "structure")).alias("_r")).select(key, "_r.*")
+    counts = element_counts("formula")
+    bits = F.when(F.col("structure").isNotNull(), fingerprint("structure"))
+    rows = first.select(key, "structure", counts.alias("elements"), bits.alias("bits"))
+    return rows.select(
+        F.concat(F.lit("molgraph:"), F.col(key).cast("string"), F.lit(f":{method}")).alias("repr_id"), key, F.lit(method).alias("method"), "elements",
+        F.aggregate(F.map_values("elements"), F.lit(0).cast("long"), lambda s, x: s + x).alias("n_atoms"), F.size("elements").alias("n_elements"),
+        "bits", F.round(F.size("bits") / BITS, 6).alias("bit_density"),
+    )
+
+
 def embedding_columns(rows: DataFrame, key: str, method: str, vector: str, size: int, methods: list[str]) -> DataFrame:
     """One row a node: the first ``size`` components of each method's vector as columns ``<method>_<i>``."""
     parts = [F.max(F.when(F.col(method) == m, F.get(vector, F.lit(i)))).alias(f"{m}_{i:04d}") for m in methods for i in range(size)]

@@ -79,6 +79,38 @@ def split_overlap(pairs: DataFrame, key: str, split: str) -> DataFrame:
     return pairs_of.withColumn("percent_shared", share).withColumn("risk", risk(share, 0.001, 5))
 
 
+def split_audit(pairs: DataFrame, key: str, split: str, label: str, edge_sets: dict[str, DataFrame]) -> DataFrame:
+    """Checks of a split as rows (check_name, status, detail): the balance of labels in each split (review from five positives a negative on,
+    high-risk from fifteen, and without a negative), the ``key`` values that two splits share (high-risk if any), and whether ``edge_sets``
+    have a ``train_only`` set that is no larger than ``full``. A null split is one of its own, called ``null``."""
+    named = pairs.select(F.coalesce(F.col(split).cast("string"), F.lit("null")).alias("s"), F.col(key).alias("k"), label_name(F.col(label)).alias("l"))
+    n = lambda name: F.count_if(F.col("l") == name).alias(name)
+    counts = named.groupBy("s").agg(n("positive"), n("negative"), n("unknown"), F.count("*").alias("total"))
+    ratio = F.col("positive") / F.nullif(F.col("negative"), F.lit(0))
+    only = (F.col("negative") == 0) & (F.col("positive") > 0)
+    status = F.when(only | (ratio >= 15), "high-risk").when(ratio >= 5, "review").otherwise("pass")
+    detail = F.concat(*(part for name in ("positive", "negative", "unknown", "total") for part in (F.lit(f"{name}="), F.col(name).cast("string"), F.lit("; "))))
+    balance = counts.select(F.concat(F.lit("label_balance_"), "s").alias("check_name"), status.alias("status"), F.rtrim(detail, F.lit("; ")).alias("detail"))
+    shared = split_overlap(named.filter("k is not null"), "k", "s")
+    overlap = shared.select(F.concat(F.lit("overlap_"), "a", F.lit("_vs_"), "b").alias("check_name"), F.when(F.col("n_shared") > 0, "high-risk").otherwise("pass").alias("status"), F.concat(F.lit("shared="), F.col("n_shared").cast("string")).alias("detail"))
+    sizes = None
+    for name in ("full", "train_only", "holdout_removed"):
+        one = edge_sets[name].agg(F.count("*").alias("n")) if name in edge_sets else pairs.sparkSession.range(1).select(F.lit(0).cast("long").alias("n"))
+        one = one.select(F.lit(name).alias("name"), "n")
+        sizes = one if sizes is None else sizes.unionByName(one)
+    wide = sizes.agg(*(F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in ("full", "train_only", "holdout_removed")))
+    good = (F.col("train_only") > 0) & (F.col("train_only") <= F.greatest("full", F.lit(1)))
+    detail = F.concat(F.lit("full="), F.col("full").cast("string"), F.lit("; train_only="), F.col("train_only").cast("string"), F.lit("; holdout_removed="), F.col("holdout_removed").cast("string"))
+    edges = wide.select(F.lit("train_only_edges").alias("check_name"), F.when(good, "pass").otherwise("review").alias("status"), detail.alias("detail"))
+    return balance.unionByName(overlap).unionByName(edges)
+
+
+def with_presence(pairs: DataFrame, key: str, described: DataFrame, name: str = "has_descriptors") -> DataFrame:
+    """``pairs`` with whether their ``key`` is described."""
+    found = described.select(key).distinct().withColumn(name, F.lit(True))
+    return pairs.join(found, key, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+
+
 def endpoint_audit(endpoints: DataFrame) -> DataFrame:
     """Measurements that fall under each rule, with percent; one aggregation, then one row a rule."""
     rules = {

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from .functions import nodes as N
 from .functions import text as X
-from .operators import cooccurrence, evidence, extract, graph, mapping, scopes
+from .operators import cooccurrence, evidence, extract, features, graph, mapping, quality, scopes, topology
 from .plans.domain import Tables, over_views
+from .sources import writers
 from .queries import labelled, paths, query, triples
 
 # Scopes: genes are nations, groups of every fifth assay name the gene of their first protein, and genes have symbols.
@@ -356,3 +357,90 @@ def s26_target_terms(t):
     genes = t.nation.select(F.lit("Gene").alias("label"), props("gene_id", F.when(F.col("n_nationkey") % 2 == 0, F.concat(F.lit("GID"), F.col("n_nationkey").cast("string"))).otherwise(" ")).alias("props"))
     nodes = proteins.unionByName(genes).unionByName(proteins)
     return graph.term_list(nodes, {"Protein": ("protein:", "protein_id"), "Gene": ("gene:", "gene_id")})
+
+
+# Named hops, topology, split audit, presence and sanitised properties.
+
+
+@query(over_views("SELECT 'endpoint:' || endpoint_id AS seed, min('sid:' || sid) AS found FROM endpoint GROUP BY 1"))
+def j4_substance_of_endpoint(t):
+    seeds = t.endpoint.select(term("endpoint", "endpoint_id").alias("seed"))
+    return extract.named_hop("substance_of_endpoint", seeds, triples(t))
+
+
+@query(over_views("SELECT seed, found FROM (SELECT 'mg:' || mg_id AS seed, 'aid:' || aid AS found, row_number() OVER (PARTITION BY mg_id ORDER BY 'aid:' || aid) AS k FROM (SELECT DISTINCT mg_id, aid FROM measuregroup)) WHERE k <= 5"))
+def j4_assays_of_group(t):
+    return extract.named_hop("assays_of_group", t.measuregroup.select(term("mg", "mg_id").alias("seed")), triples(t))
+
+
+@query(over_views("SELECT DISTINCT 'protein:' || protein_id AS seed, 'mg:' || mg_id AS found FROM tested_on"))
+def j4_groups_of_participant(t):
+    return extract.named_hop("groups_of_participant", t.protein.select(term("protein", "protein_id").alias("seed")), triples(t))
+
+
+def model_graph(t: Tables) -> tuple[DataFrame, dict[str, DataFrame]]:
+    nodes = t.part.select(F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("node_ref"), F.lit("Compound").alias("label"), F.col("p_partkey").alias("node_id"))
+    nodes = nodes.unionByName(t.supplier.select(F.concat(F.lit("p"), F.col("s_suppkey").cast("string")).alias("node_ref"), F.lit("Protein").alias("label"), (-F.col("s_suppkey") - 1).alias("node_id")))
+    edges = t.lineitem.select(F.col("l_partkey").alias("source_node_id"), (-F.col("l_suppkey") - 1).alias("target_node_id"), F.concat(F.lit("T"), F.col("l_linenumber").cast("string")).alias("type"), F.lit("Compound").alias("start_label"), F.when(F.col("l_suppkey") % 2 == 0, "Protein").otherwise("Target").alias("end_label"), "l_linenumber")
+    return nodes, {"full": edges, "train_only": edges.filter("l_linenumber <= 3"), "holdout_removed": edges.filter("l_linenumber > 9")}
+
+
+MODEL_EDGES_SQL = """WITH e AS (SELECT l_partkey AS a, -l_suppkey - 1 AS b, 'T' || l_linenumber AS type, CASE WHEN l_suppkey % 2 = 0 THEN 'Protein' ELSE 'Target' END AS el, l_linenumber AS ln FROM lineitem)
+"""
+
+
+@query(MODEL_EDGES_SQL + """, s AS (SELECT 'full' AS edge_set, * FROM e UNION ALL SELECT 'train_only', * FROM e WHERE ln <= 3)
+SELECT 'node_type' AS section, NULL AS edge_set, 'Compound' AS name, NULL AS other, count(*) AS n FROM part UNION ALL SELECT 'node_type', NULL, 'Protein', NULL, count(*) FROM supplier
+UNION ALL SELECT 'edge_set', edge_set, NULL, NULL, count(*) FROM s GROUP BY edge_set UNION ALL SELECT 'edge_set', 'holdout_removed', NULL, NULL, 0
+UNION ALL SELECT 'edge_type', edge_set, type, NULL, count(*) FROM s GROUP BY edge_set, type UNION ALL SELECT 'label_pair', edge_set, 'Compound', el, count(*) FROM s GROUP BY edge_set, el""")
+def q14_graph_topology(t):
+    nodes, sets = model_graph(t)
+    return topology.topology(nodes, sets)
+
+
+@query(MODEL_EDGES_SQL + """, d AS (SELECT id, count(*) AS degree FROM (SELECT a AS id FROM e UNION ALL SELECT b FROM e) GROUP BY 1),
+n AS (SELECT p_partkey AS id, 'c' || p_partkey AS ref, 'Compound' AS label FROM part UNION ALL SELECT -s_suppkey - 1, 'p' || s_suppkey, 'Protein' FROM supplier)
+SELECT id AS node_id, degree, ref AS node_ref, label FROM d LEFT JOIN n USING (id)""")
+def j37_node_degrees(t):
+    nodes, sets = model_graph(t)
+    return topology.node_degrees(nodes, sets["full"])
+
+
+@query("""WITH p AS (SELECT l_partkey AS k, CASE l_returnflag WHEN 'A' THEN 'test' WHEN 'N' THEN 'train' ELSE 'val' END AS s, CASE WHEN l_linenumber = 1 THEN 'negative' WHEN l_linenumber = 7 THEN 'unknown' ELSE 'positive' END AS l FROM lineitem),
+c AS (SELECT s, count(*) FILTER (WHERE l = 'positive') AS pos, count(*) FILTER (WHERE l = 'negative') AS neg, count(*) FILTER (WHERE l = 'unknown') AS unk, count(*) AS total FROM p GROUP BY s),
+o AS (SELECT x.s AS a, y.s AS b, (SELECT count(*) FROM (SELECT k FROM p WHERE p.s = x.s INTERSECT SELECT k FROM p WHERE p.s = y.s)) AS n FROM c x JOIN c y ON x.s < y.s)
+SELECT 'label_balance_' || s AS check_name, CASE WHEN pos >= 15 * neg THEN 'high-risk' WHEN pos >= 5 * neg THEN 'review' ELSE 'pass' END AS status, 'positive=' || pos || '; negative=' || neg || '; unknown=' || unk || '; total=' || total AS detail FROM c
+UNION ALL SELECT 'overlap_' || a || '_vs_' || b, CASE WHEN n > 0 THEN 'high-risk' ELSE 'pass' END, 'shared=' || n FROM o
+UNION ALL SELECT 'train_only_edges', 'pass', 'full=' || count(*) || '; train_only=' || count(*) FILTER (WHERE l_linenumber <= 3) || '; holdout_removed=0' FROM lineitem""")
+def q23_split_audit(t):
+    split = F.when(F.col("l_returnflag") == "A", "test").when(F.col("l_returnflag") == "N", "train").otherwise("val")
+    label = F.when(F.col("l_linenumber") == 1, "0").when(F.col("l_linenumber") == 7, "candidate").otherwise("active")
+    pairs = t.lineitem.select(F.col("l_partkey").alias("cid"), split.alias("split"), label.alias("label"))
+    return quality.split_audit(pairs, "cid", "split", "label", model_graph(t)[1])
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey % 3 = 0 AS has_descriptors FROM lineitem")
+def j38_descriptor_presence(t):
+    described = t.part.filter("p_partkey % 3 = 0").select(F.col("p_partkey").alias("l_partkey"))
+    return quality.with_presence(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), "l_partkey", described).drop("l_partkey")
+
+
+@query(over_views("SELECT DISTINCT id FROM (SELECT a AS id FROM similar_to UNION SELECT b FROM similar_to) WHERE id IN (SELECT cid FROM compound) AND id NOT IN (SELECT l_partkey FROM lineitem WHERE l_linenumber = 1)"))
+def u7_similarity_only_compounds(t):
+    similar = t.similar_to.select(F.explode(F.array("a", "b")).alias("id"))
+    return topology.similarity_only(t.compound.select(F.col("cid").alias("id")), similar, t.lineitem.filter("l_linenumber = 1").select(F.col("l_partkey").alias("id")))
+
+
+@query("""SELECT s_suppkey AS id, [s_name, 'x'] AS names, '{"a":' || s_suppkey || ',"b":null}' AS nested, CAST(s_acctbal AS DOUBLE) AS balance FROM supplier""")
+def k11_sanitized_properties(t):
+    nested = F.create_map(F.lit("a"), F.col("s_suppkey"), F.lit("b"), F.lit(None).cast("long"))
+    rows = t.supplier.select(F.col("s_suppkey").alias("id"), F.array("s_name", F.lit(None).cast("string"), F.lit("x")).alias("names"), nested.alias("nested"), F.col("s_acctbal").cast("double").alias("balance"))
+    return writers.sanitized_columns(rows)
+
+
+@query("""SELECT 'molgraph:' || p_partkey || ':hashed_ngrams_v1' AS repr_id, p_partkey AS cid, CAST(p_size + CASE WHEN p_partkey % 5 > 0 THEN p_partkey % 5 ELSE 0 END + 1 AS BIGINT) AS n_atoms, CASE WHEN p_partkey % 5 > 0 THEN 3 ELSE 2 END AS n_elements FROM part""")
+def x7_descriptor_rows(t):
+    n = F.col("p_partkey") % 5
+    formula = F.concat(F.lit("C"), F.col("p_size").cast("string"), F.when(n > 0, F.concat(F.lit("H"), n.cast("string"))).otherwise(""), F.lit("O"))
+    rows = t.part.select(F.col("p_partkey").alias("cid"), formula.alias("formula"), F.col("p_name").alias("smiles"))
+    return features.descriptor_rows(rows, "cid", "formula", "smiles").select("repr_id", "cid", "n_atoms", "n_elements")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, ByteType, DataType, DoubleType, FloatType, IntegerType, LongType, MapType, ShortType, StringType, StructType
 
 from ..operators.graph import merged
 
@@ -69,6 +69,22 @@ def sanitized(props: Column) -> Column:
     return F.map_filter(props, lambda k, v: v.isNotNull() & (F.trim(v) != ""))
 
 
+def sanitized_columns(df: DataFrame) -> DataFrame:
+    """Properties that any graph store takes: numbers, booleans and text as they are (dates and decimals as text), lists of these without nulls,
+    and everything nested (maps, structs, lists of lists) as JSON text. Nulls stay null: a writer leaves them out."""
+    plain = (BooleanType, ByteType, ShortType, IntegerType, LongType, FloatType, DoubleType, StringType)
+
+    def safe(c: Column, kind: DataType) -> Column:
+        if isinstance(kind, plain):
+            return c
+        if isinstance(kind, ArrayType) and not isinstance(kind.elementType, (ArrayType, MapType, StructType)):
+            values = F.array_compact(c)
+            return values if isinstance(kind.elementType, plain) else F.transform(values, lambda x: x.cast("string"))
+        return F.to_json(c) if isinstance(kind, (ArrayType, MapType, StructType)) else c.cast("string")
+
+    return df.select(*(safe(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields))
+
+
 def upserted(table: DataFrame, updates: DataFrame, keys: list[str], seq: str) -> DataFrame:
     """A keyed table after updates: of each property the last value that is not empty."""
     return merged(table.unionByName(updates, allowMissingColumns=True), keys, seq)
