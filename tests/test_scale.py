@@ -7,7 +7,7 @@ import contextlib
 import pytest
 from pyspark.sql import functions as F
 
-from evigraph.operators import features, graph, modeling, similarity
+from evigraph.operators import cooccurrence, features, graph, modeling, quality, similarity
 
 
 @contextlib.contextmanager
@@ -162,3 +162,38 @@ def test_profile_of_odd_values(spark):
     inside = {r.feature: r for r in features.profile(df, ["number"], F.col("k") == "b").collect()}["number"]
     assert (inside.rows, inside.n, inside.mean) == (4, 1, 2.5)
     assert features.profile(df.limit(0), ["number"]).first().n == 0 and features.profile(df, []).count() == 0
+
+
+def test_cooccurrences_in_both_directions_with_caps(spark):
+    rows = [
+        ("cooccurrence:1", "p:a", "protein:A"), ("protein:B", "p:b", "cooccurrence:1"), ("cooccurrence:1", "p:c", "compound:CID1"), ("cooccurrence:1", "p:c", "compound:CID2"),
+        *(("cooccurrence:1", "p:r", f"reference:{k}") for k in range(4)), ("cooccurrence:1", "x#score", "0.5"), ("cooccurrence:1", "x#sentenceCount", "7"),
+        ("gene:G", "p:d", "cooccurrence:2"), ("cooccurrence:2", "p:x", "disease:D"), ("cooccurrence:3", "p:a", "protein:Z"), (None, "p", "protein:A"), ("other:9", "p", "protein:A"),
+    ]
+    triples = spark.createDataFrame(rows, "s string, p string, o string")
+    targets = spark.createDataFrame([("protein:A",), ("protein:B",), ("gene:G",), (None,)], "target string")
+    found = cooccurrence.cooccurrences(triples, targets, per_pair=2).collect()
+    first = {(r.target, r.compound, r.protein, r.reference) for r in found if r.cooc_id == "cooc:1"}
+    # The resource names protein A only; B is a target of the same rows, whose protein is A as well, so each is given once, for A.
+    assert first == {("protein:A", f"compound:CID{c}", "protein:A", f"reference:{k}") for c in (1, 2) for k in range(2)}
+    assert all((r.score, r.sentence_count) == (0.5, 7) for r in found if r.cooc_id == "cooc:1")
+    (gene,) = [r for r in found if r.cooc_id == "cooc:2"]
+    assert (gene.gene, gene.disease, gene.compound, gene.association_type) == ("gene:G", "disease:D", None, "entity cooccurrence")
+    only = spark.createDataFrame([("compound:CID2",)], "compound string")
+    assert {r.compound for r in cooccurrence.cooccurrences(triples, targets, only).collect()} == {"compound:CID2"}
+    assert cooccurrence.cooccurrences(triples, targets, per_target=1, most=2).count() == 2
+
+
+def test_entities_take_later_tables_last(spark):
+    a = spark.createDataFrame([(1, "x", 0), (1, "y", 1), (2, "z", 0), (None, "n", 0)], "cid int, name string, seq int")
+    b = spark.createDataFrame([(1, " ", "s"), (3, "w", None)], "cid int, name string, smiles string")
+    found = sorted((r.cid, r.name, r.smiles) for r in graph.entities("cid", a, b, seq="seq").collect())
+    assert found == [(1, "y", "s"), (2, "z", None), (3, "w", None)]
+    plan = graph.entities("cid", a, b, seq="seq")._jdf.queryExecution().toString()
+    assert plan.split("== Physical Plan ==")[1].count("Exchange hashpartitioning") == 1
+
+
+def test_split_audit_of_odd_splits(spark):
+    pairs = spark.createDataFrame([(1, "train", "1"), (2, None, "1"), (1, None, "0"), (None, "val", "unknown")], "cid int, split string, label string")
+    found = {r.check_name: r.status for r in quality.split_audit(pairs, "cid", "split", "label", {}).collect()}
+    assert found == {"label_balance_train": "high-risk", "label_balance_null": "pass", "label_balance_val": "pass", "overlap_null_vs_train": "high-risk", "train_only_edges": "review"}
