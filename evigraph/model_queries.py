@@ -501,3 +501,45 @@ def q3_readiness_gate(t):
     counts = t.lineitem.groupBy("l_suppkey").agg(F.count_if(F.col("l_returnflag") == "N").alias("positives"), F.count_if(F.col("l_returnflag") == "R").alias("negatives"))
     _, _, status = quality.readiness({c: F.col(c) for c in ("positives", "negatives")}, {"positives": 100}, {"negatives": 200})
     return counts.select("l_suppkey", status.alias("status"))
+
+
+# Assemblies of section tables -----------------------------------------------------------------------------------
+
+EVIDENCE_LAYER = "SELECT 'layer' AS section, '{0}' AS item, unnest(['rows', 'columns']) AS metric, unnest([CAST(count(*) AS DOUBLE), {1}]) AS value FROM {2}"
+
+
+@query(" UNION ALL ".join([EVIDENCE_LAYER.format("binding", 3, "lineitem"), EVIDENCE_LAYER.format("text", 2, "documents"), "SELECT 'affinities_by_target', CAST(l_suppkey AS VARCHAR), 'n', CAST(count(*) AS DOUBLE) FROM lineitem GROUP BY 2", "SELECT 'affinities_by_type', l_returnflag, 'n', CAST(count(*) AS DOUBLE) FROM lineitem GROUP BY 2"]))
+def q13_external_evidence(t):
+    binding = t.lineitem.select(F.col("l_suppkey").alias("protein_id"), F.col("l_partkey").alias("cid"), F.col("l_returnflag").alias("affinity_type"))
+    return reports.external_evidence({"binding": binding, "text": t.documents.select("doc_id", "lang")}, binding)
+
+
+@query(" UNION ALL ".join([
+    CROSSED.format("split_by_label", "l_linestatus", "l_returnflag", "lineitem"), CROSSED.format("target_by_label", "CAST(l_suppkey AS VARCHAR)", "l_returnflag", "lineitem"), CROSSED.format("target_by_split", "CAST(l_suppkey AS VARCHAR)", "l_linestatus", "lineitem"),
+    "SELECT 'mean_by_label', l_returnflag, unnest(['rows', 'l_tax', 'value']), unnest([CAST(count(*) AS DOUBLE), avg(l_tax), avg(CASE WHEN l_linenumber > 2 THEN l_quantity ELSE 0 END)]) FROM lineitem GROUP BY 2",
+    COVERED("coverage", "l_tax", "lineitem"), COVERED("coverage", "value", "(SELECT CASE WHEN l_linenumber > 2 THEN l_quantity END AS value FROM lineitem)"), COUNTED.format("l_linenumber", "l_linenumber", "lineitem"),
+]))
+def q15_pair_modeling(t):
+    pairs = t.lineitem.withColumn("value", F.when(F.col("l_linenumber") > 2, F.col("l_quantity")))
+    return reports.pair_modeling(pairs, "l_returnflag", "l_suppkey", "l_linestatus", ["l_tax", "value"], ["l_linenumber"])
+
+
+@query("""WITH c AS (SELECT (SELECT count(*) FROM lineitem) AS pairs, (SELECT count(*) FROM part) AS nodes, (SELECT count(*) FROM lineitem WHERE l_linenumber > 99) AS train, (SELECT string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) FROM lineitem) AS labels)
+SELECT * FROM (SELECT 'readiness' AS item, 'pass' AS status, 'status=ready' AS detail UNION ALL SELECT 'pair_table', 'pass', 'rows=' || pairs FROM c UNION ALL SELECT 'pair_labels', 'pass', 'labels=' || labels FROM c UNION ALL SELECT 'split', 'pass', 'splits=test,train' UNION ALL SELECT 'node_ids', 'pass', 'rows=' || nodes FROM c
+UNION ALL SELECT 'edges', 'pass', 'rows=' || pairs FROM c UNION ALL SELECT 'train_only_edges', 'review', 'rows=' || train FROM c UNION ALL SELECT 'tensors', 'review', 'written=false' UNION ALL SELECT 'pair_features', 'review', 'present=assay_count,reference_count')""")
+def q25_preparation_checklist(t):
+    pairs = t.lineitem.select(F.col("l_returnflag").alias("label"), F.when(F.col("l_linenumber") > 1, "train").otherwise("test").alias("split"), F.lit(1).alias("assay_count"), F.lit(1).alias("reference_count"))
+    return reports.preparation_checklist(pairs, t.part, t.lineitem, t.lineitem.filter("l_linenumber > 99"), "ready")
+
+
+@query("""SELECT CASE WHEN l_linenumber <> 2 THEN l_partkey END AS cid, coalesce(CASE WHEN l_linenumber = 3 THEN 'own' END, 'ACCP' || l_suppkey) AS protein_id, CASE WHEN l_linenumber = 4 THEN 'file' ELSE 'local import' END AS source, count(*) AS n, count(DISTINCT l_orderkey) AS n_ids
+FROM lineitem WHERE (l_linenumber = 2 OR l_partkey % 2 = 0) AND l_suppkey % 3 <> 0 GROUP BY 1, 2, 3""")
+def s23_drug_rows(t):
+    text = F.col("l_suppkey").cast("string")
+    rows = t.lineitem.select(
+        F.when(F.col("l_linenumber") != 2, F.concat(F.lit("CID"), F.col("l_partkey").cast("string"))).alias("cid"), F.concat(F.lit("P"), text).alias("uniprot_acc"), F.when(F.col("l_linenumber") == 3, "own").alias("protein_id"),
+        F.concat(F.lit("DB"), F.col("l_orderkey").cast("string")).alias("drug_id"), F.when(F.col("l_linenumber") == 4, "file").otherwise(" ").alias("source"),
+    )
+    compounds, proteins = t.part.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("cid")), t.supplier.filter("s_suppkey % 3 != 0").select(F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("uniprot_acc"))
+    found = records.drug_rows(rows, compounds, proteins, "local import")
+    return found.groupBy("cid", "protein_id", "source").agg(F.count("*").alias("n"), F.count_distinct("drug_id").alias("n_ids"))

@@ -175,6 +175,14 @@ def imported(rows: DataFrame, compounds: DataFrame, proteins: DataFrame, id_colu
     )
 
 
+def drug_rows(rows: DataFrame, compounds: DataFrame, proteins: DataFrame, source: str) -> DataFrame:
+    """Rows of a drug file whose compound and target are known or absent, as ``imported`` with drug_id, and the ``source`` where a row names
+    none."""
+    found = imported(rows, compounds, proteins, "drug_id", "drug").drop("parse_status")
+    named = first_text("source") if "source" in rows.columns else F.lit(None).cast("string")
+    return found.withColumn("source", F.coalesce(named, F.lit(source)))
+
+
 def compound_records(cids: DataFrame, properties: DataFrame, synonyms: DataFrame, most: int = 10) -> DataFrame:
     """Properties of compounds with their first ``most`` synonyms (``synonyms(cid, place, synonym)``) and a title: the given
     one, the first synonym, or ``CID n``."""

@@ -144,3 +144,50 @@ def decision_summary(readiness: DataFrame, leakage: DataFrame, min_pairs: int =
     )
     risks = F.array_compact(F.array(F.when(F.col("high_risks") > 0, "split_leakage"), F.when(10 * F.least("positives", "negatives") < F.greatest("positives", "negatives"), "class_imbalance"), F.when(F.col("two_class_targets") == 0, "one_class_targets")))
     return n.crossJoin(F.broadcast(r)).select("*", task.alias("task"), F.array_join(risks, ";").alias("risks"))
+
+
+def external_evidence(layers: dict[str, DataFrame], affinities: DataFrame | None = None, target: str = "protein_id", kind: str = "affinity_type") -> DataFrame:
+    """Rows and columns of each evidence layer, and the affinity records of each target and type, in long form."""
+    sizes = [long_form(df.agg(F.count("*").alias("n")), "layer", F.lit(name), {"rows": F.col("n"), "columns": F.lit(len(df.columns))}) for name, df in layers.items()]
+    if affinities is not None:
+        each = lambda section, c: long_form(affinities.groupBy(F.col(c).cast("string").alias("item")).agg(F.count("*").alias("n")), section, F.col("item"), {"n": F.col("n")})
+        sizes += [each("affinities_by_target", target), each("affinities_by_type", kind)]
+    return together(*sizes)
+
+
+def pair_modeling(pairs: DataFrame, label: str, target: str, split: str, evidence: list[str], categories: list[str] = ()) -> DataFrame:
+    """Pairs by split, target and label, coverage of the evidence columns and their means by label (missing as 0), and counts of categories,
+    in long form."""
+    by_label = pairs.groupBy(F.coalesce(F.col(label).cast("string"), F.lit("<missing>")).alias("item")).agg(F.count("*").alias("rows"), *(F.avg(F.coalesce(F.col(c).cast("string").try_cast("double"), F.lit(0.0))).alias(f"m_{i}") for i, c in enumerate(evidence)))
+    means = long_form(by_label, "mean_by_label", F.col("item"), {"rows": F.col("rows")} | {c: F.col(f"m_{i}") for i, c in enumerate(evidence)})
+    tables = [crossed(pairs, "split_by_label", split, label), crossed(pairs, "target_by_label", target, label), crossed(pairs, "target_by_split", target, split), means]
+    tables += [covered(pairs, "coverage", evidence)] if evidence else []
+    return together(*tables, *(counted(pairs, c, c) for c in categories))
+
+
+#: Pair features that a model should have, of which four at least must be there.
+PAIR_FEATURES = ("assay_count", "reference_count", "evidence_count", "bindingdb_has_record", "textmine_confidence_score", "best_negative_log10_molar", "best_value_um")
+
+
+def preparation_checklist(pairs: DataFrame, nodes: DataFrame, edges: DataFrame, train_edges: DataFrame, status: str | None = None, tensors: bool = False) -> DataFrame:
+    """item, status (pass, review or fail) and detail of what modeling needs: a readiness ``status``, pairs with two labels and a known split,
+    node ids, edges, a train-only graph, tensors, and pair features. Each table is counted once."""
+    has = lambda c: c in pairs.columns
+    names = lambda c: F.array_sort(F.collect_set(F.col(c).cast("string"))) if has(c) else F.array().cast("array<string>")
+    # Labels and splits have few values.
+    one = pairs.agg(F.count("*").alias("pairs"), names("label").alias("labels"), names("split").alias("splits"))
+    for name, df in (("nodes", nodes), ("edges", edges), ("train", train_edges)):
+        one = one.crossJoin(F.broadcast(df.agg(F.count("*").alias(name))))
+    there = [c for c in PAIR_FEATURES if has(c)]
+    rows = lambda c: F.concat(F.lit("rows="), F.col(c).cast("string"))
+    listed = lambda c: F.concat(F.lit(f"{c}="), F.array_join(c, ","))
+    rule = lambda good, other: F.when(good, "pass").otherwise(other)
+    checks = [("readiness", rule(F.lit(status in ("ready", "gcn_modeling_ready")), "review"), F.lit(f"status={status}")), ("pair_table", rule(F.col("pairs") > 0, "fail"), rows("pairs"))]
+    if has("label"):
+        checks.append(("pair_labels", rule((F.col("pairs") == 0) | (F.size("labels") > 1), "review"), listed("labels")))
+    if has("split"):
+        checks.append(("split", rule((F.col("pairs") == 0) | F.arrays_overlap("splits", F.array(*map(F.lit, ("train", "val", "test")))), "review"), listed("splits")))
+    checks += [("node_ids", rule(F.col("nodes") > 0, "fail"), rows("nodes")), ("edges", rule(F.col("edges") > 0, "fail"), rows("edges")), ("train_only_edges", rule(F.col("train") > 0, "review"), rows("train"))]
+    checks += [("tensors", rule(F.lit(tensors), "review"), F.lit(f"written={str(tensors).lower()}")), ("pair_features", rule(F.lit(len(there) >= 4), "review"), F.lit("present=" + ",".join(there)))]
+    entries = F.array(*(F.struct(F.lit(item).alias("item"), state.alias("status"), detail.alias("detail")) for item, state, detail in checks))
+    return one.select(F.explode(entries).alias("c")).select("c.*")
