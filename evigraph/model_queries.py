@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .functions import targets as T
 from .functions import text as X
 from .operators import evidence, extract, graph, modeling, quality, records, reports
+from .plans import layers
 from .plans.domain import Tables, endpoint_id, over_views
 from .queries import labelled, paths, query
 
@@ -543,3 +544,15 @@ def s23_drug_rows(t):
     compounds, proteins = t.part.filter("p_partkey % 2 = 0").select(F.col("p_partkey").alias("cid")), t.supplier.filter("s_suppkey % 3 != 0").select(F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("uniprot_acc"))
     found = records.drug_rows(rows, compounds, proteins, "local import")
     return found.groupBy("cid", "protein_id", "source").agg(F.count("*").alias("n"), F.count_distinct("drug_id").alias("n_ids"))
+
+
+@query("""SELECT kind, n, n_nodes FROM (SELECT 'uniprot' AS kind, count(*) AS n, count(*) AS n_nodes FROM supplier UNION ALL SELECT 'go', count(*), 1 FROM supplier UNION ALL SELECT 'pdb', count(*), 1 FROM supplier
+UNION ALL SELECT 'molgraph', count(*), 1 FROM part UNION ALL SELECT 'protembed', count(*), 1 FROM supplier)""")
+def z4_built_in_layers(t):
+    """Rows of the layers whose tables are there; reactome and interpro find no references, the others lack their tables."""
+    tables = {
+        "protein_records": protein_json(t), "compounds": t.part.select(F.col("p_partkey").alias("cid"), F.concat(F.lit("C"), F.col("p_size").cast("string")).alias("formula"), F.col("p_name").alias("smiles")),
+        "proteins": t.supplier.select(F.col("s_suppkey").alias("protein_id"), F.lit("MKV LAA").alias("sequence")),
+    }
+    rows, _ = layers.layer_rows(t.spark, tables, ["uniprot", "go", "reactome", "pdb", "molgraph", "protembed", "drugbank"])
+    return rows.groupBy("kind").agg(F.count("*").alias("n"), F.when(F.col("kind") == "uniprot", F.count_distinct(F.col("data")["uniprot_acc"])).otherwise(1).alias("n_nodes"))

@@ -94,3 +94,25 @@ def test_plugins(spark):
     status = plugins.apply([*plugins.load(["good", "good"]), Bad()], spark, {}, {}, lambda n, df: seen.update({n: df.count()}))
     assert status == {"good": "written", "bad": "failed"} and seen == {"good": 2}
     assert F is not None
+
+
+def test_built_in_layers(spark):
+    from evigraph.operators import mapping
+    from evigraph.plans import layers
+
+    assert {"uniprot", "go", "reactome", "interpro", "pdb", "alphafold", "chembl", "bindingdb", "bindingdb_file", "drugbank", "pubchem", "molgraph", "protembed"} == set(layers.LAYERS)
+    compounds = spark.createDataFrame([(1, "C2H6O", "CCO", "K1"), (2, None, " ", "K2"), (None, "C", "C", None)], "cid long, formula string, smiles string, inchikey string")
+    proteins = spark.createDataFrame([("ACCP1", "P1", "MK-V"), ("ACCP2", "P2", None)], "protein_id string, uniprot_acc string, sequence string")
+    drugs = spark.createDataFrame([("D1", "1", "P1", None, "x"), (None, "7", None, None, None), (None, None, "P2", None, None)], "drug_id string, cid string, uniprot_acc string, protein_id string, source string")
+    molecules = spark.createDataFrame([("K1", "CHEMBL5")], "inchikey string, chembl_id string")
+    rows, status = layers.layer_rows(spark, {"compounds": compounds, "proteins": proteins, "drug_file": drugs, "molecules": molecules}, ["molgraph", "protembed", "drugbank", "chembl", "bindingdb"])
+    assert status == {"molgraph": "written", "protembed": "written", "drugbank": "written", "chembl": "written", "bindingdb": "failed"}
+    found = {}
+    for r in rows.collect():
+        found.setdefault(r.kind, []).append(r.data)
+    assert [d["cid"] for d in found["molgraph"]] == ["1"] and json.loads(found["molgraph"][0]["elements"]) == {"C": 2, "H": 6, "O": 1}
+    assert [d["protein_id"] for d in found["protembed"]] == ["ACCP1"] and len(json.loads(found["protembed"][0]["embedding"])) == 20
+    assert sorted((d.get("drug_id", "")[:5], d["protein_id"], d["source"]) for d in found["drugbank"]) == [("D1", "ACCP1", "x"), ("drug:", "ACCP2", "local import")]
+    assert found["chembl"][0]["chembl_id"] == "CHEMBL5"
+    # The graph takes them as they are.
+    assert mapping.nodes_of(rows, ("molgraph",)).filter("label = 'MolGraph'").count() == 1
