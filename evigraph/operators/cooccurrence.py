@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+
 # Prefixes of terms by what they name.
 RESOURCE = "cooccurrence:"
 ENDS = {"compound": "compound:", "protein": "protein:", "gene": "gene:", "disease": "disease:", "reference": "reference:"}
@@ -36,8 +38,9 @@ def cooccurrences(
     (cooc_id and ends) once, of the first target, then ``most`` rows; all in order of their terms. ``compounds(compound)`` keeps rows with one of
     these only. Only triples of resources that a target reaches are joined.
     """
-    around = resources_of(triples, targets)
-    own = triples.join(around.select(F.col("cooc").alias("s")).distinct(), "s", "left_semi").select(F.col("s").alias("cooc"), "p", "o")
+    # Both are read for every kind of end, so they are written once.
+    around = written(resources_of(triples, targets), "resources")
+    own = written(triples.join(around.select(F.col("cooc").alias("s")).distinct(), "s", "left_semi").select(F.col("s").alias("cooc"), "p", "o"), "resource-triples")
     rows = around
     for name, prefix in ENDS.items():
         end = own.filter(_named(F.col("o"), prefix)).select("cooc", F.col("o").alias(name)).distinct()
