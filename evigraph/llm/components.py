@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import dropped, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,7 +22,8 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        pairs = written(small.filter("u != v").distinct(), "edges")
+        before, pairs = pairs, written(small.filter("u != v").distinct(), "edges")
+        dropped(before)
         now = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == mark:
             break

@@ -39,7 +39,7 @@ from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
 from .arrow import SLICE, bounded_batches, column, quoted, released, with_computed
 from .components import components
-from .storage import slices, written
+from .storage import deleted, dropped, slices, watched, written
 from .token_counts import word_spans
 from .wordhash import MIX, mixed, text_bytes, word_hashes
 
@@ -189,7 +189,8 @@ def _sized(ids: DataFrame) -> DataFrame:
 
 
 def exact_links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of node ids whose sets are linked, by the shingles of their texts."""
+    """The pairs (a, b) of node ids whose sets are linked, by the shingles of their texts; written. ``pairs`` is a table of ``written``, which
+    goes."""
     nodes = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "nodes")
     texts = docs.select("doc_id", "text").join(_sized(nodes), "doc_id", "left_semi")
 
@@ -211,7 +212,10 @@ def exact_links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 keep.append(100 * shared >= 80 * (len(x) + len(y) - shared))
             yield batch.select([0, 1]).take(np.flatnonzero(keep))
 
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
+    links = written(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "links")
+    for table in (nodes, sets, pairs):
+        dropped(table)
+    return links
 
 
 def _folded(bins: np.ndarray, to: int) -> np.ndarray:
@@ -436,7 +440,7 @@ def linked(docs: DataFrame, region_rows: int = REGION, common: int = COMMON) ->
     last = rows.join(rows.groupBy("region").agg(F.max("node").alias("last")), "region").filter("node != last and pivot != last")
     stars = rows.filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
     stars = stars.unionByName(last.select(F.col("node").alias("a"), F.col("last").alias("b"))).distinct()
-    links = written(exact_links(_possible(stars, infos), docs), "links")
+    links = exact_links(_possible(stars, infos), docs)
     preliminary = components(links)
 
     placed = rows.join(preliminary, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -457,7 +461,9 @@ def linked(docs: DataFrame, region_rows: int = REGION, common: int = COMMON) ->
     members, too_large = members_of(mixed_regions.filter(F.col("count") <= region_rows)), mixed_regions.filter(F.col("count") > region_rows)
     if not too_large.isEmpty():
         members = members.unionByName(bounded(members_of(too_large), region_rows).select(*members.columns))
-    more = written(exact_links(written(region_pairs(members), "pairs"), docs), "links")
+    more = exact_links(written(region_pairs(members), "pairs"), docs)
+    for table in (rows, mixed_regions):
+        dropped(table)
     final = components(links.unionByName(more).unionByName(member.select(F.col("node").alias("a"), F.col("doc_id").alias("b"))))
     joined = sets.select("doc_id", "n_shingles").join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -468,8 +474,10 @@ def representatives(docs: DataFrame) -> DataFrame:
 
     Rows without doc_id stay; of rows that share a doc_id the one with the first text stays.
     """
-    found = linked(docs.select("doc_id", "text")).filter("component_id = doc_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
-    found = written(found, "representatives")
+    with watched() as made:
+        found = linked(docs.select("doc_id", "text")).filter("component_id = doc_id").groupBy("doc_id").agg(F.count("*").alias("rows"))
+        found = written(found, "representatives")
+    deleted(docs.sparkSession, made[:-1])
     names = list(map(quoted, docs.columns))
     rest = docs.filter("doc_id is null")
     kept = docs.join(_sized(found.select("doc_id")), "doc_id", "left_semi")

@@ -54,16 +54,34 @@ def written(df: DataFrame, name: str, rows_together: int | None = None) -> DataF
         writer = writer.option("parquet.block.row.count.limit", rows_together)
     with transient_shuffles(spark):
         writer.parquet(path)
+    for made in _watching:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_watching: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def watched() -> Iterator[list[str]]:
+    """The paths of the tables that are written meanwhile, in order."""
+    made: list[str] = []
+    _watching.append(made)
+    try:
+        yield made
+    finally:
+        _watching.pop()
+
+
+def deleted(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def dropped(df: DataFrame) -> None:
     """Delete a table of ``written`` that nothing reads any more."""
-    spark = df.sparkSession
-    folders = {path.rsplit("/", 1)[0] for path in df.inputFiles()}
-    for folder in folders:
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    deleted(df.sparkSession, sorted({path.rsplit("/", 1)[0] for path in df.inputFiles()}))
 
 
 @contextlib.contextmanager

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
 from .arrow import SLICE, bounded_batches, column, quoted, released, with_computed
-from .storage import slices, written
+from .storage import dropped, slices, written
 from .wordhash import MIX, mixed, prefix_sums, span_hashes, text_bytes
 
 LENGTH, GRAM, GRAM0 = 200, 32, 8
@@ -286,7 +286,7 @@ def with_repeats(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT,
     copies = texts.groupBy("own_digest").agg(F.first("size").alias("own_size"), F.count("*").alias("own_copies")).filter("own_copies > 1")
 
     own = docs.select("doc_id", "text").filter(F.octet_length("text") >= LENGTH).select("text", _digest().alias("digest"), F.coalesce("doc_id", F.lit(-1 << 62)).alias("first_id"))
-    members = written(_judged(_anchors(own)), "members")
+    judged = members = written(_judged(_anchors(own)), "members")
     low = F.when(F.col("state") == COVERED, F.col("at")).otherwise(F.col("at") - F.shiftright("extent", 8))
     high = F.when(F.col("state") == COVERED, F.col("at") + F.col("extent")).otherwise(F.col("at") - F.col("extent").bitwiseAND(255) + LENGTH)
     members = members.withColumns({"low": low, "high": high})
@@ -303,7 +303,9 @@ def with_repeats(docs: DataFrame, keep: list[str] | None = None, hot: int = HOT,
     if not large.isEmpty():
         found = found.unionByName(_repeated_by_identifier(around(large)))
     found = found.unionByName(members.filter("copied").select("digest", "low", "high"))
-    spans = written(found, "spans").groupBy(F.col("digest").alias("own_digest")).agg(F.collect_set(F.struct("low", "high")).alias("own"))
+    covered = written(found, "spans")
+    dropped(judged)
+    spans = covered.groupBy(F.col("digest").alias("own_digest")).agg(F.collect_set(F.struct("low", "high")).alias("own"))
     spans = spans.select("own_digest", F.col("own.low").alias("own_low"), F.col("own.high").alias("own_high"))
     copies = written(copies, "copies")
     read = [F.col(quoted(name)) for name in dict.fromkeys([*names, "text"])]
