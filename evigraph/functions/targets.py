@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import cleaned, col, extracted, first_text, identifier, lookup, relationship_type, stable_id, tail
+from .text import bound, cleaned, col, extracted, first_text, identifier, lookup, relationship_type, stable_id, tail
 
 # Accessions and gene ids of common P450 enzymes, and the forms that accessions and their names have.
 ACCESSION_SYMBOL = {"P05177": "CYP1A2", "P11712": "CYP2C9", "P33261": "CYP2C19", "P10635": "CYP2D6", "P08684": "CYP3A4", "P20815": "CYP3A5", "Q7Z449": "CYP2U1", "Q96SQ9": "CYP2S1"}
@@ -32,24 +32,30 @@ def accession(*values: Column | str) -> Column:
     """The first protein accession among the values (whole, after the last ``/`` or ``:``, or behind ACC), without isoform."""
 
     def of(c):
-        text = F.upper(cleaned(c))
-        forms = [F.regexp_replace(F.trim(form), "^ACC", "") for form in (text, tail(text, "/"), tail(text, ":"))]
-        return F.coalesce(*(F.when(form.rlike(ACCESSION), F.substring_index(form, "-", 1)) for form in forms))
+        def found(x):
+            forms = [F.regexp_replace(F.trim(form), "^ACC", "") for form in (x["text"], tail(x["text"], "/"), tail(x["text"], ":"))]
+            return F.coalesce(*(F.when(form.rlike(ACCESSION), F.substring_index(form, "-", 1)) for form in forms))
+
+        return bound(found, text=F.upper(cleaned(c)))
 
     return F.coalesce(*map(of, values))
 
 
 def cyp_symbol(*values: Column | str) -> Column:
     """The P450 symbol: named in a value, else by accession or gene id, else from a protein name."""
-    named = [extracted(F.translate(F.upper(cleaned(v)), "-_", "  "), SYMBOL) for v in values]
-    known = [F.coalesce(lookup(accession(v), ACCESSION_SYMBOL), lookup(extracted(cleaned(v), r"(\d{3,9})"), GENE_SYMBOL)) for v in values]
-    words = []
-    for v in values:
-        text = cleaned(v)
-        parts = F.concat(*(F.upper(F.regexp_extract(text, FAMILY, k)) for k in (1, 2, 3)))
-        words.append(F.when(text.rlike(FAMILY), parts).otherwise(F.upper(extracted(text, SHORT))))
     prefixed = lambda c: F.concat(F.lit("CYP"), c)
-    return F.coalesce(*map(prefixed, named), *known, *map(prefixed, words))
+
+    def of(text):
+        parts = F.concat(*(F.upper(F.regexp_extract(text, FAMILY, k)) for k in (1, 2, 3)))
+        return F.struct(
+            prefixed(extracted(F.translate(F.upper(text), "-_", "  "), SYMBOL)).alias("named"),
+            F.coalesce(lookup(accession(text), ACCESSION_SYMBOL), lookup(extracted(text, r"(\d{3,9})"), GENE_SYMBOL)).alias("known"),
+            prefixed(F.when(text.rlike(FAMILY), parts).otherwise(F.upper(extracted(text, SHORT)))).alias("worded"),
+        )
+
+    first = lambda x, name: F.get(F.array_compact(F.transform(x["each"], lambda e: e[name])), F.lit(0))
+    each = F.transform(F.array_compact(F.array(*map(cleaned, values))), lambda text: of(text))
+    return bound(lambda x: F.coalesce(*(first(x, name) for name in ("named", "known", "worded"))), each=each)
 
 
 def chemical_seed(c: Column | str) -> Column:
