@@ -28,19 +28,22 @@ def windowed_counts(rows: DataFrame, event_time: str, key: str, width: str = "5
 
 
 def capped_stream(rows: DataFrame, key: str, value: str, n: int) -> DataFrame:
-    """The first ``n`` rows of each key over the whole stream; the state is one counter a key."""
+    """The first ``n`` rows of each key over the whole stream, in order of ``value`` within a batch; the state is one counter a key.
+
+    A key's rows of a batch may come in several frames, so the least of all of them are kept before any is given out."""
     from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
     def keep(group, frames: Iterator, state: GroupState):
         import pandas as pd
 
         (seen,) = state.get if state.exists else (0,)
+        best = None
         for frame in frames:
-            take = frame.sort_values(value).head(max(0, n - seen))
-            seen += len(take)
-            if len(take):
-                yield pd.DataFrame({key: take[key], value: take[value]})
-        state.update((seen,))
+            rows = frame if best is None else pd.concat([best, frame])
+            best = rows.sort_values(value).head(max(0, n - seen))
+        state.update((seen + (0 if best is None else len(best)),))
+        if best is not None and len(best):
+            yield pd.DataFrame({key: best[key], value: best[value]})
 
     kinds = dict(rows.dtypes)
     return rows.groupBy(key).applyInPandasWithState(keep, f"{key} {kinds[key]}, {value} {kinds[value]}", "seen long", "append", GroupStateTimeout.NoTimeout)
