@@ -100,8 +100,10 @@ def structure_models(proteins: DataFrame, models: DataFrame, cap: int | None = N
 
 
 def molecules_by_key(compounds: DataFrame, molecules: DataFrame, cap: int = 20) -> DataFrame:
-    """Molecule records of ``compounds(cid, inchikey)`` by structure key, at most ``cap`` a compound in order of their id."""
-    found = compounds.filter("inchikey is not null and cid is not null").join(molecules.filter("chembl_id is not null"), "inchikey")
+    """Molecule records of ``compounds(cid, inchikey)`` by structure key, at most ``cap`` a compound in order of their id. No compound gets
+    more than the first ``cap`` of a key, so that many go before the join, which else grows with the square of a key's rows."""
+    first = capped(molecules.filter("chembl_id is not null and inchikey is not null"), ["inchikey"], [F.col("chembl_id")], cap)
+    found = compounds.filter("inchikey is not null and cid is not null").join(first, "inchikey")
     return capped(found, ["cid"], [F.col("chembl_id")], cap).withColumn("entity_type", F.lit("molecule"))
 
 
