@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.endpoint import LABELLED_TYPES, assertion
@@ -33,8 +33,9 @@ def interaction_support(paths: DataFrame, references: DataFrame | None = None) -
     pair, its label counts, and the assertion that they make. Labels count once for each row that cites a measurement, and
     once where none does.
 
-    Several distinct counts of one aggregation repeat each row for each of them, which is why references, the widest
-    fan-out, are brought down to measurements first and never joined to all paths at once.
+    Several distinct counts of one aggregation repeat each row for each of them on disk. Here rows go to their pair once, with
+    what they are counted by; the ranks of a pair's sorted values count them, in memory that does not grow
+    with the pair. References, the widest fan-out, are counted apart.
     """
     times = F.lit(1)
     if references is not None:
@@ -42,17 +43,22 @@ def interaction_support(paths: DataFrame, references: DataFrame | None = None) -
         paths = paths.join(cited, "endpoint_id", "left")
         times = F.coalesce(F.col("_cited"), F.lit(1))
     labelled = lambda is_so: F.sum(F.when(is_so, times).otherwise(0))
-    per_pair = paths.groupBy(*PAIR).agg(
-        F.count_distinct("endpoint_id").alias("n_endpoints"),
-        F.count_distinct("mg_id").alias("n_groups"),
-        F.count_distinct("sid").alias("n_substances"),
+    ranked = {"n_endpoints": "endpoint_id", "n_groups": "mg_id", "n_substances": "sid"}
+    # Nulls sort first and count as none.
+    rank = lambda c: F.dense_rank().over(Window.partitionBy(*PAIR).orderBy(c))
+    rows = paths.select(*PAIR, *ranked.values(), "label", times.alias("_times")).repartition(*PAIR)
+    times = F.col("_times")
+    counted = rows.withColumns({f"_{n}": rank(c) for n, c in ranked.items()})
+    per_pair = counted.groupBy(*PAIR).agg(
+        *((F.max(f"_{n}") - F.max(F.col(c).isNull().cast("int"))).cast("long").alias(n) for n, c in ranked.items()),
         labelled(F.col("label") == 1).alias("n_positive"),
         labelled(F.col("label") == 0).alias("n_negative"),
         labelled(F.col("label").isNull()).alias("n_unclear"),
     )
     if references is not None:
-        found = paths.select(*PAIR, "endpoint_id").distinct().join(references.select("endpoint_id", "reference_id").distinct(), "endpoint_id")
-        per_pair = per_pair.join(found.groupBy(*PAIR).agg(F.count_distinct("reference_id").alias("n_references")), PAIR, "left").withColumn("n_references", F.coalesce("n_references", F.lit(0)))
+        found = paths.select(*PAIR, "endpoint_id").join(references.select("endpoint_id", "reference_id").distinct(), "endpoint_id")
+        of_references = found.select(*PAIR, "reference_id").distinct().groupBy(*PAIR).agg(F.count("reference_id").alias("n_references"))
+        per_pair = per_pair.join(of_references, PAIR, "left").withColumn("n_references", F.coalesce("n_references", F.lit(0)))
     decided = per_pair.withColumn("_a", assertion(F.col("n_positive"), F.col("n_negative"), F.col("n_unclear")))
     return decided.withColumns({"assertion": F.col("_a.assertion"), "confidence": F.col("_a.confidence")}).drop("_a")
 
