@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import node_ref, stable_id
+from ..functions.text import bound, node_ref, stable_id
 
 #: Data fields in order of preference, or what makes a value of them.
 Sources = tuple[str, ...] | Callable[[], Column]
@@ -102,8 +102,13 @@ SPECIFICATIONS: dict[str, tuple[list[Node], list[Edge]]] = {
 
 
 def _given(*names: str) -> Column:
-    """The first of the data fields that is not blank."""
-    return F.coalesce(*(F.nullif(F.trim(F.col("data")[n]), F.lit("")) for n in names))
+    """The first of the data fields that is not blank, of ``_trimmed`` rows."""
+    return F.coalesce(*(F.col("_given")[n] for n in names))
+
+
+def _trimmed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the data fields that are not blank, trimmed once a row and not for each use of a field."""
+    return rows.withColumn("_given", F.map_filter(F.transform_values("data", lambda k, v: F.trim(v)), lambda k, v: v != ""))
 
 
 def _value(sources: Sources) -> Column:
@@ -200,12 +205,18 @@ SPECIFICATIONS |= {"protein_embedding": SPECIFICATIONS["protembed"], "molecular_
 def raw_fields(known: tuple[str, ...]) -> Column:
     """The data fields that are none of ``known``, as ``raw_`` and their name in letters, digits and ``_``; nulls go, and of
     fields whose names become the same the first stays."""
-    safe = F.transform(
-        F.map_entries(F.map_filter("data", lambda k, v: v.isNotNull())),
-        lambda e: F.struct(F.coalesce(F.nullif(F.trim(F.regexp_replace(e["key"], "[^0-9A-Za-z_]+", "_"), F.lit("_")), F.lit("")), F.lit("value")).alias("key"), e["value"].alias("value")),
-    )
-    first = F.filter(safe, lambda e, i: (F.array_position(F.transform(safe, lambda x: x["key"]), e["key"]) == i + 1) & ~e["key"].isin(*known))
-    return F.map_from_entries(F.transform(first, lambda e: F.struct(F.concat(F.lit("raw_"), e["key"]), e["value"])))
+    entries = F.map_entries(F.map_filter("data", lambda k, v: v.isNotNull()))
+    plain = r"\A[0-9A-Za-z](?:[0-9A-Za-z_]*[0-9A-Za-z])?\z"
+    made_safe = lambda k: F.coalesce(F.nullif(F.trim(F.regexp_replace(k, "[^0-9A-Za-z_]+", "_"), F.lit("_")), F.lit("")), F.lit("value"))
+    safe = lambda e: F.when(e["key"].rlike(plain), e["key"]).otherwise(made_safe(e["key"]))
+
+    def made(x):
+        each = F.transform(x["entries"], lambda e, i: F.struct(F.get(x["names"], i).alias("key"), e["value"].alias("value"), i.alias("place")))
+        first = F.filter(each, lambda e: (F.array_position(x["names"], e["key"]) == e["place"] + 1) & ~e["key"].isin(*known))
+        return F.map_from_entries(F.transform(first, lambda e: F.struct(F.concat(F.lit("raw_"), e["key"]), e["value"])))
+
+    # Names are made once a row: within a function of entries they would be made anew for each entry.
+    return bound(made, entries=entries, names=F.transform(entries, safe))
 
 
 def _props(node: Node) -> Column:
@@ -223,7 +234,7 @@ def _by_kind(rows: DataFrame, arrays: dict[str, Column], name: str) -> DataFrame
     chosen = None
     for kind, made in arrays.items():
         chosen = F.when(F.col("kind") == kind, made) if chosen is None else chosen.when(F.col("kind") == kind, made)
-    return rows.filter(F.col("kind").isin(*arrays)).select("seq", F.explode(chosen).alias(name))
+    return _trimmed(rows.filter(F.col("kind").isin(*arrays))).select("seq", F.explode(chosen).alias(name))
 
 
 def nodes_of(rows: DataFrame, kinds: tuple[str, ...] | None = None) -> DataFrame:
@@ -246,22 +257,31 @@ def edges_of(rows: DataFrame, kinds: tuple[str, ...] | None = None) -> DataFrame
     edge to itself goes. ``kinds`` as above."""
     arrays = {}
     for kind, (_, edges) in _chosen(kinds):
-        made = []
+        if edges:
+            arrays[kind] = _edges_of_kind(edges)
+    return _by_kind(rows, arrays, "e").select("e.type", "e.start_ref", "e.end_ref", "seq").filter("start_ref != end_ref")
+
+
+def _edges_of_kind(edges: list[Edge]) -> Column:
+    """The edges of a row; the values of their ends are made once for all of them."""
+    sources = list(dict.fromkeys(end[2] for edge in edges for end in (edge.start, edge.end)))
+
+    def made(x):
+        out = []
         for edge in edges:
             (a, a_key, a_from), (b, b_key, b_from) = edge.start, edge.end
-            start, end = _value(a_from), _value(b_from)
+            start, end = (x[f"v{sources.index(c)}"] for c in (a_from, b_from))
             there = start.isNotNull() & end.isNotNull()
             if edge.needs:
                 there = there & _given(*edge.needs).isNotNull()
-            ends = F.split(end, r"\s*\|\s*") if edge.listed else F.array(end)
 
             def of(e, edge=edge, a=a, a_key=a_key, b=b, b_key=b_key, start=start):
                 return F.struct(F.lit(edge.type).alias("type"), node_ref(a, **{a_key: start}).alias("start_ref"), node_ref(b, **{b_key: e}).alias("end_ref"))
 
-            made.append(F.when(there, _each(ends, of)))
-        if made:
-            arrays[kind] = F.flatten(F.array_compact(F.array(*made)))
-    return _by_kind(rows, arrays, "e").select("e.type", "e.start_ref", "e.end_ref", "seq").filter("start_ref != end_ref")
+            out.append(F.when(there, _each(F.split(end, r"\s*\|\s*"), of) if edge.listed else F.array(of(end))))
+        return F.flatten(F.array_compact(F.array(*out)))
+
+    return bound(made, **{f"v{i}": _value(c) for i, c in enumerate(sources)})
 
 
 def _each(values: Column, make) -> Column:
@@ -292,7 +312,7 @@ def written_back(rows: DataFrame, updates: dict[str, tuple[str, str, tuple[str,
     made = []
     for kind, (entity, key, fields) in updates.items():
         data = _picked(fields)
-        one = rows.filter(F.col("kind") == kind).select(F.lit(entity).alias("kind"), F.when(F.size(data) > 0, F.map_concat(F.create_map(F.lit(key), _given(key)), data)).alias("data"), "seq", _given(key).alias("_key"))
+        one = _trimmed(rows.filter(F.col("kind") == kind)).select(F.lit(entity).alias("kind"), F.when(F.size(data) > 0, F.map_concat(F.create_map(F.lit(key), _given(key)), data)).alias("data"), "seq", _given(key).alias("_key"))
         made.append(one.filter("data is not null and _key is not null").drop("_key"))
     out = rows.select("kind", "data", "seq")
     for part in made:
