@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import written
+from .graph import capped
 
 # Prefixes of terms by what they name.
 RESOURCE = "cooccurrence:"
@@ -37,27 +38,47 @@ def cooccurrences(
     empty. At most ``per_target`` rows a target, then ``per_pair`` references a pair of compound and protein (or gene, or target), then each
     (cooc_id and ends) once, of the first target, then ``most`` rows; all in order of their terms. ``compounds(compound)`` keeps rows with one of
     these only. Only triples of resources that a target reaches are joined.
+
+    Each resource gives a target a row at least, and rows are in order of resources. So of a target's resources only the first
+    ``per_target`` can count, and of these only those that the rows of earlier ones leave room for. The others go before anything is
+    combined: ends are lists of their resource until then.
     """
-    # Both are read for every kind of end, so they are written once.
-    around = written(resources_of(triples, targets), "resources")
-    own = written(triples.join(around.select(F.col("cooc").alias("s")).distinct(), "s", "left_semi").select(F.col("s").alias("cooc"), "p", "o"), "resource-triples")
-    rows = around
-    for name, prefix in ENDS.items():
-        end = own.filter(_named(F.col("o"), prefix)).select("cooc", F.col("o").alias(name)).distinct()
-        if name == "compound" and compounds is not None:
-            end = end.join(compounds.select("compound").distinct(), "compound", "left_semi")
-        rows = rows.join(end, "cooc", "left")
+    around = resources_of(triples, targets)
+    kind = F.coalesce(*(F.when(_named(F.col("o"), prefix), name) for name, prefix in ENDS.items()))
+    of_resources = triples.filter(_named(F.col("s"), RESOURCE)).select(F.col("s").alias("cooc"), "p", "o", kind.alias("kind"))
+    if compounds is not None:
+        listed = compounds.select(F.col("compound").alias("o")).distinct()
+        chosen = of_resources.filter("kind = 'compound'").join(listed, "o", "left_semi").select("cooc", "p", "o", "kind")
+        of_resources = of_resources.filter("kind is null or kind != 'compound'").unionByName(chosen)
+        around = around.join(chosen.select("cooc").distinct(), "cooc", "left_semi")
+    if per_target is not None:
+        around = capped(around, ["target"], [F.col("cooc")], per_target)
+    # Read for the resources and for the rows, so it is written once.
+    around = written(around.select("target", "cooc"), "resources")
+    own = of_resources.join(around.select("cooc").distinct(), "cooc", "left_semi")
+    if per_target is not None:
+        # Rows of a resource are in order of its ends, so later ends than these are in later rows.
+        place = F.dense_rank().over(Window.partitionBy("cooc", "kind").orderBy("o"))
+        own = own.withColumn("_k", F.when(F.col("kind").isNull(), 0).otherwise(place)).filter(F.col("_k") <= per_target)
     local = F.regexp_extract("p", r"([^#/:]+)$", 1)
     number = lambda name: F.max(F.when(local == name, F.col("o").try_cast("double")))
-    rows = rows.join(own.groupBy("cooc").agg(number(score).alias("score"), number(sentences).alias("sentence_count")), "cooc", "left")
+    ends = own.groupBy("cooc").agg(*(F.collect_set(F.when(F.col("kind") == name, F.col("o"))).alias(name) for name in ENDS), number(score).alias("score"), number(sentences).alias("sentence_count"))
+    rows = around.join(ends, "cooc", "left")
+    if per_target is not None:
+        made = F.lit(1.0)
+        for name in ENDS:
+            made = made * F.greatest(F.size(F.coalesce(name, F.array())), F.lit(1))
+        earlier = Window.partitionBy("target").orderBy("cooc").rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("_n", made).withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0.0))).filter(F.col("_before") < per_target)
+    for name in ENDS:
+        rows = rows.select(*(F.explode_outer(c).alias(c) if c == name else c for c in ("target", "cooc", *ENDS, "score", "sentence_count")))
     filled = lambda name: F.coalesce(F.col(name), F.when(_named(F.col("target"), ENDS[name]), F.col("target"))).alias(name)
-    if compounds is not None:
-        rows = rows.filter("compound is not null")
     cooc_id = F.concat(F.lit("cooc:"), F.substring("cooc", len(RESOURCE) + 1, 1 << 30)).alias("cooc_id")
-    rows = rows.select("target", cooc_id, "compound", filled("protein"), filled("gene"), "disease", "reference", "score", "sentence_count").distinct()
+    # Ends of a resource are distinct and one that is filled in is the only one of its kind, so rows are distinct too.
+    rows = rows.select("target", cooc_id, "compound", filled("protein"), filled("gene"), "disease", "reference", "score", "sentence_count")
     order = [F.col(c) for c in KEY]
     if per_target is not None:
-        rows = rows.withColumn("_k", F.row_number().over(Window.partitionBy("target").orderBy(*order))).filter(F.col("_k") <= per_target).drop("_k")
+        rows = capped(rows, ["target"], order, per_target)
     if per_pair is not None:
         pair = F.coalesce("protein", "gene", "target")
         cited = F.row_number().over(Window.partitionBy("target", "compound", pair).orderBy(F.col("reference").isNull(), *order))
