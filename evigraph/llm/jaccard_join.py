@@ -336,6 +336,7 @@ def _load(size: str = "size"):
 def _shared(rows: DataFrame) -> DataFrame:
     """Of ``rows(region, node, size)`` those of regions with two members at least, with what these count for and the smallest
     node."""
+    rows = rows.filter(F.col("region").isNotNull()).repartition("region")  # one exchange for both sides
     regions = rows.groupBy("region").agg(_load(), F.min("node").alias("pivot"), F.count("*").alias("n")).filter("n > 1").drop("n")
     return rows.join(regions, "region")
 
@@ -427,14 +428,15 @@ def linked(docs: DataFrame, region_rows: int = REGION, common: int = COMMON) ->
     member = written(full.select("doc_id", "digest").join(classes, "digest").select("doc_id", "node"), "members")
     copies = member.filter("doc_id = node").select(F.col("doc_id").alias("node")).distinct()
 
-    first = full.select(F.explode("first").alias("region"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"))
+    # Copies go before their shingles are dealt to regions.
+    own = full.join(_sized(copies), F.col("doc_id") == F.col("node"), "left_semi")
+    first = own.select(F.explode("first").alias("region"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"))
     repeated = not full.groupBy("doc_id").count().filter("count > 1").isEmpty()
     if repeated:
         # A region's documents count once, also if their rows are repeated.
         first = first.groupBy("region", "node").agg(F.max("size").alias("size"))
-    rows = _shared(first)
-    rows = written(rows.join(_sized(copies), "node", "left_semi"), "regions")
-    infos = full.join(_sized(copies), F.col("doc_id") == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "bins").dropDuplicates(["node", "size", "bins"])
+    rows = written(_shared(first), "regions")
+    infos = own.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "bins").dropDuplicates(["node", "size", "bins"])
 
     # Each region's two pivots, its smallest and largest document, with the others.
     last = rows.join(rows.groupBy("region").agg(F.max("node").alias("last")), "region").filter("node != last and pivot != last")
