@@ -57,9 +57,21 @@ def with_computed(docs: DataFrame, fields: list[StructField], make: Callable[[],
             for batch in slices(whole, text, SLICE):
                 kept = [batch.column(batch.schema.get_field_index(name)) for name in names]
                 yield pa.RecordBatch.from_arrays([*kept, *compute(batch)], names=[*names, *(field.name for field in fields)])
+
+    return source.mapInArrow(releasing(run), schema).toDF(*kept_names, *(field.name for field in fields))
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` of a task, after which freed memory is given back. What ``run`` itself holds (models, tables, batches) is free only
+    when it has ended, so it can't do that at its own end."""
+
+    def whole(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        yield from run(batches)
         released(pa)
 
-    return source.mapInArrow(run, schema).toDF(*kept_names, *(field.name for field in fields))
+    return whole
 
 
 def released(pa) -> None:

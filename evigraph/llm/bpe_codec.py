@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from .arrow import SLICE, bounded_batches, plain_names
+from .arrow import SLICE, bounded_batches, plain_names, releasing
 from .pretokens import CachedEncoder
 from .storage import slices
 
@@ -123,7 +123,7 @@ def _coded(docs: DataFrame, ranks: str, schema: str, row) -> DataFrame:
                 plain = codec.decode(ids).tobytes()
                 yield row(pa, batch, ids, ends, [plain[a:b] for a, b in zip(edges, edges[1:])])
 
-    return bounded_batches(docs).mapInArrow(run, schema)
+    return bounded_batches(docs).mapInArrow(releasing(run), schema)
 
 
 def encoded_digests(docs: DataFrame, ranks: str) -> DataFrame:

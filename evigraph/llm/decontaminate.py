@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField
 
-from .arrow import column, with_computed
+from .arrow import column, releasing, with_computed
 
 #: Lower case for A-Z, and a space for each ASCII character that is no letter or digit.
 _WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -114,7 +114,7 @@ def with_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13,
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string()), pa.array(sizes, pa.int64())], names=["item_id", "text", "size"])
 
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text is not null")
-    items = items.mapInArrow(pieces, "item_id string, text string, size long")
+    items = items.mapInArrow(releasing(pieces), "item_id string, text string, size long")
     total = items.agg(F.sum("size")).first()[0] or 0
     blocks = max(1, math.ceil(total / block_words))
     number = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField
 
-from .arrow import SLICE, bounded_batches, column, quoted, released, with_computed
+from .arrow import SLICE, bounded_batches, column, quoted, releasing, with_computed
 from .components import components
 from .storage import deleted, dropped, slices, watched, written
 from .token_counts import word_spans
@@ -140,9 +140,8 @@ def common_shingles(docs: DataFrame, least: int = COMMON, most: int = COMMON_SHI
                     held, size = [], 0
         if held:
             yield flush()
-        released(pa)
 
-    counts = bounded_batches(docs).select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    counts = bounded_batches(docs).select("text").mapInArrow(releasing(count), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     found = counts.filter(F.col("n") >= least).orderBy(F.desc("n"), "shingle").limit(most).select("shingle").collect()
     return np.sort(np.array([r.shingle for r in found], np.int64).view(np.uint64))
 
@@ -212,7 +211,7 @@ def exact_links(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 keep.append(100 * shared >= 80 * (len(x) + len(y) - shared))
             yield batch.select([0, 1]).take(np.flatnonzero(keep))
 
-    links = written(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "links")
+    links = written(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(releasing(check), "a long, b long"), "links")
     for table in (nodes, sets, pairs):
         dropped(table)
     return links
@@ -325,7 +324,7 @@ def region_pairs(members: DataFrame) -> DataFrame:
             yield from pairs(pa.Table.from_batches(held))
 
     rows = members.select("region", "node", "size", "component", "bins").repartition("region").sortWithinPartitions("region")
-    return rows.mapInArrow(join, "a long, b long").distinct()
+    return rows.mapInArrow(releasing(join), "a long, b long").distinct()
 
 
 def _load(size: str = "size"):
@@ -363,7 +362,7 @@ def _with_distance(rows: DataFrame, pivot: str, name: str) -> DataFrame:
             rest = [k for k, c in enumerate(batch.schema.names) if c != pivot]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in rest), pa.array(far, pa.int64())], names=[*(batch.schema.names[k] for k in rest), name])
 
-    return rows.mapInArrow(measure, rows.drop(pivot).schema.add(name, "long"))
+    return rows.mapInArrow(releasing(measure), rows.drop(pivot).schema.add(name, "long"))
 
 
 def _blocks(large: DataFrame, region_rows: int) -> DataFrame:
@@ -512,5 +511,5 @@ def _possible(pairs: DataFrame, infos: DataFrame) -> DataFrame:
                 keep.append(9 * apart <= n[k] + m[k])
             yield batch.select([0, 1]).take(np.flatnonzero(keep))
 
-    found = sized.select("a", "b", "n", "m", "x", "y").mapInArrow(check, "a long, b long")
+    found = sized.select("a", "b", "n", "m", "x", "y").mapInArrow(releasing(check), "a long, b long")
     return written(found.distinct(), "pairs")

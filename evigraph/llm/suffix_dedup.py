@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField
 
-from .arrow import SLICE, bounded_batches, column, quoted, released, with_computed
+from .arrow import SLICE, bounded_batches, column, quoted, releasing, with_computed
 from .storage import dropped, slices, written
 from .wordhash import MIX, mixed, prefix_sums, span_hashes, text_bytes
 
@@ -160,9 +160,8 @@ def _anchors(texts: DataFrame) -> DataFrame:
                     ],
                     names=["bucket", "kind", "digest", "first_id", "at", "extent", "state"],
                 )
-        released(pa)
 
-    return bounded_batches(texts).select("digest", "first_id", "text").mapInArrow(find, "bucket long, kind long, digest binary, first_id long, at long, extent long, state int")
+    return bounded_batches(texts).select("digest", "first_id", "text").mapInArrow(releasing(find), "bucket long, kind long, digest binary, first_id long, at long, extent long, state int")
 
 
 def _judged(members: DataFrame) -> DataFrame:
@@ -192,9 +191,8 @@ def _around(texts: DataFrame) -> DataFrame:
                 whole_bytes = data.tobytes()
                 around = [whole_bytes[a:b] for a, b in zip((low + offsets[row]).tolist(), (high + offsets[row]).tolist())]
                 yield pa.RecordBatch.from_arrays([column(batch, "buckets").flatten(), column(batch, "digest").take(pa.array(row)), pa.array(low), pa.array(around, pa.binary())], names=["bucket", "digest", "low", "bytes"])
-        released(pa)
 
-    return texts.select("digest", "text", "buckets", "lows", "highs").mapInArrow(cut, "bucket long, digest binary, low long, bytes binary")
+    return texts.select("digest", "text", "buckets", "lows", "highs").mapInArrow(releasing(cut), "bucket long, digest binary, low long, bytes binary")
 
 
 def _strings(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -250,10 +248,9 @@ def _repeated_in_task(around: DataFrame) -> DataFrame:
             rows += len(batch)
         if rows:
             yield refine(held)
-        released(pa)
 
     ordered = around.repartition("bucket").sortWithinPartitions("bucket")
-    return ordered.mapInArrow(sort, "digest binary, low long, high long")
+    return ordered.mapInArrow(releasing(sort), "digest binary, low long, high long")
 
 
 def _repeated_by_identifier(around: DataFrame) -> DataFrame:
@@ -268,9 +265,8 @@ def _repeated_by_identifier(around: DataFrame) -> DataFrame:
                 rows, content = pa.array(row), data.tobytes()
                 identifier = [hashlib.blake2b(content[a : a + LENGTH], digest_size=16).digest() for a in place.tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(identifier, pa.binary()), column(batch, "digest").take(rows), column(batch, "low").take(rows), pa.array(start)], names=["identifier", "digest", "run", "start"])
-        released(pa)
 
-    every = written(around.mapInArrow(spread, "identifier binary, digest binary, run long, start long"), "strings")
+    every = written(around.mapInArrow(releasing(spread), "identifier binary, digest binary, run long, start long"), "strings")
     bounds = every.groupBy("identifier").agg(*(f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("digest", "start")))
     twice = bounds.filter("min_digest != max_digest or min_start != max_start").select("identifier")
     hit = every.join(twice, "identifier", "left_semi").groupBy("digest", "run").agg(F.min("start").alias("low"), (F.max("start") + LENGTH).alias("high"))
