@@ -115,13 +115,18 @@ def affinity_rows(records: DataFrame, cap: int | None = None) -> DataFrame:
     """Affinity records of proteins as rows with one set of names and a stable id: ``records(protein_id, uniprot_acc,
     record)``, a map of texts. Records that say nothing of a ligand or an affinity go."""
     fields = F.map_filter(F.col("record"), lambda k, v: F.trim(v) != "")
-    entries = F.transform(F.array_sort(F.map_entries(fields)), lambda e: F.struct(_plain(e["key"]).alias("key"), e["value"].alias("value")))
+    # An entry's place tells its field and which of the field's names it has; the first entry of a field by place is its value.
+    places = F.create_map(*(F.lit(x) for k, names in enumerate(AFFINITY_ALIASES.values()) for j, name in enumerate(names) for x in (name, 100 * k + j)))
+    placed = F.transform(F.array_sort(F.map_entries(fields)), lambda e, number: F.struct(F.try_element_at(places, _plain(e["key"])).alias("place"), number.alias("number"), e["value"].alias("value")))
+    entries = F.array_sort(F.filter(placed, lambda e: e["place"].isNotNull()))
     rows = records.withColumns({"_e": entries, "raw_record_hash": F.substring(F.sha1(F.to_json(F.map_from_entries(F.array_sort(F.map_entries("record")))).cast("binary")), 1, 16)})
-    def of(names):
-        found = [F.get(F.filter("_e", _is(name)), F.lit(0))["value"] for name in names]
-        return F.coalesce(*found)
 
-    rows = rows.select("protein_id", "uniprot_acc", "raw_record_hash", *(of(names).alias(name) for name, names in AFFINITY_ALIASES.items()))
+    def of(k: int):
+        return F.get(F.filter("_e", lambda e: e["place"].between(100 * k, 100 * k + 99)), F.lit(0))["value"]
+
+    # One generated row each: what is filtered and derived below would else make the fields anew for every use.
+    found = F.inline(F.array(F.struct(*(of(k).alias(name) for k, name in enumerate(AFFINITY_ALIASES)))))
+    rows = rows.select("protein_id", "uniprot_acc", "raw_record_hash", found)
     rows = rows.withColumn("cid", F.regexp_extract("cid", r"(\d+)", 1).try_cast("long"))
     rows = rows.filter(F.coalesce("ligand_id", F.col("cid").cast("string"), "smiles", "affinity_value", "kd", "ki", "ic50").isNotNull())
     ligand = F.coalesce("ligand_id", F.concat(F.lit("CID"), F.col("cid").cast("string")), F.concat_ws(":", "uniprot_acc", "raw_record_hash"))
