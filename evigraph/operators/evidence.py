@@ -24,7 +24,8 @@ def evidence_paths(endpoints: DataFrame, substances: DataFrame, tested_on: DataF
     All matches count. Equal measurements are one before the fan-out to the proteins of their group; measurements that
     share an id and differ in what is measured stay apart.
     """
-    once = endpoints.select(*(c for c in MEASURED if c in endpoints.columns)).distinct()
+    # One exchange for what is made distinct and joined.
+    once = endpoints.select(*(c for c in MEASURED if c in endpoints.columns)).repartition("sid").distinct()
     return once.join(substances, "sid").join(tested_on, "mg_id")
 
 
