@@ -56,7 +56,10 @@ def binding_pairs(compounds: DataFrame, proteins: DataFrame, endpoints: DataFram
     """Distinct (cid, protein_id, record_id) of binding records: directly linked to both, or through a measurement's
     substance and group. ``endpoint_substance`` and ``substance_compound`` have one row a key."""
     direct = compounds.select("record_id", "cid").join(proteins.select("record_id", "protein_id"), "record_id")
-    through = endpoints.select("record_id", "endpoint_id").join(endpoint_substance, "endpoint_id").join(substance_compound, "sid").join(groups.select("endpoint_id", "mg_id"), "endpoint_id").join(tested_on, "mg_id")
+    # All of these grow with the measurements: a broadcast would be held whole by every task.
+    of = lambda df: df.hint("merge")
+    measured = endpoints.select("record_id", "endpoint_id").join(of(endpoint_substance), "endpoint_id").join(of(groups.select("endpoint_id", "mg_id")), "endpoint_id")
+    through = measured.join(of(substance_compound), "sid").join(of(tested_on), "mg_id")
     return direct.select(*PAIR, "record_id").unionByName(through.select(*PAIR, "record_id")).distinct()
 
 
