@@ -156,7 +156,11 @@ def candidate_space(pairs: DataFrame, candidates: DataFrame, target: str) -> Dat
     are pairs, or counts of them by target (n_candidates)."""
     known = pairs.groupBy(target).agg(F.count_if(F.col("label") == 1).alias("n_positive"))
     space = candidates if "n_candidates" in candidates.columns else candidates.groupBy(target).agg(F.count("*").alias("n_candidates"))
-    both = known.join(space, target, "full").na.fill(0, ["n_positive", "n_candidates"])
+    return rated_space(known.join(space, target, "full").na.fill(0, ["n_positive", "n_candidates"]))
+
+
+def rated_space(both: DataFrame) -> DataFrame:
+    """``candidate_space`` of counts by target (n_positive, n_candidates)."""
     per = F.col("n_candidates") / F.nullif(F.col("n_positive"), F.lit(0))
     return both.withColumn("candidates_per_positive", per).withColumn("status", F.when(F.col("n_positive") == 0, "no_positive").when(per > 1000, "very_sparse").otherwise("rankable"))
 
