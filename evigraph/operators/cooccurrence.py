@@ -28,20 +28,23 @@ def resources_of(triples: DataFrame, targets: DataFrame) -> DataFrame:
 
 def cooccurrences(
     triples: DataFrame, targets: DataFrame, compounds: DataFrame | None = None, score: str = "score", sentences: str = "sentenceCount",
-    per_target: int | None = 250, per_pair: int | None = 5, most: int | None = None,
+    per_target: int | None = None, per_pair: int | None = None, most: int | None = None,
 ) -> DataFrame:
     """Rows of the co-occurrence resources around ``targets(target)``: cooc_id, what else the resource is linked to under any predicate
     (compound, protein, gene, disease, reference; null where there is none), score and sentence_count by the predicates' local names, target
     and association_type.
 
     A resource with several ends of a kind gives a row for each combination. A target fills in its own column where that is
-    empty. At most ``per_target`` rows a target, then ``per_pair`` references a pair of compound and protein (or gene, or target), then each
-    (cooc_id and ends) once, of the first target, then ``most`` rows; all in order of their terms. ``compounds(compound)`` keeps rows with one of
-    these only. Only triples of resources that a target reaches are joined.
+    empty. Each (cooc_id and ends) is there once, of the first target. Only if asked for, at most ``per_target`` rows a target, then
+    ``per_pair`` references a pair of compound and protein (or gene, or target) count before that, and ``most`` rows after it; all in order of their
+    terms. ``compounds(compound)`` keeps rows with one of these only. Only triples of resources that a target reaches are joined.
 
-    Each resource gives a target a row at least, and rows are in order of resources. So of a target's resources only the first
+    Ends are lists of their resource until they are combined. Without caps of a target, targets are too: those that fill in nothing give
+    the same rows, so only the first of them is combined with the ends, and nothing is shuffled after that.
+
+    With a cap, each resource gives a target a row at least, and rows are in order of resources. So of a target's resources only the first
     ``per_target`` can count, and of these only those that the rows of earlier ones leave room for. The others go before anything is
-    combined: ends are lists of their resource until then.
+    combined.
     """
     around = resources_of(triples, targets)
     kind = F.coalesce(*(F.when(_named(F.col("o"), prefix), name) for name, prefix in ENDS.items()))
@@ -53,8 +56,11 @@ def cooccurrences(
         around = around.join(chosen.select("cooc").distinct(), "cooc", "left_semi")
     if per_target is not None:
         around = capped(around, ["target"], [F.col("cooc")], per_target)
+    whole = per_target is None and per_pair is None
+    if whole:
+        around = around.groupBy("cooc").agg(F.collect_set("target").alias("targets"))
     # Read for the resources and for the rows, so it is written once.
-    around = written(around.select("target", "cooc"), "resources")
+    around = written(around.select("targets" if whole else "target", "cooc"), "resources")
     own = of_resources.join(around.select("cooc").distinct(), "cooc", "left_semi")
     if per_target is not None:
         # Rows of a resource are in order of its ends, so later ends than these are in later rows.
@@ -64,6 +70,11 @@ def cooccurrences(
     number = lambda name: F.max(F.when(local == name, F.col("o").try_cast("double")))
     ends = own.groupBy("cooc").agg(*(F.collect_set(F.when(F.col("kind") == name, F.col("o"))).alias(name) for name in ENDS), number(score).alias("score"), number(sentences).alias("sentence_count"))
     rows = around.join(ends, "cooc", "left")
+    if whole:
+        empty = lambda name: F.size(F.coalesce(name, F.array())) == 0
+        fills_in = lambda t: (_named(t, ENDS["protein"]) & empty("protein")) | (_named(t, ENDS["gene"]) & empty("gene"))
+        others = F.array_min(F.filter("targets", lambda t: ~fills_in(t)))
+        rows = rows.withColumn("target", F.explode(F.array_compact(F.array_append(F.filter("targets", fills_in), others))))
     if per_target is not None:
         made = F.lit(1.0)
         for name in ENDS:
@@ -83,8 +94,9 @@ def cooccurrences(
         pair = F.coalesce("protein", "gene", "target")
         cited = F.row_number().over(Window.partitionBy("target", "compound", pair).orderBy(F.col("reference").isNull(), *order))
         rows = rows.withColumn("_k", cited).filter(F.col("reference").isNull() | (F.col("_k") <= per_pair)).drop("_k")
-    once = F.row_number().over(Window.partitionBy(*KEY).orderBy("target"))
-    rows = rows.withColumn("_k", once).filter("_k = 1").drop("_k")
+    if not whole:
+        once = F.row_number().over(Window.partitionBy(*KEY).orderBy("target"))
+        rows = rows.withColumn("_k", once).filter("_k = 1").drop("_k")
     if most is not None:
         rows = rows.orderBy("target", *order).limit(most)
     both = F.col("compound").isNotNull() & F.coalesce("protein", "gene").isNotNull()
